@@ -47,8 +47,11 @@ def strip_accents(text: Column) -> Column:
     """Unicode compatibility folding without combining marks, inside the JVM."""
     source, target, several = _folding()
     folded = F.translate(text, source, target)
-    table = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
-    spelled = F.array_join(F.transform(F.split(folded, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
+    # a foldable expression from two literals, evaluated once
+    table = F.map_from_arrays(F.split(F.lit("\x01".join(several)), "\x01"),
+                              F.split(F.lit("\x01".join(several.values())), "\x01"))
+    spelled = F.array_join(F.transform(F.regexp_extract_all(folded, F.lit("(?s)."), F.lit(0)),
+                                       lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
     # most text is plain ASCII: neither step is needed for it
     return (F.when(~text.rlike(r"[^\x00-\x7f]"), text)
             .when(folded.rlike("[" + "".join(several) + "]"), spelled)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,9 +51,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from the written copy.
+    """Write ``df`` to the shared checkpoint folder and go on from the written table.
 
-    The copy outlives lost executors, which is why local checkpoints are not used.
+    The table outlives lost executors (a local checkpoint would not), and its true size replaces the estimate that a
+    long plan, or a checkpoint of one, carries along: loops would otherwise multiply estimates round after round.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
