@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pressmill.functions.text import strip_accents
+from pressmill.functions.text import bind, strip_accents
 
 # fixed values: accent-free month names
 MONTHS_CS = {
@@ -82,31 +82,36 @@ def parse_date(value: Column, now: Column | None = None) -> Column:
     """Text in one of many spellings to a UTC timestamp; null when it holds no usable date."""
     now = F.current_timestamp() if now is None else now
     text = F.trim(F.regexp_replace(F.coalesce(value, F.lit("")), r"(?U)\s+", " "))
-    plain = F.lower(strip_accents(text))
-    month = _month_number(F.regexp_extract(plain, _NAMED, 2), {**MONTHS_PL, **MONTHS_CS})
-    named = plain.rlike(_NAMED) & month.isNotNull()
-    named_day = _day(_group(plain, _NAMED, 3), month, _group(plain, _NAMED, 1)).cast("timestamp")
-    dotted = plain.rlike(_DOTTED)
-    dotted_day = _day(_group(plain, _DOTTED, 3), _group(plain, _DOTTED, 2), _group(plain, _DOTTED, 1)).cast("timestamp")
+    direct = F.coalesce(_iso_stamp(text), _mail_stamp(text))
+    in_years = F.when(F.year(direct).between(YEAR_FROM, YEAR_TO), direct)
+    rest = _fuzzy(F.when((text != "") & ~text.rlike(_DOTTED) & direct.isNull(), text), now)
+    day = bind(F.lower(strip_accents(text)), _local_day)
+    return F.when(day["found"], day["stamp"]).when(direct.isNotNull(), in_years).otherwise(rest)
 
-    iso = text.rlike(_ISO)
-    iso_time = F.regexp_replace(F.regexp_replace(text, r"\s(?=[Z+\-])", ""), r"([+\-]\d{2})(\d{2})$", "$1:$2")
-    iso_stamp = F.when(iso, iso_time).try_cast("timestamp")
-    mail = text.rlike(_MAIL)
+
+def _iso_stamp(text: Column) -> Column:
+    spelled = F.regexp_replace(F.regexp_replace(text, r"\s(?=[Z+\-])", ""), r"([+\-]\d{2})(\d{2})$", "$1:$2")
+    return F.when(text.rlike(_ISO), spelled.try_cast("timestamp"))
+
+
+def _mail_stamp(text: Column) -> Column:
     zone = F.regexp_replace(F.regexp_extract(text, _MAIL, 6), "^(GMT|UTC|UT|Z)?$", "+0000")
     seconds = F.regexp_extract(text, _MAIL, 5)
-    mail_text = F.concat_ws(" ", F.regexp_extract(text, _MAIL, 1), F.initcap(F.regexp_extract(text, _MAIL, 2)),
-                            F.regexp_extract(text, _MAIL, 3),
-                            F.concat(F.regexp_extract(text, _MAIL, 4),
-                                     F.when(seconds == "", F.lit(":00")).otherwise(seconds)), zone)
-    mail_stamp = F.try_to_timestamp(F.when(mail, mail_text), F.lit("d MMM yyyy HH:mm:ss Z"))
-    known = F.coalesce(iso_stamp, mail_stamp)
-    rest = _fuzzy(F.when((text != "") & ~named & ~dotted & known.isNull(), text), now)
-    stamp = (F.when(text == "", F.lit(None).cast("timestamp"))
-             .when(named, named_day).when(dotted, dotted_day)
-             .when(known.isNotNull(), F.when(F.year(known).between(YEAR_FROM, YEAR_TO), known))
-             .otherwise(rest))
-    return stamp
+    spelled = F.concat_ws(" ", F.regexp_extract(text, _MAIL, 1), F.initcap(F.regexp_extract(text, _MAIL, 2)),
+                          F.regexp_extract(text, _MAIL, 3),
+                          F.concat(F.regexp_extract(text, _MAIL, 4),
+                                   F.when(seconds == "", F.lit(":00")).otherwise(seconds)), zone)
+    return F.try_to_timestamp(F.when(text.rlike(_MAIL), spelled), F.lit("d MMM yyyy HH:mm:ss Z"))
+
+
+def _local_day(plain: Column) -> Column:
+    """Days with a Czech or Polish month name or in dotted form; such a form decides even if no such day exists."""
+    month = _month_number(F.regexp_extract(plain, _NAMED, 2), {**MONTHS_PL, **MONTHS_CS})
+    named_day = _day(_group(plain, _NAMED, 3), month, _group(plain, _NAMED, 1)).cast("timestamp")
+    dotted_day = _day(_group(plain, _DOTTED, 3), _group(plain, _DOTTED, 2), _group(plain, _DOTTED, 1)).cast("timestamp")
+    named = plain.rlike(_NAMED) & month.isNotNull()
+    dotted = plain.rlike(_DOTTED)
+    return F.struct((named | dotted).alias("found"), F.when(named, named_day).when(dotted, dotted_day).alias("stamp"))
 
 
 _DL_ISO = r"(\d{4})-(\d{1,2})-(\d{1,2})"
@@ -116,15 +121,18 @@ _DL_MONTH = r"\b([a-z]+)\s+(\d{4})"
 
 def parse_deadline(value: Column) -> Column:
     """A deadline in prose to a date; a bare month means its last day. The first form found decides."""
-    t = F.lower(strip_accents(F.coalesce(value, F.lit(""))))
     months = {**MONTHS_CS, **MONTHS_EN}
-    named = _day(_group(t, _NAMED, 3), _month_number(F.regexp_extract(t, _NAMED, 2), months), _group(t, _NAMED, 1))
-    month = _month_number(F.regexp_extract(t, _DL_MONTH, 1), months)
-    return (F.when(t.rlike(_DL_ISO), _day(_group(t, _DL_ISO, 1), _group(t, _DL_ISO, 2), _group(t, _DL_ISO, 3)))
-            .when(t.rlike(_DL_DOTTED), _day(_group(t, _DL_DOTTED, 3), _group(t, _DL_DOTTED, 2),
-                                            _group(t, _DL_DOTTED, 1)))
-            .when(t.rlike(_NAMED), named)
-            .when(t.rlike(_DL_MONTH), F.last_day(_day(_group(t, _DL_MONTH, 2), month, F.lit(1)))))
+
+    def read(t: Column) -> Column:
+        named = _day(_group(t, _NAMED, 3), _month_number(F.regexp_extract(t, _NAMED, 2), months), _group(t, _NAMED, 1))
+        month = _month_number(F.regexp_extract(t, _DL_MONTH, 1), months)
+        return (F.when(t.rlike(_DL_ISO), _day(_group(t, _DL_ISO, 1), _group(t, _DL_ISO, 2), _group(t, _DL_ISO, 3)))
+                .when(t.rlike(_DL_DOTTED), _day(_group(t, _DL_DOTTED, 3), _group(t, _DL_DOTTED, 2),
+                                                _group(t, _DL_DOTTED, 1)))
+                .when(t.rlike(_NAMED), named)
+                .when(t.rlike(_DL_MONTH), F.last_day(_day(_group(t, _DL_MONTH, 2), month, F.lit(1)))))
+
+    return bind(F.lower(strip_accents(F.coalesce(value, F.lit("")))), read)
 
 
 def week_of(stamp: Column) -> Column:

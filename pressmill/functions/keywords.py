@@ -92,6 +92,17 @@ def exact_pattern(term: str) -> str:
     return r"\b" + r"\s+".join(_quote(w) for w in plain(term).split()) + r"\b"
 
 
+def any_of(patterns: list[str]) -> str:
+    """One pattern for all. Every part begins at a word boundary, so that test and first letters are shared:
+    an engine that tries parts one by one then skips most of them at each position."""
+    by_letter: dict[str, list[str]] = {}
+    for p in patterns:
+        body = p.removeprefix(r"\b")
+        first = body[:2] if body.startswith("\\") else body[:1]
+        by_letter.setdefault(first, []).append(body[len(first):])
+    return r"\b(?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in by_letter.items()) + ")"
+
+
 @dataclass(frozen=True)
 class Keywords:
     """A keyword set: the pluggable matcher of the prefilter and of the heuristic score."""
@@ -106,14 +117,14 @@ class Keywords:
         return [(s, stem_pattern(s)) for s in self.stems] + [(e, exact_pattern(e)) for e in self.exact]
 
     def any_pattern(self) -> str | None:
-        return "|".join(p for _, p in self.term_patterns()) or None
+        return any_of([p for _, p in self.term_patterns()]) if self.stems or self.exact else None
 
     def exclude_pattern(self) -> str | None:
-        return "|".join(stem_pattern(p) for p in self.exclude) or None
+        return any_of([stem_pattern(p) for p in self.exclude]) if self.exclude else None
 
     def category_patterns(self) -> list[tuple[str, str]]:
         """One pattern per category; terms of up to three letters match as whole words."""
-        return [(name, "|".join(stem_pattern(t) if len(t) > 3 else exact_pattern(t) for t in terms))
+        return [(name, any_of([stem_pattern(t) if len(t) > 3 else exact_pattern(t) for t in terms]))
                 for name, terms in self.categories.items()]
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import sys
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 from html.parser import HTMLParser
 
@@ -19,6 +20,11 @@ SUMMARY_LIMIT = 1500
 TITLE_LIMIT = 400
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` applied to ``value``, which is evaluated once per row however often the body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
 @lru_cache(maxsize=1)
 def _folding() -> tuple[str, str, dict[str, str]]:
     """(characters with one base character, their bases, characters with several) after NFKD without marks.
@@ -46,16 +52,20 @@ def _folding() -> tuple[str, str, dict[str, str]]:
 def strip_accents(text: Column) -> Column:
     """Unicode compatibility folding without combining marks, inside the JVM."""
     source, target, several = _folding()
-    folded = F.translate(text, source, target)
     # a foldable expression from two literals, evaluated once
     table = F.map_from_arrays(F.split(F.lit("\x01".join(several)), "\x01"),
                               F.split(F.lit("\x01".join(several.values())), "\x01"))
-    spelled = F.array_join(F.transform(F.regexp_extract_all(folded, F.lit("(?s)."), F.lit(0)),
-                                       lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
-    # most text is plain ASCII: neither step is needed for it
-    return (F.when(~text.rlike(r"[^\x00-\x7f]"), text)
-            .when(folded.rlike("[" + "".join(several) + "]"), spelled)
-            .otherwise(folded))
+
+    def fold(value: Column) -> Column:
+        folded = F.translate(value, source, target)
+        spelled = F.array_join(F.transform(F.regexp_extract_all(folded, F.lit("(?s)."), F.lit(0)),
+                                           lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
+        # most text is plain ASCII, and few texts hold ligatures or fractions: the cheap tests come first
+        return (F.when(F.octet_length(value) == F.length(value), value)
+                .when(F.length(F.translate(value, "".join(several), "")) < F.length(value), spelled)
+                .otherwise(folded))
+
+    return bind(text, fold)
 
 
 def match_text(text: Column) -> Column:

@@ -71,16 +71,19 @@ def call_pool(items: DataFrame, sources: DataFrame, shown: DataFrame, now: dt.da
             .where((F.col("source_type") == "funding")
                    | (effective_date() >= stamp_literal(now - dt.timedelta(days=calls.lookback_days)))))
     rows = distinct_first(rows, "id", F.col("arrival") if "arrival" in items.columns else effective_date())
-    return rows.orderBy(*pool_order()).limit(calls.pool_max).drop("_funding", "_shown")
+    # sort keys are columns: an expression in a sort is evaluated at every comparison
+    order = {f"_o{i}": c for i, c in enumerate(pool_order())}
+    keys = [F.col(n) for n in order]
+    return (rows.withColumns(order).orderBy(*keys[:-1], F.desc(effective_date()), keys[-1]).limit(calls.pool_max)
+            .drop("_funding", "_shown", *order))
 
 
 def pool_order() -> list[Column]:
-    """Climate first, then domestic, SSH-labelled funding, nearest deadline, newest, id."""
+    """Climate first, then domestic, SSH-labelled funding, nearest deadline, (newest,) id."""
     funding = F.col("source_type") == "funding"
     labelled = F.contains(F.coalesce("summary_raw", F.lit("")), F.lit(SSH_FACT))
-    return [is_climate(F.col("title"), F.col("summary_raw")).cast("int").desc(), (F.col("region") != "CZ").cast("int"),
-            (funding & ~labelled).cast("int"), funding.cast("int"),
-            F.coalesce("deadline", F.lit(NO_DEADLINE).cast("date")), F.desc(effective_date()), F.asc("id")]
+    return [~is_climate(F.col("title"), F.col("summary_raw")), F.col("region") != "CZ", funding & ~labelled, funding,
+            F.coalesce("deadline", F.lit(NO_DEADLINE).cast("date")), F.col("id")]
 
 
 def programme(title: Column, source_name: Column, funder: Column) -> Column:

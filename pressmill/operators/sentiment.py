@@ -67,7 +67,7 @@ def summary(rows: DataFrame, pickable: DataFrame, scope: str = "week") -> DataFr
 def domestic_points(levels: DataFrame, topics: DataFrame, scope: str = "week", min_rows: int = 3) -> DataFrame:
     """The domestic row of each week with the week's top topic."""
     rows = levels.where((F.col("region") == "CZ") & (F.col("n") >= min_rows))
-    return rows.join(topics, scope, "left").select(scope, "index", "n", "negative", "neutral", "positive", "topic")
+    return rows.join(topics.select(scope, "topic"), scope, "left").select(scope, "index", "n", "negative", "neutral", "positive", "topic")
 
 
 def trend(points: DataFrame, value: str, length: int, scope: str = "week") -> DataFrame:

@@ -9,8 +9,8 @@ from pressmill import config
 
 
 def sample_order(seed: int, purpose: str) -> Column:
-    """A reproducible random order: the hash of id, seed and purpose, then the id."""
-    return F.struct(F.md5(F.concat_ws(":", F.col("id").cast("string"), F.lit(str(seed)), F.lit(purpose))), F.col("id"))
+    """A reproducible random order: the hash of id, seed and purpose; ties by id."""
+    return F.md5(F.concat_ws(":", F.col("id").cast("string"), F.lit(str(seed)), F.lit(purpose)))
 
 
 def stratified_sample(scored: DataFrame, n: int, seed: int = config.VALIDATION_SEED) -> DataFrame:
@@ -18,17 +18,18 @@ def stratified_sample(scored: DataFrame, n: int, seed: int = config.VALIDATION_S
 
     Each half is a top-k by hash, so no task sorts the whole table. Members differ from other generators' draws.
     """
-    chosen = scored.where("selected").orderBy(sample_order(seed, "draw")).limit(n // 2)
-    # the second half fills up to n; the size of the first is one number
-    k = chosen.agg(F.count("*").alias("k"))
-    rest = scored.where("not selected").orderBy(sample_order(seed, "draw")).limit(n)
     from pyspark.sql.window import Window
 
-    rest = (rest.withColumn("_n", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(sample_order(seed, "draw"))))
+    rows = scored.withColumn("_draw", sample_order(seed, "draw"))
+    chosen = rows.where("selected").orderBy("_draw", "id").limit(n // 2)
+    # the second half fills up to n; the size of the first is one number
+    k = chosen.agg(F.count("*").alias("k"))
+    rest = rows.where("not selected").orderBy("_draw", "id").limit(n)
+    rest = (rest.withColumn("_n", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("_draw", "id")))
             .join(F.broadcast(k), F.col("_n") <= F.lit(n) - F.col("k")).drop("_n", "k"))
-    both = chosen.unionByName(rest)  # at most n rows
+    both = chosen.unionByName(rest).withColumn("_draw", sample_order(seed, "shuffle"))  # at most n rows
     return both.withColumn("position", F.row_number().over(
-        Window.partitionBy(F.lit(1)).orderBy(sample_order(seed, "shuffle"))))
+        Window.partitionBy(F.lit(1)).orderBy("_draw", "id"))).drop("_draw")
 
 
 def coder_sheet(sample: DataFrame) -> DataFrame:
