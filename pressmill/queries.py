@@ -99,19 +99,19 @@ SELECT CASE CAST(c.conv_id % 4 AS INT) WHEN 0 THEN '2026-W38' WHEN 1 THEN '2026-
    WHEN 3 THEN 'surveys' WHEN 4 THEN 'recommendations' WHEN 5 THEN 'watchlist' WHEN 6 THEN 'strengths' ELSE 'threats' END
    AS section,
  CAST(c.conv_id AS INT) AS pos, c.text AS text, CASE c.role WHEN 'user' THEN 'US' WHEN 'assistant' THEN 'EU' ELSE 'CZ' END
-   AS geo, false AS dated, CAST(c.conv_id * 2 % 300 AS STRING) AS e1, CAST(c.conv_id % 7 + c.turn AS STRING) AS e2,
- CAST(c.conv_id * 2 % 300 AS STRING) AS e3, CAST(length(c.text) AS STRING) AS e4
+   AS geo, false AS dated, CAST(c.conv_id AS STRING) AS e1, CAST(c.conv_id % 7 + c.turn AS STRING) AS e2,
+ CAST(c.conv_id AS STRING) AS e3, CAST(length(c.text) AS STRING) AS e4
 FROM {conversations} c
 """
 
 # items a report keeps, for the sections above
 REPORT_ITEMS = """
-SELECT w.week, CAST(d.doc_id AS STRING) AS id, d.source AS source_id, d.source AS source_name,
+SELECT CASE CAST(d.doc_id % 4 AS INT) WHEN 0 THEN '2026-W38' WHEN 1 THEN '2026-W39' WHEN 2 THEN '2026-W40'
+   ELSE '2026-W41' END AS week, CAST(d.doc_id AS STRING) AS id, d.source AS source_id, d.source AS source_name,
  trim(split_part(d.text, chr(10), 1)) AS title, 'https://example.org/' || CAST(d.doc_id AS STRING) AS url,
  CASE WHEN d.n_chars % 3 = 0 THEN '' ELSE d.text END AS summary_raw, d.n_chars % 3 <> 0 AS has_summary,
  d.n_chars % 5 = 1 AS is_event, CASE WHEN d.n_chars % 2 = 0 THEN 'CZ' ELSE 'EU' END AS geo_focus
-FROM {documents} d JOIN (SELECT DISTINCT CASE CAST(conv_id % 4 AS INT) WHEN 0 THEN '2026-W38' WHEN 1 THEN '2026-W39'
-   WHEN 2 THEN '2026-W40' ELSE '2026-W41' END AS week FROM {conversations}) w ON d.n_chars % 2 + d.doc_id % 3 > 0
+FROM {documents} d
 """
 
 # the registry: one source per distinct source of the documents
@@ -569,7 +569,8 @@ def exact_copies(d):
 # == fuzzy (no SQL equals the similarity) ==========================================================================
 
 def _weekly(d):
-    return d.items().withColumn("week", dates.week_of(effective_date()))
+    """Items by week, with titles as the item builder leaves them."""
+    return d.items().withColumn("title", text.clean_title(F.col("title"))).withColumn("week", dates.week_of(effective_date()))
 
 
 @query()
@@ -584,12 +585,14 @@ def deduplicated(d):
 
 @query()
 def topic_clusters(d):
-    return cluster.numbered(cluster.topic_clusters(d.scored())).select("week", "id", "cluster_no")
+    scored = d.scored().withColumn("title", text.clean_title(F.col("title"))).withColumn("title_cs", F.lit(""))
+    return cluster.numbered(cluster.topic_clusters(scored)).select("week", "id", "cluster_no")
 
 
 @query()
 def balanced_selection(d):
-    scored = select.with_organisation(d.scored(), d.view("sources"))
+    scored = d.scored().withColumn("title", text.clean_title(F.col("title"))).withColumn("title_cs", F.lit(""))
+    scored = select.with_organisation(scored, d.view("sources"))
     return select.select_balanced(scored).select("week", "id", "source_id", "geo_focus", "final_score")
 
 
@@ -939,15 +942,10 @@ def rotation(d):
 _HEALTH = """health AS (SELECT s.id AS source_id, s.enabled, count(i.id) AS "count", max(i.published_at) AS newest,
  CASE WHEN count(i.id) = 0 THEN 'empty' WHEN max(i.published_at) < TIMESTAMP '2026-10-12 06:00:00' - INTERVAL 14 DAY THEN 'stale'
   ELSE 'ok' END AS status, CASE WHEN count(i.id) > 0 AND count(i.published_at) = 0 THEN 'undated' ELSE '' END AS detail
- FROM sources s LEFT JOIN items i ON i.source_id = s.id AND i.doc_id % 20 < 15 GROUP BY s.id, s.enabled)"""
+ FROM sources s LEFT JOIN items i ON i.source_id = s.id GROUP BY s.id, s.enabled)"""
 
 
-def _health(d):
-    sources = d.view("sources").withColumnRenamed("id", "source_id")
-    return health.source_health(sources, d.items().where("doc_id % 20 < 15"), NOW, fetch=config.Fetch(stale_days=14))
-
-
-@query(with_views("", "items", "sources").rstrip() + ", " + _HEALTH.replace("AND i.doc_id % 20 < 15", "") + """
+@query(with_views("", "items", "sources").rstrip() + ", " + _HEALTH + """
 SELECT source_id, "count", strftime(newest, '%Y-%m-%d') AS newest, status FROM health""")
 def health_status(d):
     sources = d.view("sources").withColumnRenamed("id", "source_id")
@@ -955,7 +953,7 @@ def health_status(d):
     return rows.select("source_id", "count", F.date_format("newest", "yyyy-MM-dd").alias("newest"), "status")
 
 
-@query(with_views("", "items", "sources").rstrip() + ", " + _HEALTH.replace("AND i.doc_id % 20 < 15", "") + """
+@query(with_views("", "items", "sources").rstrip() + ", " + _HEALTH + """
 SELECT count(*) FILTER (status = 'ok') AS n_ok, count(*) AS n, round_even(count(*) FILTER (status = 'ok') / count(*), 4) AS share
 FROM health WHERE enabled""")
 def health_share(d):
@@ -984,7 +982,7 @@ def health_merge(d):
     return health.merge_health(old, new, nation.select(name.alias("id"))).select("source_id", "status")
 
 
-@query(with_views("", "items", "sources", "status", "performance").rstrip() + ", " + _HEALTH.replace("AND i.doc_id % 20 < 15", "") + """,
+@query(with_views("", "items", "sources", "status", "performance").rstrip() + ", " + _HEALTH + """,
 recent AS (SELECT source_id, sum(n_window) AS "window", count(*) AS weeks FROM performance
  WHERE week IN (SELECT DISTINCT week FROM performance ORDER BY week DESC LIMIT 4) GROUP BY source_id)
 SELECT s.id AS source_id, h.status, h."count", r."window", r.weeks, CASE WHEN t.kind = 'paused' THEN 'paused'
@@ -1114,14 +1112,14 @@ def kappa_labels(d):
 
 @query(with_views("", "scores").rstrip() + """, sheet AS (SELECT CAST(d.doc_id AS VARCHAR) AS id, CASE quality WHEN 1 THEN 'Ano ' WHEN 0 THEN 'ne' ELSE '' END AS ra,
   CASE toxic WHEN 1 THEN 'yes' WHEN 0 THEN '0' ELSE '?' END AS rb, upper(CASE lang WHEN 'en' THEN 'cz' WHEN 'fr' THEN ' eu' ELSE lang END) AS ga,
-  CASE WHEN n_chars % 3 = 0 THEN '' WHEN n_chars % 2 = 0 THEN 'CZ' ELSE 'EU' END AS gb, n_chars FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id),
+  CASE WHEN n_chars % 3 = 0 THEN '' WHEN n_chars % 2 = 0 THEN 'CZ' ELSE 'EU' END AS gb, lang FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id),
 j AS (SELECT CASE trim(lower(ra)) WHEN 'ano' THEN '1' WHEN 'ne' THEN '0' ELSE '' END AS ra, CASE rb WHEN 'yes' THEN '1' WHEN '0' THEN '0' ELSE '' END AS rb,
-  trim(ga) AS ga, gb, CASE WHEN s.item_id IS NULL OR n_chars % 10 = 0 THEN '' WHEN relevance >= 5 THEN '1' ELSE '0' END AS rm,
-  CASE WHEN s.item_id IS NULL OR n_chars % 10 = 0 THEN '' ELSE geo_focus END AS gm FROM sheet LEFT JOIN scores s ON s.item_id = sheet.id),
+  trim(ga) AS ga, gb, CASE WHEN s.item_id IS NULL OR lang = 'es' THEN '' WHEN relevance >= 5 THEN '1' ELSE '0' END AS rm,
+  CASE WHEN s.item_id IS NULL OR lang = 'es' THEN '' ELSE geo_focus END AS gm FROM sheet LEFT JOIN scores s ON s.item_id = sheet.id),
 pairs AS (SELECT 'relevance A-B' AS pair, ra AS a, rb AS b FROM j UNION ALL SELECT 'geo A-B', ga, gb FROM j UNION ALL SELECT 'relevance A-model', ra, rm FROM j
  UNION ALL SELECT 'relevance B-model', rb, rm FROM j UNION ALL SELECT 'geo A-model', ga, gm FROM j UNION ALL SELECT 'geo B-model', gb, gm FROM j)""" + _KAPPA)
 def coder_agreement(d):
-    """Both coders and the model; one document in ten has no model score."""
+    """Both coders and the model, which has no scores for one of the languages."""
     docs = d.table("documents").join(d.table("labels"), "doc_id", "left")
     n = F.col("n_chars")
     sheet = docs.select(
@@ -1130,7 +1128,7 @@ def coder_agreement(d):
         F.when(F.col("toxic") == 1, "yes").when(F.col("toxic") == 0, "0").otherwise("?").alias("B_relevantni"),
         F.when(F.col("lang") == "en", "cz").when(F.col("lang") == "fr", " eu").otherwise(F.col("lang")).alias("A_geo"),
         F.when(n % 3 == 0, "").when(n % 2 == 0, "CZ").otherwise("EU").alias("B_geo"))
-    known = d.table("documents").where("n_chars % 10 <> 0").select(F.col("doc_id").cast("string").alias("item_id"))
+    known = d.table("documents").where("lang <> 'es'").select(F.col("doc_id").cast("string").alias("item_id"))
     scores = d.view("scores").join(known, "item_id", "left_semi").select(
         F.col("item_id").alias("id"), F.col("relevance").cast("string").alias("relevance"), F.col("geo_focus").alias("geo"))
     return validation.agreement(sheet, scores)
