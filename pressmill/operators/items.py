@@ -37,7 +37,7 @@ def build_items(raw: DataFrame, clean: bool = True) -> DataFrame:
     return rows.select(
         urls.make_id(F.col("url")).alias("id"), "title", "url", "source_id", "source_name", "region", "source_type",
         F.coalesce(F.nullif("language", F.lit("")), "source_language").alias("language"),
-        F.least("published", "now").alias("published_at"), F.col("now").alias("first_seen"),
+        F.when(F.col("published").isNotNull(), F.least("published", "now")).alias("published_at"), F.col("now").alias("first_seen"),
         summary.alias("summary_raw"), F.slice(named, 1, MAX_AUTHORS).alias("authors"),
         urls.normalize_doi(F.col("doi")).alias("doi"), "topic_filter", "source_weight",
         F.col("published").isNull().alias("date_is_first_seen"), *extra)

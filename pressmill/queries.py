@@ -396,8 +396,8 @@ def page_text(d):
 # == rows, filters =================================================================================================
 
 @query(with_views(f"""
-SELECT substr(sha1({url_sql('url')}), 1, 12) AS id, title, source_id, language, strftime(least(published_at, TIMESTAMP
- '2026-10-01 00:00:00'), '%Y-%m-%d %H') AS published, published_at IS NULL AS date_is_first_seen, length(summary_raw) AS n_summary,
+SELECT substr(sha1({url_sql('url')}), 1, 12) AS id, title, source_id, language, strftime(CASE WHEN published_at > TIMESTAMP
+ '2026-10-01 00:00:00' THEN TIMESTAMP '2026-10-01 00:00:00' ELSE published_at END, '%Y-%m-%d %H') AS published, published_at IS NULL AS date_is_first_seen, length(summary_raw) AS n_summary,
  lower(doi) AS doi, array_to_string(list_filter(string_split(title, ' '), lambda a: a <> '')[1:12], '|') AS authors
 FROM items WHERE title <> ''""", "items"))
 def item_rows(d):
