@@ -122,11 +122,15 @@ class Keywords:
     def exclude_pattern(self) -> str | None:
         return any_of([stem_pattern(p) for p in self.exclude]) if self.exclude else None
 
-    def category_patterns(self) -> list[tuple[str, str]]:
-        """One pattern per category; terms of up to three letters match as whole words."""
-        return [(name, any_of([stem_pattern(t) if len(t) > 3 else exact_pattern(t) for t in terms]))
+    def category_terms(self) -> list[tuple[str, list[tuple[str, str]]]]:
+        """Terms and patterns per category; terms of up to three letters match as whole words."""
+        return [(name, [(t, stem_pattern(t) if len(t) > 3 else exact_pattern(t)) for t in terms])
                 for name, terms in self.categories.items()]
 
+    def category_patterns(self) -> list[tuple[str, str]]:
+        """One pattern per category."""
+        return [(name, any_of([p for _, p in terms])) for name, terms in self.category_terms()]
+
 
 def default_keywords() -> Keywords:
     return Keywords(stems=_terms(STEMS_CS) + _terms(STEMS_EN), exact=_terms(EXACT_TERMS),

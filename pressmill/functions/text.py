@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pressmill.functions.keywords import EVENT_OPENERS, Keywords
+from pressmill.functions.keywords import EVENT_OPENERS, Keywords, plain
 
 SUMMARY_LIMIT = 1500
 TITLE_LIMIT = 400
@@ -94,20 +94,30 @@ def is_excluded(norm_title: Column, keywords: Keywords) -> Column:
     return norm_title.rlike("(?U)" + pattern) if pattern else F.lit(False)
 
 
+def _found(norm: Column, term: str, pattern: str) -> Column:
+    """A term's pattern, tried only on rows that hold its first word at all (a plain byte search)."""
+    return F.contains(norm, F.lit(plain(term).split()[0])) & norm.rlike("(?U)" + pattern)
+
+
 def hits(norm: Column, keywords: Keywords) -> Column:
     """Terms found, in dictionary order. Every pattern is a literal, so it is compiled once per task."""
-    return F.array_compact(F.array(*[F.when(norm.rlike("(?U)" + p), F.lit(t)) for t, p in keywords.term_patterns()]))
+    return F.array_compact(F.array(*[F.when(_found(norm, t, p), F.lit(t)) for t, p in keywords.term_patterns()]))
 
 
 def hit_count(norm: Column, keywords: Keywords) -> Column:
     total = F.lit(0)
-    for _, p in keywords.term_patterns():
-        total = total + norm.rlike("(?U)" + p).cast("int")
+    for t, p in keywords.term_patterns():
+        total = total + _found(norm, t, p).cast("int")
     return total
 
 
 def categories(norm: Column, keywords: Keywords) -> Column:
-    parts = [F.when(norm.rlike("(?U)" + p), F.lit(name)) for name, p in keywords.category_patterns()]
+    parts = []
+    for name, terms in keywords.category_terms():
+        some = F.lit(False)
+        for t, p in terms:
+            some = some | _found(norm, t, p)
+        parts.append(F.when(some, F.lit(name)))
     return F.array_compact(F.array(*parts)) if parts else F.array().cast("array<string>")
 
 
