@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressmill.functions.dates import parse_date
 from pressmill.functions.text import clean_text
 from pressmill.operators.common import distinct_first
 from pressmill.operators.items import build_items, with_source

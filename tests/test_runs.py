@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from pressmill import queries, schemas
-from pressmill.operators.media import outlet_stats  # noqa: F401
 from pressmill.plans import weekly
 from pressmill.sources import registry, store
 from pressmill.streaming import media_store
