@@ -7,17 +7,36 @@ import uuid
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from pressmill.llm import bpe, token_files, topk
+from pressmill.llm import bpe, embeddings, language, mixing, quality, token_files, topk
 from pressmill.llm.common import table
 from pressmill.session import checkpoint_dir
 
 
+def op1_language_mixture(spark, sf_dir):
+    """Language of every document, learned from the documents that are not held out."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2)
+    languages, shares = language.learn(docs.where(~F.col("held_out")))
+    return language.predict(docs, languages, shares, keep=("held_out",)).select(
+        F.col("id").alias("doc_id"), "held_out", "lang_pred", "score")
+
+
+def op2_embedding_near_duplicates(spark, sf_dir):
+    """Links and components of the vectors of each label."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 def op3_exact_top_k(spark, sf_dir):
     """Ten best rows by integer inner product for every hundredth vector."""
     rows = table(spark, sf_dir, "embeddings")
     return topk.top_k(rows.where("vec_id % 100 = 0"), rows)
 
 
+def op4_mixture_weights(spark, sf_dir):
+    """Raked probabilities and the sample of all documents."""
+    out = mixing.mix(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    return out.withColumn("probability", F.round("probability", 6)).withColumn("weight", F.round("weight", 3))
+
+
 def op6_token_files(spark, sf_dir):
     """Writes all documents as token files and reads them back."""
     path = f"{checkpoint_dir(spark)}/tokens-{uuid.uuid4().hex}"
@@ -33,6 +52,11 @@ def op7_bpe_round_trip(spark, sf_dir):
                       F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+def op10_weak_quality(spark, sf_dir):
+    """Score of every document by the scorer trained on the labellers' verdicts."""
+    return quality.score_documents(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 SQL_TOP_K = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
  FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
@@ -45,8 +69,10 @@ SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM (
 
 
 def queries():
-    return {f.__name__: f for f in (op3_exact_top_k, op6_token_files, op7_bpe_round_trip)}
+    return {f.__name__: f for f in (
+        op1_language_mixture, op2_embedding_near_duplicates, op3_exact_top_k, op4_mixture_weights, op6_token_files,
+        op7_bpe_round_trip, op10_weak_quality)}
 
 
 def oracle_sql():
-    return {"op3_exact_top_k": SQL_TOP_K}
+    return {"op3_exact_top_k": SQL_TOP_K, "op4_mixture_weights": mixing.oracle()}
