@@ -74,3 +74,21 @@ def components(links: DataFrame) -> DataFrame:
         edges = written(small.where("u <> v").distinct())
     roots = edges.groupBy("v").agg(F.min("v").alias("component_id")).select(F.col("v").alias("id"), "component_id")
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component_id")).union(roots)
+
+
+def dealt(buckets: np.ndarray, n: int, arrays: list[np.ndarray]):
+    """Entries dealt out to their buckets: (bucket, bytes of each array's part), in the order they came."""
+    order = np.argsort(buckets, kind="stable")
+    ends = np.searchsorted(buckets[order], np.arange(n + 1))
+    parts = [a[order] for a in arrays]
+    for b in np.flatnonzero(ends[1:] > ends[:-1]):
+        yield int(b), [p[ends[b]:ends[b + 1]].tobytes() for p in parts]
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A 64-bit finaliser: neighbouring or related numbers get unrelated bits."""
+    x = x ^ (x >> np.uint64(33))
+    x = x * np.uint64(0xFF51AFD7ED558CCD)
+    x = x ^ (x >> np.uint64(33))
+    x = x * np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> np.uint64(33))

@@ -7,7 +7,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from pressmill.llm import bpe, embeddings, language, mixing, quality, token_files, topk
+from pressmill.llm import bpe, embeddings, language, mixing, near_documents, quality, token_files, topk
 from pressmill.llm.common import table
 from pressmill.session import checkpoint_dir
 
@@ -52,6 +52,11 @@ def op7_bpe_round_trip(spark, sf_dir):
                       F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+def op9_ngram_jaccard_join(spark, sf_dir):
+    """Components of near-duplicate documents."""
+    return near_documents.near_documents(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op10_weak_quality(spark, sf_dir):
     """Score of every document by the scorer trained on the labellers' verdicts."""
     return quality.score_documents(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
@@ -71,7 +76,7 @@ SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM (
 def queries():
     return {f.__name__: f for f in (
         op1_language_mixture, op2_embedding_near_duplicates, op3_exact_top_k, op4_mixture_weights, op6_token_files,
-        op7_bpe_round_trip, op10_weak_quality)}
+        op7_bpe_round_trip, op9_ngram_jaccard_join, op10_weak_quality)}
 
 
 def oracle_sql():
