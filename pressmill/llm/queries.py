@@ -7,7 +7,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from pressmill.llm import bpe, embeddings, language, mixing, near_documents, quality, token_files, topk
+from pressmill.llm import bpe, embeddings, language, lines, mixing, near_documents, quality, token_files, topk
 from pressmill.llm.common import table
 from pressmill.session import checkpoint_dir
 
@@ -52,6 +52,12 @@ def op7_bpe_round_trip(spark, sf_dir):
                       F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+def op8_line_dedup(spark, sf_dir):
+    """Lines and removed lines of every document, and a digest of what remains."""
+    out = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_removed", F.md5(F.coalesce("text", F.lit(""))).alias("kept_md5"))
+
+
 def op9_ngram_jaccard_join(spark, sf_dir):
     """Components of near-duplicate documents."""
     return near_documents.near_documents(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
@@ -76,7 +82,7 @@ SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM (
 def queries():
     return {f.__name__: f for f in (
         op1_language_mixture, op2_embedding_near_duplicates, op3_exact_top_k, op4_mixture_weights, op6_token_files,
-        op7_bpe_round_trip, op9_ngram_jaccard_join, op10_weak_quality)}
+        op7_bpe_round_trip, op8_line_dedup, op9_ngram_jaccard_join, op10_weak_quality)}
 
 
 def oracle_sql():
