@@ -199,9 +199,10 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     All documents' votes are counted (a count per pattern, at most 3 ** labellers of them, comes to the driver). The
     scorer is trained on at most SAMPLE_ROWS documents. ``kept`` is score >= KEEP_FROM; a null or blank text has score 0
-    and goes. Without documents there are no rows; if all votes agree, the posteriors are near the prior and all is kept.
+    and goes. The columns of ``docs`` come along as the struct ``row``. Without documents there are no rows; if all votes agree, the posteriors are near the prior and all is kept.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    whole = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.struct(*docs.columns).alias("row"))
 
     def vote(batches):
         for batch in batches:
@@ -241,7 +242,9 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             post = posterior(_unpacked(np.array(said, np.int64)), share, chance) if said else []
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(said, pa.int32()), pa.array(post, pa.float64()), pa.array(value, pa.float64()),
-                 pa.array([v >= KEEP_FROM for v in value], pa.bool_())], ["id", "votes", "posterior", "score", "kept"])
+                 pa.array([v >= KEEP_FROM for v in value], pa.bool_()), batch.column(2)],
+                ["id", "votes", "posterior", "score", "kept", "row"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(score, f"id {kind}, votes int, posterior double, score double, kept boolean")
+    row = whole.schema["row"].dataType.simpleString()
+    return whole.mapInArrow(score, f"id {kind}, votes int, posterior double, score double, kept boolean, row {row}")

@@ -7,7 +7,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from pressmill.llm import bpe, embeddings, language, lines, mixing, near_documents, quality, token_files, topk
+from pressmill.llm import bpe, embeddings, language, lines, mixing, near_documents, quality, repeats, token_files, topk
 from pressmill.llm.common import table
 from pressmill.session import checkpoint_dir
 
@@ -37,6 +37,13 @@ def op4_mixture_weights(spark, sf_dir):
     return out.withColumn("probability", F.round("probability", 6)).withColumn("weight", F.round("weight", 3))
 
 
+def op5_repeated_passages(spark, sf_dir):
+    """Bytes of every document that lie in strings of 100 bytes which also start earlier."""
+    out = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_token_files(spark, sf_dir):
     """Writes all documents as token files and reads them back."""
     path = f"{checkpoint_dir(spark)}/tokens-{uuid.uuid4().hex}"
@@ -65,7 +72,8 @@ def op9_ngram_jaccard_join(spark, sf_dir):
 
 def op10_weak_quality(spark, sf_dir):
     """Score of every document by the scorer trained on the labellers' verdicts."""
-    return quality.score_documents(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    out = quality.score_documents(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("row")
+    return out.withColumnRenamed("id", "doc_id")
 
 
 SQL_TOP_K = """
@@ -81,7 +89,7 @@ SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM (
 
 def queries():
     return {f.__name__: f for f in (
-        op1_language_mixture, op2_embedding_near_duplicates, op3_exact_top_k, op4_mixture_weights, op6_token_files,
+        op1_language_mixture, op2_embedding_near_duplicates, op3_exact_top_k, op4_mixture_weights, op5_repeated_passages, op6_token_files,
         op7_bpe_round_trip, op8_line_dedup, op9_ngram_jaccard_join, op10_weak_quality)}
 
 
