@@ -19,6 +19,7 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a table in the shared checkpoint folder; shuffle files of what led to it can go afterwards."""
     out = cut_lineage(df)
+    del df
     gc.collect()
     out.sparkSession.sparkContext._jvm.System.gc()  # lets Spark's cleaner drop shuffle files nobody refers to any more
     return out

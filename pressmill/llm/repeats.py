@@ -22,12 +22,12 @@ COVER = sorted({pow(2, k, PERIOD) for k in range(9)})
 #: bytes after a sample that its name stands for
 NAMED = DEPTH - PERIOD + 1
 #: suffix buckets are sorted in so many turns
-TURNS = 4
+TURNS = 2
 #: suffixes of one bucket, about
 ENTRIES = 3_000_000
 #: bytes of a text hashed at a time
 CHUNK = 1 << 22
-BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+BASE = 0x9E3779B97F4A7C15
 
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -46,20 +46,33 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[base]
 
 
-def names(data: np.ndarray, at: np.ndarray, length: int, base: int) -> np.ndarray:
-    """A number for the ``length`` bytes from each position of ``at`` (ascending), equal for equal bytes."""
-    out = np.empty(len(at), np.uint64)
-    for low in range(0, len(data), CHUNK):
-        a, b = np.searchsorted(at, [low, low + CHUNK])
-        if a == b:
-            continue
-        part = data[low:low + CHUNK + length]
-        power, inverse = _powers(base, len(part) + 1)
-        total = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * power[:len(part)], out=total[1:])
-        here = at[a:b] - low
-        out[a:b] = mixed((total[here + length] - total[here]) * inverse[here])
-    return out
+class Names:
+    """Numbers for the bytes from given positions of a text (ascending), equal for equal bytes.
+
+    Only the part of the text that the positions span is gone over, CHUNK bytes at a time.
+    """
+
+    def __init__(self, data: np.ndarray, at: np.ndarray, length: int):
+        self.parts = []
+        low = int(at[0]) if len(at) else 0
+        while len(at) and low <= at[-1]:
+            a, b = np.searchsorted(at, [low, low + CHUNK])
+            if a < b:
+                part = data[low:min(low + CHUNK, int(at[b - 1])) + length]
+                power, inverse = _powers(BASE, len(part) + 1)
+                total = np.zeros(len(part) + 1, np.uint64)
+                np.cumsum((part.astype(np.uint64) + np.uint64(1)) * power[:len(part)], out=total[1:])
+                self.parts.append((a, b, total, inverse, at[a:b] - low))
+            low += CHUNK
+
+    def of(self, length: int, only: np.ndarray | None = None) -> np.ndarray:
+        """For ``length`` bytes, of the positions marked in ``only`` or of all."""
+        out = [np.empty(0, np.uint64)]
+        for a, b, total, inverse, here in self.parts:
+            if only is not None:
+                here = here[only[a:b]]
+            out.append(mixed((total[here + length] - total[here]) * inverse[here]))
+        return np.concatenate(out)
 
 
 def cover_positions(n: int) -> np.ndarray:
@@ -80,18 +93,25 @@ def _bytes(text: str | None) -> np.ndarray:
     return np.frombuffer((text or "").encode("utf-8", "replace"), np.uint8)
 
 
-def _sample_entries(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _sample_entries(text: str, mine=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Position, name and deal of each sample of a text."""
     data = _bytes(text)
     at = cover_positions(len(data))
-    key = names(data, at, NAMED, BASES[0])
+    key = Names(data, at, NAMED).of(NAMED)
     return at, key, mixed(key + np.uint64(1))
 
 
-def _suffix_entries(text: str, flagged: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, name and deal of each suffix that can be equal to another; name and deal are independent."""
+def _suffix_entries(text: str, flagged: np.ndarray, mine=None) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
+    """Start, name and deal of each suffix that can be equal to another.
+
+    The deal is a number for the first half of the string, so strings that meet by chance differ in two numbers. Names are
+    made for the suffixes whose deals ``mine`` picks, none without it.
+    """
     data = _bytes(text)
     at = zones(flagged, len(data))
-    return at, names(data, at, DEPTH, BASES[0]), names(data, at, DEPTH, BASES[1])
+    numbers = Names(data, at, DEPTH)
+    deal = numbers.of(DEPTH // 2)
+    return at, None if mine is None else numbers.of(DEPTH, mine(deal)), deal
 
 
 def _exchange(rows: DataFrame, entries_of, n: int, later_only: bool, turn: int = 0, turns: int = 1) -> DataFrame:
@@ -102,13 +122,13 @@ def _exchange(rows: DataFrame, entries_of, n: int, later_only: bool, turn: int =
     def send(batches):
         ids, keys, deals, held = [], [], [], 0
 
+        def mine(deal):
+            return deal % np.uint64(n) % np.uint64(turns) == turn
+
         def out():
             run = [len(k) for k in keys]
             bucket = (np.concatenate(deals) % np.uint64(n)).astype(np.int64)
             key, row = np.concatenate(keys), np.repeat(np.arange(len(keys), dtype=np.uint32), run)
-            if turns > 1:
-                mine = bucket % turns == turn
-                bucket, key, row = bucket[mine], key[mine], row[mine]
             sent = []
             for b, (k, r) in dealt(bucket, n, [key, row]):
                 doc, count = np.unique(np.frombuffer(r, np.uint32), return_counts=True)
@@ -120,12 +140,12 @@ def _exchange(rows: DataFrame, entries_of, n: int, later_only: bool, turn: int =
         for batch in batches:
             for k in range(batch.num_rows):
                 row = [c[k].as_py() for c in batch.columns]
-                _, key, deal = entries_of(*row[1:])
+                _, key, deal = entries_of(*row[1:], mine)
                 if not len(key):
                     continue
                 ids.append(row[0])
                 keys.append(key)
-                deals.append(deal)
+                deals.append(deal[mine(deal)])
                 held += len(key)
                 if held >= ENTRIES // 2:
                     yield out()
@@ -215,7 +235,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         known = known.dropDuplicates(["id"])
     size = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_samples = pieces(size * len(COVER) / PERIOD, ENTRIES, 12)
-    flags = written(_by_document(_exchange(known, lambda text: _sample_entries(text), n_samples, False)))
+    flags = written(_by_document(_exchange(known, _sample_entries, n_samples, False)))
 
     def prepare(batches):
         """Texts with flagged samples, with the numbers of those samples and how many suffixes they leave."""
@@ -232,7 +252,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     work = written(known.join(flags, F.col("id") == F.col("_id")).select("id", "text", "hits").mapInArrow(
         prepare, "id long, text string, flagged binary, n long").where("n > 0"))
     n_suffixes = pieces(work.agg(F.sum("n")).first()[0] or 0, ENTRIES, 12 * TURNS)
-    suffixes = lambda text, flagged: _suffix_entries(text, np.frombuffer(flagged, "<i8"))
+    suffixes = lambda text, flagged, mine=None: _suffix_entries(text, np.frombuffer(flagged, "<i8"), mine)
     later = None
     for turn in range(TURNS):
         part = written(_exchange(work.select("id", "text", "flagged"), suffixes, n_suffixes, True, turn, TURNS))
