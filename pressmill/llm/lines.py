@@ -54,7 +54,7 @@ def _prefix(words: Column, counts: list[int]) -> Column:
         return F.shiftleft(F.get(rarity, _bucket(h)).cast("long"), 43).bitwiseOR(h.bitwiseAND(F.lit((1 << 43) - 1)))
 
     n = F.size(words)
-    return F.slice(F.array_sort(F.transform(words, number)), 1, (n - F.ceil(n * (PERCENT / 100) - 1e-9) + 1).cast("int"))
+    return F.slice(F.sort_array(F.transform(words, number)), 1, (n - F.ceil(n * (PERCENT / 100) - 1e-9) + 1).cast("int"))
 
 
 def _before(a_id: str, a_pos: str, b_id: str, b_pos: str) -> Column:
@@ -68,12 +68,15 @@ def _possible(n_a: str, i_a: str, n_b: str, i_b: str) -> Column:
     return (100 * F.least(a, b) >= PERCENT * F.greatest(a, b)) & (rest * (100 + PERCENT) >= PERCENT * (a + b))
 
 
-def _similar(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+def _similar(pairs: DataFrame, split: DataFrame) -> DataFrame:
     """(id, pos) of the later lines of ``pairs`` (id, pos, o_id, o_pos) that are similar to the earlier ones."""
-    early = lines.select(F.col("id").alias("o_id"), F.col("pos").alias("o_pos"), F.col("words").alias("o_words"))
-    shared = F.size(F.array_intersect("words", "o_words"))
-    both = pairs.join(lines, ["id", "pos"]).join(early, ["o_id", "o_pos"])
-    return both.where(100 * shared >= PERCENT * (F.size("words") + F.size("o_words") - shared)).select("id", "pos").distinct()
+    named = pairs.select("id", "pos").union(pairs.select("o_id", "o_pos")).distinct()
+    lines = written(split.join(named, ["id", "pos"]).select("id", "pos", "line"))
+    early = lines.select(F.col("id").alias("o_id"), F.col("pos").alias("o_pos"), F.col("line").alias("o_line"))
+    a, b = (F.array_distinct(_words(F.col(c))) for c in ("line", "o_line"))
+    both = pairs.join(lines, ["id", "pos"]).join(early, ["o_id", "o_pos"]).select("id", "pos", a.alias("a"), b.alias("b"))
+    shared = F.size(F.array_intersect("a", "b"))
+    return both.where(100 * shared >= PERCENT * (F.size("a") + F.size("b") - shared)).select("id", "pos").distinct()
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -84,36 +87,33 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     split = split_lines(docs, id_col, text_col)
     counts = word_counts(docs.where(F.col(text_col).isNotNull()), text_col)
-    all_words = _words(F.col("line"))
-    rows = (split.withColumn("w", all_words).where(F.size("w") >= LEAST_WORDS).withColumn("words", F.array_distinct("w"))
-            .select("id", "pos", F.xxhash64("line").alias("h"), F.crc32("line").alias("c"), F.size("words").alias("n"),
-                    _prefix(F.col("words"), counts).alias("keys")))
-    lines = written(rows)
-    firsts = written(lines.groupBy("h", "c").agg(F.min(F.struct("id", "pos", "n", "keys")).alias("f")).select("h", "c", "f.*"))
-    copies = lines.join(firsts.select("h", "c", F.col("id").alias("f_id"), F.col("pos").alias("f_pos")), ["h", "c"]).where(
-        (F.col("id") != F.col("f_id")) | (F.col("pos") != F.col("f_pos"))).select("id", "pos")
+    compared = split.withColumn("w", _words(F.col("line"))).where(F.size("w") >= LEAST_WORDS)
+    classes = compared.select("id", "pos", F.xxhash64("line").alias("h"), F.crc32("line").alias("c"))
+    lead = classes.groupBy("h", "c").agg(F.min(F.struct("id", "pos")).alias("f"))
+    copies = written(classes.join(lead, ["h", "c"]).where((F.col("id") != F.col("f.id")) | (F.col("pos") != F.col("f.pos"))).select("id", "pos"))
     # one exchange by key serves the counts and the rows
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    firsts = (compared.withColumn("words", F.array_distinct("w"))
+              .select("id", "pos", F.size("words").alias("n"), _prefix(F.col("words"), counts).alias("keys"))
+              .join(copies, ["id", "pos"], "left_anti"))
     entries = firsts.select("id", "pos", "n", F.posexplode("keys").alias("i", "key")).repartition(parts, "key")
     often = entries.groupBy("key").count().where("count > 1").select("key")
     by_key = Window.partitionBy("key").orderBy("id", "pos")
-    lead = F.first(F.struct("id", "pos", "n", "i")).over(by_key.rowsBetween(Window.unboundedPreceding, 0))
-    met = written(entries.join(often.hint("shuffle_hash"), "key").withColumn("o", lead)
+    first = F.first(F.struct("id", "pos", "n", "i")).over(by_key.rowsBetween(Window.unboundedPreceding, 0))
+    met = written(entries.join(often.hint("shuffle_hash"), "key").withColumn("o", first)
                   .select("key", "id", "pos", "n", "i", F.col("o.id").alias("o_id"), F.col("o.pos").alias("o_pos"),
                           F.col("o.n").alias("o_n"), F.col("o.i").alias("o_i")))
     star = written(met.where(_before("o_id", "o_pos", "id", "pos") & _possible("n", "i", "o_n", "o_i"))
                    .select("id", "pos", "o_id", "o_pos").distinct())
-    concerned = met.select("id", "pos").distinct()
-    words = written(split.join(concerned, ["id", "pos"]).select("id", "pos", F.array_distinct(_words(F.col("line"))).alias("words")))
-    gone = written(_similar(star, words))
+    gone = written(_similar(star, split))
     # lines that stay so far meet all earlier lines of their keys but the leader; lines that went may be the earlier ones
-    left = met.join(gone, ["id", "pos"], "left_anti").select("key", "id", "pos", "n", "i", F.col("o_id").alias("l_id"), F.col("o_pos").alias("l_pos"))
+    left = (met.where(_before("o_id", "o_pos", "id", "pos")).join(gone, ["id", "pos"], "left_anti")
+            .select("key", "id", "pos", "n", "i"))
     early = met.where(_before("o_id", "o_pos", "id", "pos")).select(
         "key", F.col("id").alias("o_id"), F.col("pos").alias("o_pos"), F.col("n").alias("o_n"), F.col("i").alias("o_i"))
-    rest = (left.where(_before("l_id", "l_pos", "id", "pos")).join(early, "key")
-            .where(_before("o_id", "o_pos", "id", "pos") & _possible("n", "i", "o_n", "o_i"))
-            .select("id", "pos", "o_id", "o_pos").distinct())
-    return written(copies.union(gone).union(_similar(rest, words)))
+    rest = written(left.join(early, "key").where(_before("o_id", "o_pos", "id", "pos") & _possible("n", "i", "o_n", "o_i"))
+                   .select("id", "pos", "o_id", "o_pos").distinct())
+    return written(copies.union(gone).union(_similar(rest, split)))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
