@@ -6,6 +6,8 @@ are indexed. Length and position bounds leave few pairs, and those are verified
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -17,7 +19,7 @@ PERCENT = 80
 #: lines of fewer words are never removed nor compared: the feature's own limit
 LEAST_WORDS = 5
 #: buckets of the word counts that order words by rarity; fixed, whatever the corpus
-COUNT_BUCKETS = 1 << 18
+COUNT_BUCKETS = 1 << 16
 SPACE = r"[ \t\x0B\f\r]+"
 
 
@@ -46,8 +48,9 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> list[int]:
 
 
 def _prefix(words: Column, counts: list[int]) -> Column:
-    """The words that are indexed, rarest first, as numbers: rarity in the high bits, the word's hash below."""
-    rarity = F.split(F.lit(",".join(map(str, (min(n, (1 << 19) - 1) for n in counts)))), ",").cast("array<int>")
+    """The words that are indexed, rarest first, as numbers: a step of rarity in the high bits, the word's hash below."""
+    steps = ",".join(str(int(8 * math.log2(n + 1))) for n in counts)
+    rarity = F.split(F.lit(steps), ",").cast("array<int>")
 
     def number(w):
         h = F.xxhash64(w)
@@ -63,18 +66,29 @@ def _before(a_id: str, a_pos: str, b_id: str, b_pos: str) -> Column:
 
 def _possible(n_a: str, i_a: str, n_b: str, i_b: str) -> Column:
     """Length and position bounds for two lines that share the words at places i_a and i_b as their first."""
-    a, b = F.col(n_a), F.col(n_b)
-    rest = 1 + F.least(a - 1 - F.col(i_a), b - 1 - F.col(i_b))
-    return (100 * F.least(a, b) >= PERCENT * F.greatest(a, b)) & (rest * (100 + PERCENT) >= PERCENT * (a + b))
+    rest = 1 + F.least(F.col(n_a) - 1 - F.col(i_a), F.col(n_b) - 1 - F.col(i_b))
+    return _near_length(n_a, n_b) & (rest * (100 + PERCENT) >= PERCENT * (F.col(n_a) + F.col(n_b)))
+
+
+def _near_length(n_a: str, n_b: str) -> Column:
+    return 100 * F.least(n_a, n_b) >= PERCENT * F.greatest(n_a, n_b)
+
+
+def _enough(shared: str, n_a: str, n_b: str) -> Column:
+    """Whether lines that share so many indexed words can be similar.
+
+    The prefix of one of them lies wholly within what both index, so beyond those words they share the rest of it at most.
+    """
+    beyond = F.greatest(*(F.ceil(F.col(n) * (PERCENT / 100) - 1e-9) - 1 for n in (n_a, n_b)))
+    return (F.col(shared) + beyond) * (100 + PERCENT) >= PERCENT * (F.col(n_a) + F.col(n_b))
 
 
 def _similar(pairs: DataFrame, split: DataFrame) -> DataFrame:
     """(id, pos) of the later lines of ``pairs`` (id, pos, o_id, o_pos) that are similar to the earlier ones."""
     named = pairs.select("id", "pos").union(pairs.select("o_id", "o_pos")).distinct()
-    lines = written(split.join(named, ["id", "pos"]).select("id", "pos", "line"))
-    early = lines.select(F.col("id").alias("o_id"), F.col("pos").alias("o_pos"), F.col("line").alias("o_line"))
-    a, b = (F.array_distinct(_words(F.col(c))) for c in ("line", "o_line"))
-    both = pairs.join(lines, ["id", "pos"]).join(early, ["o_id", "o_pos"]).select("id", "pos", a.alias("a"), b.alias("b"))
+    lines = written(split.join(named, ["id", "pos"]).select("id", "pos", F.array_distinct(_words(F.col("line"))).alias("a")))
+    early = lines.select(F.col("id").alias("o_id"), F.col("pos").alias("o_pos"), F.col("a").alias("b"))
+    both = pairs.join(lines, ["id", "pos"]).join(early, ["o_id", "o_pos"])
     shared = F.size(F.array_intersect("a", "b"))
     return both.where(100 * shared >= PERCENT * (F.size("a") + F.size("b") - shared)).select("id", "pos").distinct()
 
@@ -91,28 +105,27 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     classes = compared.select("id", "pos", F.xxhash64("line").alias("h"), F.crc32("line").alias("c"))
     lead = classes.groupBy("h", "c").agg(F.min(F.struct("id", "pos")).alias("f"))
     copies = written(classes.join(lead, ["h", "c"]).where((F.col("id") != F.col("f.id")) | (F.col("pos") != F.col("f.pos"))).select("id", "pos"))
-    # one exchange by key serves the counts and the rows
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     firsts = (compared.withColumn("words", F.array_distinct("w"))
               .select("id", "pos", F.size("words").alias("n"), _prefix(F.col("words"), counts).alias("keys"))
               .join(copies, ["id", "pos"], "left_anti"))
-    entries = firsts.select("id", "pos", "n", F.posexplode("keys").alias("i", "key")).repartition(parts, "key")
-    often = entries.groupBy("key").count().where("count > 1").select("key")
+    entries = firsts.select("id", "pos", "n", F.posexplode("keys").alias("i", "key"))
+    # words of one line only are most of the entries; one exchange and sort finds both them and the first line of the others
     by_key = Window.partitionBy("key").orderBy("id", "pos")
     first = F.first(F.struct("id", "pos", "n", "i")).over(by_key.rowsBetween(Window.unboundedPreceding, 0))
-    met = written(entries.join(often.hint("shuffle_hash"), "key").withColumn("o", first)
+    follows = F.lead("id").over(by_key).isNotNull()
+    met = written(entries.withColumn("o", first).withColumn("more", follows)
+                  .where(F.col("more") | (F.col("id") != F.col("o.id")) | (F.col("pos") != F.col("o.pos")))
                   .select("key", "id", "pos", "n", "i", F.col("o.id").alias("o_id"), F.col("o.pos").alias("o_pos"),
                           F.col("o.n").alias("o_n"), F.col("o.i").alias("o_i")))
     star = written(met.where(_before("o_id", "o_pos", "id", "pos") & _possible("n", "i", "o_n", "o_i"))
                    .select("id", "pos", "o_id", "o_pos").distinct())
     gone = written(_similar(star, split))
     # lines that stay so far meet all earlier lines of their keys but the leader; lines that went may be the earlier ones
-    left = (met.where(_before("o_id", "o_pos", "id", "pos")).join(gone, ["id", "pos"], "left_anti")
-            .select("key", "id", "pos", "n", "i"))
-    early = met.where(_before("o_id", "o_pos", "id", "pos")).select(
-        "key", F.col("id").alias("o_id"), F.col("pos").alias("o_pos"), F.col("n").alias("o_n"), F.col("i").alias("o_i"))
-    rest = written(left.join(early, "key").where(_before("o_id", "o_pos", "id", "pos") & _possible("n", "i", "o_n", "o_i"))
-                   .select("id", "pos", "o_id", "o_pos").distinct())
+    left = met.join(gone, ["id", "pos"], "left_anti").select("key", "id", "pos", "n")
+    early = met.select("key", F.col("id").alias("o_id"), F.col("pos").alias("o_pos"), F.col("n").alias("o_n"))
+    rest = written(left.join(early, "key").where(_before("o_id", "o_pos", "id", "pos") & _near_length("n", "o_n"))
+                   .groupBy("id", "pos", "n", "o_id", "o_pos", "o_n").count().where(_enough("count", "n", "o_n"))
+                   .select("id", "pos", "o_id", "o_pos"))
     return written(copies.union(gone).union(_similar(rest, split)))
 
 
