@@ -112,12 +112,11 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     by_key = Window.partitionBy("key").orderBy("id", "pos")
     first = F.first(F.struct("id", "pos", "n", "i")).over(by_key.rowsBetween(Window.unboundedPreceding, 0))
     follows = F.lead("id").over(by_key).isNotNull()
-    met = written(entries.withColumn("o", first).withColumn("more", follows)
-                  .where(F.col("more") | (F.col("id") != F.col("o.id")) | (F.col("pos") != F.col("o.pos")))
-                  .select("key", "id", "pos", "n", "i", F.col("o.id").alias("o_id"), F.col("o.pos").alias("o_pos"),
-                          F.col("o.n").alias("o_n"), F.col("o.i").alias("o_i")))
-    star = written(met.where(_before("o_id", "o_pos", "id", "pos") & _possible("n", "i", "o_n", "o_i"))
-                   .select("id", "pos", "o_id", "o_pos").distinct())
+    later = (F.col("id") != F.col("o.id")) | (F.col("pos") != F.col("o.pos"))
+    leader = F.when(later & _possible("n", "i", "o.n", "o.i"), F.struct("o.id", "o.pos"))
+    met = written(entries.withColumn("o", first).withColumn("more", follows).where(F.col("more") | later)
+                  .select("key", "id", "pos", "n", leader.alias("leader")))
+    star = written(met.where("leader is not null").select("id", "pos", F.col("leader.id").alias("o_id"), F.col("leader.pos").alias("o_pos")).distinct())
     gone = written(_similar(star, split))
     # lines that stay so far meet all earlier lines of their keys but the leader; lines that went may be the earlier ones
     left = met.join(gone, ["id", "pos"], "left_anti").select("key", "id", "pos", "n")
