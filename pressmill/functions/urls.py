@@ -35,7 +35,7 @@ def make_id(url: Column) -> Column:
 
 
 def absolute_url(link: Column, base: Column) -> Column:
-    """Resolve a link against the page it was found on. Dot segments are left to the publisher's server."""
+    """Resolve a link against the page it was found on, dot segments included."""
     link = F.trim(F.coalesce(link, F.lit("")))
     scheme = F.regexp_extract(base, _SCHEME, 1)
     origin = F.concat(scheme, F.lit("://"), F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)", 1))
@@ -45,10 +45,22 @@ def absolute_url(link: Column, base: Column) -> Column:
     return (F.when(link == "", base)
             .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), link)
             .when(F.startswith(link, F.lit("//")), F.concat(scheme, F.lit(":"), link))
-            .when(F.startswith(link, F.lit("/")), F.concat(origin, link))
+            .when(F.startswith(link, F.lit("/")), F.concat(origin, without_dots(link)))
             .when(F.startswith(link, F.lit("?")), F.concat(bare, link))
             .when(F.startswith(link, F.lit("#")), F.concat(F.regexp_replace(base, "#.*$", ""), link))
-            .otherwise(F.concat(folder, link)))
+            .otherwise(F.concat(origin, without_dots(F.concat(F.substr(folder, F.length(origin) + 1), link)))))
+
+
+def without_dots(path: Column) -> Column:
+    """A path from the root with ``.`` and ``..`` segments resolved; query and fragment stay as they are."""
+    bare = F.regexp_extract(path, r"^([^?#]*)", 1)
+    parts = F.split(bare, "/")
+    last = F.element_at(parts, -1)
+    walked = F.aggregate(parts, F.array().cast("array<string>"), lambda done, part: (
+        F.when(part == ".", done).when(part == "..", F.slice(done, 1, F.greatest(F.lit(1), F.size(done) - 1)))
+        .otherwise(F.concat(done, F.array(part)))))
+    resolved = F.concat(F.array_join(walked, "/"), F.when(last.isin(".", "..") , F.lit("/")).otherwise(F.lit("")))
+    return F.concat(F.when(bare.rlike(r"(^|/)\.\.?(/|$)"), resolved).otherwise(bare), F.substr(path, F.length(bare) + 1))
 
 
 def normalize_doi(doi: Column) -> Column:

@@ -60,11 +60,13 @@ def unite(*parts: DataFrame) -> DataFrame:
 
 
 def merge_with_stored(fresh: DataFrame, stored: DataFrame) -> DataFrame:
-    """One row per id; a stored row wins and keeps its first sighting, so that a rerun sees the same input."""
-    both = (fresh.withColumn("_stored", F.lit(0)).withColumn("_at", F.monotonically_increasing_id())
-            .unionByName(stored.withColumn("_stored", F.lit(1)).withColumn("_at", F.lit(0).cast("long")),
-                         allowMissingColumns=True))
-    return top_per_group(both, ["id"], [F.desc("_stored"), F.desc("_at")], 1).drop("_stored", "_at")
+    """One row per id; a stored row wins and keeps its first sighting, so that a rerun sees the same input.
+
+    Among fresh rows the first seen wins, then the place in the feed, the address and the title, however they are spread.
+    """
+    both = fresh.withColumn("_stored", F.lit(0)).unionByName(stored.withColumn("_stored", F.lit(1)), allowMissingColumns=True)
+    order = [F.asc_nulls_last(c) for c in ("first_seen", "feed_pos", "url", "title", "source_id") if c in both.columns]
+    return top_per_group(both, ["id"], [F.desc("_stored"), *order], 1).drop("_stored")
 
 
 def news_only(items: DataFrame) -> DataFrame:

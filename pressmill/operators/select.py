@@ -2,14 +2,17 @@
 
 The rule walks the ranked pool several times, so it runs as one small grouped step per week. The step never sees the
 whole pool: clusters and picks depend only on better-ranked rows, so it works on the best ``prefix`` rows of a week
-and reports whether it could finish with them; only if not, the prefix grows. Inside the prefix, rows that no pass
-could reach are trimmed first (see ``trim``).
+and reports whether it could finish with them; only if not, the prefix grows.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Callable
+from dataclasses import dataclass
+
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressmill import config
@@ -29,84 +32,88 @@ def with_organisation(scored: DataFrame, sources: DataFrame) -> DataFrame:
     return scored.join(org, "source_id", "left").withColumn("org", F.coalesce("_org", "source_id")).drop("_org")
 
 
-def _walk(sel: config.Selection, complete_pool: str):
-    """The rule for one week's ranked rows."""
-    caps = sel.type_caps()
+@dataclass(frozen=True)
+class Quota:
+    """At least ``least`` selected rows for which ``condition`` holds, as far as there are such rows."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values("rank", kind="stable").to_dict("records")
-        chosen: dict[str, dict] = {}
-        count: dict[tuple, int] = {}
-
-        def used(kind: str, row: dict) -> int:
-            return count.get((kind, row[kind]), 0)
-
-        def topic_free(row: dict) -> bool:
-            return used("cluster", row) < sel.max_per_cluster
-
-        def fits(row: dict) -> bool:
-            cap = caps.get(row["source_type"])
-            return (topic_free(row) and used("org", row) < sel.max_per_org
-                    and (cap is None or used("source_type", row) < cap))
-
-        def take(row: dict) -> None:
-            taken = {("u", c["url_key"]) for c in chosen.values()} | {("d", c["doi_key"]) for c in chosen.values()}
-            if row["id"] in chosen or ("u", row["url_key"]) in taken or (row["doi_key"] and ("d", row["doi_key"]) in taken):
-                return
-            chosen[row["id"]] = row
-            for kind in ("cluster", "org", "source_type"):
-                count[kind, row[kind]] = used(kind, row) + 1
-
-        def quota(flag: str, n: int) -> bool:
-            """True if the first pass, with all caps, reached the quota: later rows were then never looked at."""
-            for capped in (True, False):
-                for row in rows:
-                    if sum(c[flag] for c in chosen.values()) >= n:
-                        return capped
-                    if row[flag] and topic_free(row) and (fits(row) or not capped):
-                        take(row)
-            return False
-
-        whole = bool(pdf[complete_pool].iat[0])
-        final = quota("domestic", sel.min_domestic)
-        final = quota("attitudes", sel.min_attitudes) and final
-        for row in rows:
-            if len(chosen) >= sel.max_items:
-                break
-            if fits(row):
-                take(row)
-        final = final and len(chosen) >= sel.max_items
-        for row in rows:
-            if len(chosen) >= sel.max_items:
-                break
-            if topic_free(row):
-                take(row)
-        out = list(chosen.values())[:max(sel.max_items, sel.min_domestic + sel.min_attitudes)]
-        return pd.DataFrame({"scope": [r["scope"] for r in out], "id": [r["id"] for r in out],
-                             "done": [bool(final or whole)] * len(out)}, columns=["scope", "id", "done"])
+    name: str
+    condition: Callable[[], Column]
+    least: int
 
-    return run
+
+def default_quotas(sel: config.Selection) -> list[Quota]:
+    return [Quota("domestic", is_domestic, sel.min_domestic),
+            Quota("attitudes", lambda: F.col("is_public_attitudes_or_communication"), sel.min_attitudes)]
 
 
-def trim(pool: DataFrame, sel: config.Selection) -> DataFrame:
-    """Drop rows no pass can reach. Rows of one class (organisation, type, both quota flags) differ only by cluster.
+class _Picks:
+    """The rows picked so far, as counters: every row belongs to some groups, and a group takes only so many rows.
 
-    From one class and cluster at most ``max_per_cluster`` rows are taken, and a class is passed over only while the
-    clusters of its rows are full, which the rows chosen so far bound. Copies by address or DOI are kept apart by the
-    de-duplication that runs before; the trim relies on it.
+    Firm groups (address, DOI, cluster) hold in every pass, soft ones (organisation, source type) in strict passes. A
+    copy is thus nothing special: its address or DOI is a group that is full.
     """
-    klass = ["scope", "org", "source_type", "domestic", "attitudes"]
-    most = max(sel.max_items, sel.min_domestic + sel.min_attitudes)
-    pool = top_per_group(pool, [*klass, "cluster"], [F.col("rank")], sel.max_per_cluster)
-    return top_per_group(pool, klass, [F.col("rank")], 2 * most)
+
+    def __init__(self, pdf: pd.DataFrame, sel: config.Selection, flags: list[str]):
+        caps = sel.type_caps()
+        columns = {c: pdf[c].tolist() for c in ("url_key", "doi_key", "cluster", "org", "source_type", *flags)}
+        self.firm, self.soft = [], []
+        for k in range(len(pdf)):
+            firm = [("url", columns["url_key"][k], 1), ("cluster", columns["cluster"][k], sel.max_per_cluster)]
+            if columns["doi_key"][k]:
+                firm.append(("doi", columns["doi_key"][k], 1))
+            kind = columns["source_type"][k]
+            soft = [("org", columns["org"][k], sel.max_per_org)]
+            if kind in caps:
+                soft.append(("type", kind, caps[kind]))
+            self.firm.append(firm)
+            self.soft.append(soft)
+        self.flags = {f: columns[f] for f in flags}
+        self.load: Counter = Counter()
+        self.order: list[int] = []
+
+    def run(self, strict: bool, goal: int, flag: str | None = None) -> bool:
+        """One pass down the ranks until ``goal`` rows (with ``flag``) are picked; whether it got there."""
+        have = len(self.order) if flag is None else sum(bool(self.flags[flag][k]) for k in self.order)
+        for k in range(len(self.firm)):
+            if have >= goal:
+                break
+            groups = self.firm[k] + self.soft[k] if strict else self.firm[k]
+            if (flag and not self.flags[flag][k]) or any(self.load[kind, value] >= cap for kind, value, cap in groups):
+                continue
+            self.load.update((kind, value) for kind, value, _ in self.firm[k] + self.soft[k])
+            self.order.append(k)
+            have += 1
+        return have >= goal
+
+
+def _picker(sel: config.Selection, quotas: list[Quota]):
+    """The picked rows of one week's prefix, and whether a longer prefix could give others."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("rank", kind="stable")
+        picks, settled = _Picks(pdf, sel, [f"quota_{q.name}" for q in quotas]), True
+        goals = [(q.least, f"quota_{q.name}") for q in quotas] + [(sel.max_items, None)]
+        for goal, flag in goals:
+            # a strict pass that reaches its goal has seen all rows it needs; a lax one follows only if it does not
+            if not picks.run(True, goal, flag):
+                settled = False
+                picks.run(False, goal, flag)
+        chosen = pdf.iloc[picks.order[:max(sel.max_items, sum(q.least for q in quotas))]]
+        return pd.DataFrame({"scope": chosen["scope"], "id": chosen["id"], "done": settled or bool(pdf["whole"].iloc[0])})
+
+    return run
 
 
 def select_balanced(scored: DataFrame, sel: config.Selection = config.Selection(), scope: str = "week",
-                    first_prefix: int = FIRST_PREFIX) -> DataFrame:
-    """The selected rows of every week. ``scored`` holds score columns, final_score and ``org``."""
+                    first_prefix: int = FIRST_PREFIX, quotas: list[Quota] | None = None) -> DataFrame:
+    """The selected rows of every week. ``scored`` holds score columns, final_score and ``org``.
+
+    ``quotas`` (by default domestic focus and public attitudes) are filled in their order before the rest.
+    """
+    quotas = default_quotas(sel) if quotas is None else quotas
+    flags = [f"quota_{q.name}" for q in quotas]
     pool = cut_lineage(scored.where(F.col("relevance") >= sel.min_relevance).select(
         F.col(scope).cast("string").alias("scope"), F.col("id").cast("string").alias("id"), "org", "source_type",
-        is_domestic().alias("domestic"), F.col("is_public_attitudes_or_communication").alias("attitudes"),
+        *(q.condition().alias(f"quota_{q.name}") for q in quotas),
         urls.normalize_url(F.col("url")).alias("url_key"), F.lower(F.coalesce("doi", F.lit(""))).alias("doi_key"),
         rank_key().alias("rank"), "title", "title_cs", "url", "doi", "final_score", "cz_impact", "published_at",
         "first_seen"))
@@ -117,9 +124,8 @@ def select_balanced(scored: DataFrame, sel: config.Selection = config.Selection(
         clusters = topic_clusters(part, sel.cluster_threshold, scope="scope")
         rows = (part.join(clusters, ["scope", "id"]).join(sizes, "scope")
                 .withColumn("whole", F.col("pool_size") <= prefix))
-        result = cut_lineage(trim(rows, sel).select(
-            "scope", "id", "org", "source_type", "domestic", "attitudes", "url_key", "doi_key", "rank", "cluster", "whole")
-            .groupBy("scope").applyInPandas(_walk(sel, "whole"), "scope string, id string, done boolean"))
+        result = cut_lineage(rows.select("scope", "id", "org", "source_type", *flags, "url_key", "doi_key", "rank", "cluster", "whole")
+                             .groupBy("scope").applyInPandas(_picker(sel, quotas), "scope string, id string, done boolean"))
         finished = result.where("done").select("scope", "id")
         picked = finished if picked is None else picked.unionByName(finished)
         open_weeks = result.where("not done").select("scope").distinct()

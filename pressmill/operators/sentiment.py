@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pressmill import config
 from pressmill.operators.common import region_rank
+from pressmill.operators.score import rank_key
 
 # fixed values: upper bounds and labels of the index bands
 BANDS = [(-40, "spíše nepříznivá"), (-10, "mírně nepříznivá"), (10, "přibližně vyrovnaná"), (40, "mírně příznivá")]
@@ -46,12 +47,12 @@ def sentiment(rows: DataFrame, scope: str = "week", min_rows: int = config.SENTI
 
 
 def extremes(rows: DataFrame, scope: str = "week") -> DataFrame:
-    """Most positive and most negative pickable item per week: strongest value, then weight, then id."""
-    v, w = F.col("sentiment"), F.col("final_score")
-    best, worst = F.struct(v, w, F.col("id")), F.struct(-v, w, F.col("id"))
+    """Most positive and most negative pickable item per week: strongest value, then the order of ranks."""
+    v, first = F.col("sentiment"), rank_key().alias("rank")
+    best, worst = F.struct((-v).alias("v"), first, F.col("id")), F.struct(v.alias("v"), first, F.col("id"))
     return rows.groupBy(scope).agg(
-        F.max(F.when(v > 0, best))["id"].alias("most_positive_id"),
-        F.max(F.when(v < 0, worst))["id"].alias("most_negative_id"))
+        F.min(F.when(v > 0, best))["id"].alias("most_positive_id"),
+        F.min(F.when(v < 0, worst))["id"].alias("most_negative_id"))
 
 
 def summary(rows: DataFrame, pickable: DataFrame, scope: str = "week") -> DataFrame:

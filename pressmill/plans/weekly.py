@@ -34,7 +34,9 @@ def prepare(fresh: DataFrame, stored: DataFrame, seen: DataFrame, sources: DataF
     """Merge, window, de-duplicate, prefilter, score and select. ``supplied`` are scores from outside."""
     items = news_only(merge_with_stored(fresh, stored))
     if "arrival" not in items.columns:
-        items = items.withColumn("arrival", F.col("first_seen"))
+        # the place in the feed decides among items of one fetch; stored rows, without one, come first
+        place = F.col("feed_pos").cast("long") if "feed_pos" in items.columns else F.lit(None).cast("long")
+        items = items.withColumn("arrival", F.struct(F.col("first_seen").alias("seen"), place.alias("place")))
     placed = cut_lineage(window.select_window(items, seen, week, sel.undated_first_run_cap).withColumn("week", F.lit(week)))
     windowed = cut_lineage(dedup.deduplicate(placed.where("placement = 'window'"), sel.title_threshold))
     candidates = score.prefilter(windowed, keywords)
@@ -58,7 +60,7 @@ def run_week(spark: SparkSession, base: str, fresh: DataFrame, sources: DataFram
     seen = store.load_state(spark, f"{base}/seen", schemas.SEEN)
     stored = store.read_weeks(spark, f"{base}/items", schemas.ITEM, week).drop("week")
     data = prepare(fresh, stored, seen, sources, week, supplied, keywords, sel)
-    store.write_week(data.windowed.select(*ITEM_COLUMNS, "week"), f"{base}/items")
+    store.write_week(data.windowed.select(*ITEM_COLUMNS, "week"), f"{base}/items", week)
 
     selected = data.selected
     out: dict[str, DataFrame] = {"scored": data.scored}
@@ -72,8 +74,9 @@ def run_week(spark: SparkSession, base: str, fresh: DataFrame, sources: DataFram
                                         allowMissingColumns=True)
     selected = cut_lineage(selected)
     scores = score.saved_scores(data.scored, selected)
-    store.write_week(scores, f"{base}/scores")
-    rated = sentiment.rated(data.scored).select("week", "id", "final_score", "sentiment", "geo_focus")
+    store.write_week(scores, f"{base}/scores", week)
+    rated = sentiment.rated(data.scored).select("week", "id", "final_score", "sentiment", "geo_focus", "cz_impact",
+                                                 "published_at", "first_seen")
     out["selected"] = select.presentation_order(selected)
     out["scores"] = scores
     out["sentiment"] = sentiment.summary(rated, selected)
@@ -92,7 +95,8 @@ def run_week(spark: SparkSession, base: str, fresh: DataFrame, sources: DataFram
     store.save_state(perf, f"{base}/performance")
     status = store.load_state(spark, f"{base}/rotation", review.STATUS_SCHEMA)
     store.save_state(review.rotate(perf, sources, status, week), f"{base}/rotation")
-    marks = window.week_marks(data.placed, fresh, week)
+    # calls of this report come back only as reminders; a repeated run of the week keeps them (the earlier mark stays)
+    marks = window.week_marks(data.placed, fresh, week, out["call_pool"].select(F.col("id").alias("item_id")))
     store.save_state(window.prune_seen(window.mark_seen(seen, marks), week, sel.seen_retention_weeks), f"{base}/seen")
     out["performance"] = perf
     return out

@@ -727,7 +727,7 @@ def budget_fit(d):
 
 # == sentiment =====================================================================================================
 
-_SENT = """rated AS (SELECT week, id, greatest(final_score, 0.1::DOUBLE) AS w, final_score, sentiment AS v, geo_focus FROM scored
+_SENT = """rated AS (SELECT week, id, greatest(final_score, 0.1::DOUBLE) AS w, final_score, sentiment AS v, geo_focus, cz_impact, published_at, first_seen FROM scored
   WHERE relevance >= 3)"""
 
 
@@ -748,8 +748,8 @@ def sentiment_levels(d):
 
 @query(with_scored("," + _SENT + """
 SELECT week, max(CASE WHEN v > 0 AND p = 1 THEN id END) AS most_positive_id, max(CASE WHEN v < 0 AND m = 1 THEN id END) AS most_negative_id
-FROM (SELECT *, row_number() OVER (PARTITION BY week ORDER BY v DESC, final_score DESC, id DESC) AS p,
-  row_number() OVER (PARTITION BY week ORDER BY v, final_score DESC, id DESC) AS m FROM rated) GROUP BY week"""))
+FROM (SELECT *, row_number() OVER (PARTITION BY week ORDER BY v DESC, final_score DESC, cz_impact DESC, coalesce(published_at, first_seen) DESC, id) AS p,
+  row_number() OVER (PARTITION BY week ORDER BY v, final_score DESC, cz_impact DESC, coalesce(published_at, first_seen) DESC, id) AS m FROM rated) GROUP BY week"""))
 def sentiment_extremes(d):
     return sentiment.extremes(sentiment.rated(d.scored()))
 
@@ -857,10 +857,12 @@ def weekly_tumbling_window(d):
     return media_store.weekly_counts(rows).withColumn("week_start", F.date_format("week_start", "yyyy-MM-dd"))
 
 
-@query("""SELECT strftime(ts, '%G-W%V') AS week, event_type AS source_id, count(*) AS n FROM events
+@query("""SELECT strftime(ts, '%G-W%V') AS week, event_type AS source_id, count(*) AS n,
+ strftime(min(CASE WHEN event_id % 5 = 0 AND ts < TIMESTAMP '2024-01-20' THEN ts - INTERVAL 1 HOUR ELSE ts END), '%Y-%m-%d %H:%M:%S') AS first_sighting FROM events
 WHERE strftime(ts, '%G-W%V') IN ('2024-W04', '2024-W03') GROUP BY 1, 2""")
 def media_collection(d):
-    """Two streaming runs over landed articles, the second with repeats: the store holds each article once."""
+    """Two streaming runs over landed articles. The first holds an article dated far ahead and, in the same batch, earlier
+    and later sightings of some articles; the second repeats all: the store holds each article once, as first seen."""
     base = f"{checkpoint_dir(d.spark)}/collection-{uuid.uuid4().hex}"
     none = F.lit(None).cast("string")
     ts = F.col("ts").cast("timestamp")
@@ -872,12 +874,17 @@ def media_collection(d):
         F.lit("").alias("summary_raw"), F.array().cast("array<string>").alias("authors"), none.alias("doi"),
         F.lit(True).alias("topic_filter"), F.lit(1.0).alias("source_weight"), F.lit(False).alias("date_is_first_seen"))
     now = dt.datetime(2024, 1, 28, 12)
-    landed.where(ts < "2024-01-20").write.parquet(f"{base}/landed/a")
+    early = landed.where(F.col("published_at") < "2024-01-20")
+    ahead = landed.withColumn("id", F.concat(F.lit("ahead-"), "id")).withColumn("published_at", F.col("published_at") + F.expr("INTERVAL 8 WEEKS"))
+    again = early.where(F.col("id").cast("long") % 5 == 0)
+    (early.unionByName(ahead).unionByName(again.withColumn("first_seen", F.col("first_seen") - F.expr("INTERVAL 1 HOUR")))
+     .unionByName(again.withColumn("first_seen", F.col("first_seen") + F.expr("INTERVAL 2 HOURS"))).write.parquet(f"{base}/landed/a"))
     run = (d.spark, f"{base}/landed/*", f"{base}/store", f"{base}/meta", f"{base}/checkpoint", now)
     media_store.collect(*run)
     landed.write.parquet(f"{base}/landed/b")
     media_store.collect(*run)
-    return media_store.read_store(d.spark, f"{base}/store").groupBy("week", "source_id").agg(F.count("*").alias("n"))
+    return media_store.read_store(d.spark, f"{base}/store").groupBy("week", "source_id").agg(
+        F.count("*").alias("n"), F.date_format(F.min("first_seen"), "yyyy-MM-dd HH:mm:ss").alias("first_sighting"))
 
 
 # == sources and rotation ==========================================================================================

@@ -23,8 +23,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 # -- weekly tables: one partition per week, rewritten as a whole ---------------------------------------------------
 
-def write_week(df: DataFrame, path: str) -> None:
-    """Replace the weeks present in ``df`` and no others."""
+def write_week(df: DataFrame, path: str, week: str | None = None) -> None:
+    """Replace the weeks present in ``df`` and no others. A named ``week`` that has no rows any more is emptied."""
+    if week is not None and df.isEmpty():
+        fs, p, jvm = _fs(df.sparkSession, path)
+        fs.delete(jvm.org.apache.hadoop.fs.Path(p, f"week={week}"), True)
+        return
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("week").parquet(path)
 
 

@@ -101,3 +101,12 @@ def test_payload_kinds(spark):
     got = column(spark, [challenge, "<!doctype html><html><body>Hi</body></html>", "<?xml version='1.0'?><rss></rss>", "plain"],
                  lambda v: payloads.payload_kind(v, F.lit("text/html")))
     assert got == ["cloudflare", "html_instead_of_feed", "ok", "html_instead_of_feed"]
+
+
+def test_dot_segments(spark):
+    base = "https://host.test/a/b/page?x=1"
+    cases = {"../c": "https://host.test/a/c", "./d?y=../z": "https://host.test/a/b/d?y=../z", "../../../e": "https://host.test/e",
+             "/p/./q/../r#t": "https://host.test/p/r#t", "..": "https://host.test/a/", "plain": "https://host.test/a/b/plain"}
+    df = spark.createDataFrame([(k,) for k in cases], "link string")
+    got = {r.link: r.u for r in df.select("link", urls.absolute_url(F.col("link"), F.lit(base)).alias("u")).collect()}
+    assert got == cases

@@ -145,7 +145,8 @@ def naive_selection(rows, sel):
     chosen, caps = [], sel.type_caps()
 
     def full(r):
-        return sum(clusters[c["id"]] == clusters[r["id"]] for c in chosen) >= sel.max_per_cluster
+        copy = any(c["url"] == r["url"] or (r["doi"] and c["doi"] == r["doi"]) for c in chosen)
+        return copy or sum(clusters[c["id"]] == clusters[r["id"]] for c in chosen) >= sel.max_per_cluster
 
     def fits(r):
         cap = caps.get(r["source_type"], 10 ** 9)
@@ -192,11 +193,30 @@ def test_clusters_equal_the_walk(spark):
 @pytest.mark.parametrize("seed,prefix", [(1, 1000), (2, 40)])
 def test_selection_equals_the_walk(spark, seed, prefix):
     rows = random_pool(random.Random(seed), 150)
+    for k in range(0, 150, 4):
+        rows[k]["doi"] = f"10.7/{k % 9}"
+    for k in range(1, 150, 7):
+        rows[k]["url"] = f"https://pool.test/{k % 11}"
     sel = config.Selection(max_items=20, min_domestic=8, min_attitudes=4, max_per_org=3, max_per_cluster=2)
     got = ids(select.select_balanced(scored(spark, rows), sel, first_prefix=prefix))
     assert got == naive_selection(rows, sel)
 
 
+def test_copies_do_not_use_up_a_cluster(spark):
+    rows = [{"title": "pumps replace boilers in towns", "doi": doi, "final_score": 9.0 - k, "org": "o"} for k, doi in enumerate(["10.7/a", "10.7/a", "10.7/b"])]
+    got = ids(select.select_balanced(scored(spark, rows), config.Selection(max_per_cluster=2)))
+    assert got == sorted(r["id"] for r in (item(0), item(2)))
+
+
+def test_quota_conditions_are_an_argument(spark):
+    rows = [{"title": f"{w} {w}ova", "geo_focus": "US", "final_score": 20.0 - k, "eu_impact": 3 if k > 5 else 0, "org": w}
+            for k, w in enumerate("alfa brno cukr drak emil fara gong hora".split())]
+    sel = config.Selection(max_items=3, min_domestic=0, min_attitudes=0)
+    quota = [select.Quota("european", lambda: F.col("eu_impact") >= 3, 2)]
+    got = ids(select.select_balanced(scored(spark, rows), sel, quotas=quota))
+    assert got == sorted(item(k)["id"] for k in (0, 6, 7))
+
+
 def test_quotas(spark):
     words = [f"{a} {b}" for a in ("alfa", "brno", "cukr", "drak", "emil", "fara", "gong", "hora", "ikar", "jaro") for b in (
         "kobra", "lampa", "mrkev", "nitka", "oliva", "pivo")]

@@ -69,6 +69,44 @@ def test_collection_in_two_runs(spark, tmp_path):
     assert meta == {"2026-W39": (2, 3), "2026-W38": (1, 1)}
 
 
+def test_articles_dated_ahead_hide_nothing(spark, tmp_path):
+    now = dt.datetime(2026, 9, 24, 12)
+    run = (spark, str(tmp_path / "in"), str(tmp_path / "store"), str(tmp_path / "meta"), str(tmp_path / "check"), now)
+    for rows in ([item(9, published_at=now + dt.timedelta(weeks=4)), item(1, first_seen=DAY + dt.timedelta(hours=3)), item(1, first_seen=DAY)],
+                 [item(2), item(3, published_at=now - dt.timedelta(days=7))]):
+        items(spark, rows).repartition(3).write.mode("append").parquet(run[1])
+        media_store.collect(*run)
+    got = {r.id: r.first_seen for r in media_store.read_store(spark, run[2]).collect()}
+    assert set(got) == {"i001", "i002", "i003"} and got["i001"] == DAY
+
+
+def test_empty_week_is_cleared(spark, tmp_path):
+    base = str(tmp_path / "weeks")
+    df = items(spark, [item(1), item(2)]).withColumn("week", F.when(F.col("id") == "i001", "2026-W39").otherwise("2026-W40"))
+    store.write_week(df, base)
+    store.write_week(df.where("id = 'none'"), base, "2026-W39")
+    assert [r.id for r in store.read_weeks(spark, base, schemas.ITEM).collect()] == ["i002"]
+
+
+def test_merge_does_not_depend_on_partitions(spark):
+    from pressmill.operators.items import merge_with_stored
+
+    rows = [item(1, title=f"t{k}", url=f"https://merge.test/{k}") for k in range(9)]
+    none = items(spark, [])
+    got = {merge_with_stored(items(spark, rows).repartition(n), none).first().title for n in (1, 3, 7)}
+    assert got == {"t0"}
+
+
+def test_shown_calls_are_remembered(spark, tmp_path):
+    src = registry.source_table(spark, [{"id": "s2", "name": "S", "source_type": "funding", "region": "EU"}])
+    fresh = items(spark, [item(5, title="Grant scheme for heat (LIFE-9-Z)", source_type="funding", source_id="s2")])
+    now, base = dt.datetime(2026, 9, 28, 6), str(tmp_path / "d")
+    assert weekly.run_week(spark, base, fresh, src, "2026-W39", now)["call_pool"].count() == 1
+    seen = store.load_state(spark, f"{base}/seen", schemas.SEEN).where("kind = 'opportunity'")
+    assert [(r.key, r.week) for r in seen.collect()] == [("i005", "2026-W39")]
+    assert weekly.run_week(spark, base, fresh, src, "2026-W40", now + dt.timedelta(days=7))["call_pool"].count() == 0
+
+
 def test_repeated_batch_counts_once(spark, tmp_path):
     now, rows = dt.datetime(2026, 9, 24, 12), [item(1), item(2)]
     for _ in range(2):
@@ -89,7 +127,7 @@ def _plain(v):
     return float(f"{v:.9g}") if isinstance(v, float) else v
 
 
-@pytest.mark.parametrize("name", ["item_rows", "week_window", "final_score", "sentiment_levels", "media_context", "weak_sources",
+@pytest.mark.parametrize("name", ["item_rows", "week_window", "final_score", "sentiment_levels", "sentiment_extremes", "media_collection", "media_context", "weak_sources",
                                   "coder_agreement", "events_to_watchlist", "usage_totals", "funding_job", "date_spellings"])
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
