@@ -19,7 +19,10 @@ PERCENT = 80
 LEAST_WORDS = 5
 #: buckets of the word counts that order words by rarity; fixed, whatever the corpus
 COUNT_BUCKETS = 1 << 19
-SPACE = r"[ \t\x0B\f\r]+"
+#: white space that separates words of a line, and of a text, beside the blank
+LINE_SPACE, TEXT_SPACE = "\t\x0b\f\r", "\t\n\x0b\f\r"
+#: a line of LEAST_WORDS words or more; only its first words are looked at
+LONG_ENOUGH = r"^[ \t\x0B\f\r]*+(?:[^ \t\x0B\f\r]++[ \t\x0B\f\r]++){%d}[^ \t\x0B\f\r]" % (LEAST_WORDS - 1)
 
 
 def _bucket(h: Column) -> Column:
@@ -32,13 +35,16 @@ def split_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.col(id_col).alias("id"), F.posexplode(F.split(text_col, "\n", -1)).alias("pos", "line"))
 
 
-def _words(line: Column) -> Column:
-    return F.array_remove(F.split(line, SPACE), "")
+def _words(text: Column, spaces: str = LINE_SPACE) -> Column:
+    # a split at one plain character needs no regular expression
+    for c in spaces:
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    return F.array_remove(F.split(text, " "), "")
 
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """How often words of each bucket occur in all texts (COUNT_BUCKETS numbers, a bounded result)."""
-    words = docs.select(F.explode(F.split(text_col, r"[ \t\n\x0B\f\r]+")).alias("w")).where("w <> ''")
+    words = docs.select(F.explode(_words(F.col(text_col), TEXT_SPACE)).alias("w"))
     rows = words.select(_bucket(F.xxhash64("w")).alias("b")).groupBy("b").count().toArrow()
     counts = np.zeros(COUNT_BUCKETS, np.int64)
     counts[rows["b"].to_numpy()] = rows["count"].to_numpy()
@@ -100,11 +106,11 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     split = split_lines(docs, id_col, text_col)
     counts = word_counts(docs.where(F.col(text_col).isNotNull()), text_col)
-    compared = split.withColumn("w", _words(F.col("line"))).where(F.size("w") >= LEAST_WORDS)
+    compared = split.where(F.col("line").rlike(LONG_ENOUGH))
     classes = compared.select("id", "pos", F.xxhash64("line").alias("h"), F.crc32("line").alias("c"))
     lead = classes.groupBy("h", "c").agg(F.min(F.struct("id", "pos")).alias("f"))
     copies = written(classes.join(lead, ["h", "c"]).where((F.col("id") != F.col("f.id")) | (F.col("pos") != F.col("f.pos"))).select("id", "pos"))
-    firsts = (compared.withColumn("words", F.array_distinct("w"))
+    firsts = (compared.withColumn("words", F.array_distinct(_words(F.col("line"))))
               .select("id", "pos", F.size("words").alias("n"), _prefix(F.col("words"), counts).alias("keys"))
               .join(copies, ["id", "pos"], "left_anti"))
     entries = firsts.select("id", "pos", "n", F.posexplode("keys").alias("i", "key"))
