@@ -184,49 +184,29 @@ def digest_default(candidates: DataFrame, items: DataFrame, n: int = 3) -> DataF
 
 
 def mixed_findings(found: DataFrame, candidates: DataFrame, items: DataFrame) -> DataFrame:
-    """Three valid findings with at least one domestic and one foreign where a report has both; domestic first.
+    """Three valid findings with at least one domestic and one foreign where the candidates have both; domestic first.
 
-    ``found``: week, pos, id. A missing group replaces the last finding that is not alone in its group. A report holds
-    a few dozen items, so this is one small grouped step per week.
+    ``found``: week, pos, id. All rows of a week get a place in one line and the first three stay: the findings take the
+    places 2, 4, 6; the best candidate of a group without a finding takes 5, ahead of the third finding; candidates that
+    fill up come last. A week with more than three findings keeps its first three.
     """
-    import pandas as pd
-
-    valid = items.where(F.col("has_summary") & ~F.col("is_event")).select("week", "id", "geo_focus")
-    nothing = F.lit(None)
-    parts = [found.join(valid, ["week", "id"]).select("week", F.lit("found").alias("role"), "pos", "id", "geo_focus"),
-             digest_default(candidates, items, 3).select("week", F.lit("backup").alias("role"),
-                                                         F.col("place").alias("pos"), "id", "geo_focus"),
-             items.groupBy("week", (F.col("geo_focus") == "CZ").alias("_cz")).agg(F.count("*").alias("_n")).select(
-                 "week", F.lit("exists").alias("role"), nothing.cast("int").alias("pos"),
-                 nothing.cast("string").alias("id"), F.when(F.col("_cz"), "CZ").otherwise("other").alias("geo_focus"))]
-
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos", kind="stable")
-        out = pdf[pdf.role == "found"].drop_duplicates("id")[["id", "geo_focus"]].values.tolist()
-        taken = {i for i, _ in out}
-        backup = [b for b in pdf[pdf.role == "backup"][["id", "geo_focus"]].values.tolist() if b[0] not in taken]
-        groups = set(pdf[pdf.role == "exists"]["geo_focus"])
-        for domestic in (True, False):
-            if any((g == "CZ") == domestic for _, g in out) or ("CZ" if domestic else "other") not in groups:
-                continue
-            new = next((b for b in backup if (b[1] == "CZ") == domestic), None)
-            if new is None:
-                continue
-            if len(out) < 3:
-                out.append(new)
-            else:
-                crowded = [k for k in reversed(range(len(out)))
-                           if sum((g == "CZ") == (out[k][1] == "CZ") for _, g in out) > 1]
-                if crowded:
-                    out[crowded[0]] = new
-            taken.add(new[0])
-        out += [b for b in backup if b[0] not in taken][:max(0, 3 - len(out))]
-        out = sorted(out[:3], key=lambda f: f[1] != "CZ")
-        return pd.DataFrame([(pdf.week.iat[0], k + 1, i, g) for k, (i, g) in enumerate(out)],
-                            columns=["week", "place", "id", "geo_focus"])
-
-    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return rows.groupBy("week").applyInPandas(walk, "week string, place int, id string, geo_focus string")
+    valid = items.where(F.col("has_summary") & ~F.col("is_event")).select(
+        "week", "id", "geo_focus", F.coalesce(F.col("geo_focus") == "CZ", F.lit(False)).alias("_cz"))
+    once = top_per_group(found.join(valid, ["week", "id"]), ["week", "id"], [F.col("pos")], 1)
+    own = top_per_group(once, ["week"], [F.col("pos"), F.col("id")], 3, "_k").withColumn("_line", 2 * F.col("_k"))
+    present = once.groupBy("week").agg(F.max("_cz").alias("_has_cz"), F.max(~F.col("_cz")).alias("_has_other"),
+                                       F.count("*").alias("_found"))
+    spare = (digest_default(candidates, items, 3).select("week", "id", "geo_focus", F.col("place").alias("_k"))
+             .join(valid.select("week", "id", "_cz"), ["week", "id"]).join(once.select("week", "id"), ["week", "id"], "left_anti")
+             .join(present, "week", "left"))
+    best = F.row_number().over(Window.partitionBy("week", "_cz").orderBy("_k")) == 1  # three candidates a week
+    lacks = ~F.coalesce(F.when(F.col("_cz"), F.col("_has_cz")).otherwise(F.col("_has_other")), F.lit(False))
+    ahead = best & lacks & (F.coalesce("_found", F.lit(0)) <= 3)
+    line = ["week", "id", "geo_focus", "_cz", "_line", "_k"]
+    rows = own.select(*line).unionByName(spare.withColumn("_line", F.when(ahead, 5).otherwise(10)).select(*line))
+    three = top_per_group(rows, ["week"], [F.col("_line"), F.col("_k")], 3, "_n")
+    place = F.row_number().over(Window.partitionBy("week").orderBy(F.desc("_cz"), "_n"))
+    return three.select("week", place.alias("place"), "id", "geo_focus")
 
 
 def digest_rows(findings: DataFrame, items: DataFrame) -> DataFrame:

@@ -1230,7 +1230,19 @@ def digest_default(d):
     return report.digest_rows(report.digest_default(candidates, items), items).select("week", "place", "id", "title", "url", "geo_focus")
 
 
-@query()
+@query(with_views("", "sections", "report_items").rstrip() + ", " + _LINKS + _DIGEST + """,
+points AS (SELECT week, pos, item_id AS id FROM valid v WHERE section = 'key_findings' AND id_pos = (SELECT min(id_pos) FROM valid w
+  WHERE w.week = v.week AND w.section = v.section AND w.pos = v.pos)),
+uniq AS (SELECT week, id, min(pos) AS pos FROM points GROUP BY week, id),
+capped AS (SELECT *, row_number() OVER (PARTITION BY week ORDER BY pos) AS c FROM uniq),
+found AS (SELECT f.week, f.id, r.geo_focus, row_number() OVER (PARTITION BY f.week ORDER BY f.pos) AS k FROM capped f
+  JOIN report_items r ON r.week = f.week AND r.id = f.id WHERE c <= 3 AND r.has_summary AND NOT r.is_event),
+spare AS (SELECT week, id, geo_focus, place AS k, row_number() OVER (PARTITION BY week, geo_focus = 'CZ' ORDER BY place) AS g FROM digest d
+  WHERE place <= 3 AND NOT EXISTS (SELECT 1 FROM found f WHERE f.week = d.week AND f.id = d.id)),
+line AS (SELECT week, id, geo_focus, k, 2 * k AS o FROM found UNION ALL SELECT week, id, geo_focus, k, CASE WHEN g = 1 AND NOT EXISTS (
+  SELECT 1 FROM found f WHERE f.week = s.week AND (f.geo_focus = 'CZ') = (s.geo_focus = 'CZ')) THEN 5 ELSE 10 END FROM spare s),
+cut AS (SELECT *, row_number() OVER (PARTITION BY week ORDER BY o, k) AS n FROM line)
+SELECT week, row_number() OVER (PARTITION BY week ORDER BY geo_focus = 'CZ' DESC, n) AS place, id, geo_focus FROM cut WHERE n <= 3""")
 def digest_mixed(d):
     """Findings of the report, completed to a domestic and foreign mix."""
     sections, items = _report(d)
