@@ -74,14 +74,18 @@ def encode_texts(texts: list[str], spec: str, end_id: int) -> list[bytes]:
     return [b"".join(map(known.__getitem__, chunks)) + end for chunks in split]
 
 
+def _encoded_slices(batches, spec, end_id: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Slices of batches whose second column is the text, with the ids of their texts."""
+    for batch in batches:
+        texts = [t or "" for t in batch.column(1).to_pylist()]
+        for a, b in text_slices(texts):
+            yield batch.slice(a, b - a), encode_texts(texts[a:b], spec.value, end_id)
+
+
 def _encoded(docs: DataFrame, spec, end_id: int, id_col: str, text_col: str) -> DataFrame:
     def run(batches):
-        for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in text_slices(texts):
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a),
-                                                  pa.array(encode_texts(texts[a:b], spec.value, end_id), pa.binary())],
-                                                 ["id", "ids"])
+        for part, ids in _encoded_slices(batches, spec, end_id):
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], ["id", "ids"])
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, ids binary")
 
@@ -147,11 +151,10 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = 1, i
 
     def compress(batches):
         packer = _compressor(zstandard, dictionary)
-        for batch in batches:
-            ids = batch.column(1).to_pylist()
+        for part, ids in _encoded_slices(batches, spec, end_id):
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                 pa.array([packer.compress(x) for x in ids], pa.binary()), batch.column(2)], ["id", "n", "frame", "shard"])
+                [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()),
+                 pa.array([packer.compress(x) for x in ids], pa.binary()), part.column(2)], ["id", "n", "frame", "shard"])
 
     def blocks(batches):
         shard_now, start, number, held, rows = None, 0, 0, 0, []
@@ -175,8 +178,8 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = 1, i
         if rows:
             yield out()
 
-    frames = (_encoded(keyed, spec, end_id, "id", "text").withColumn("shard", shard)
-              .mapInArrow(compress, "id long, n long, frame binary, shard int"))
+    # ids are compressed where they are made: they are larger than the texts
+    frames = keyed.withColumn("shard", shard).mapInArrow(compress, "id long, n long, frame binary, shard int")
     # ties of an id are ordered by their frames, so that a lost task is written again alike
     (frames.repartition(n, "shard").sortWithinPartitions("shard", "id", "frame").select("shard", "id", "n", "frame")
      .mapInArrow(blocks, "shard int, number int, first_id long, last_id long, n_tokens long, block binary")
