@@ -62,7 +62,7 @@ class Fetch:
 @dataclass(frozen=True)
 class Calls:
     max_items: int = 6
-    pool_max: int = 70
+    pool_max: int | None = 70
     max_months: int = 6
     reminder_days: int = 45
     lookback_days: int = 30

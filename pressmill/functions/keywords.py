@@ -8,51 +8,73 @@ from dataclasses import dataclass, field
 
 # ---- fixed values: default dictionary, accent-free lower case --------------------------------------------------
 
-STEMS_CS = """
-klima; klimat; emis; dekarbon; bezemis; obnoviteln; fotovolt; solarn; vetrn; vetrnik; jadern; jadr; uhel; uhli;
-uheln; teplarn; tepeln cerpad; energetick chudob; energeticky chudob; spravedliv transformac; spravedliv prechod;
-uheln region; zelen dohod; uspor energi; zatepl; elektromobil; vodik; skleniko; oteplov; uhlikov; povolenk;
-cena elektrin; ceny elektrin; ceny energi; cena energi; energetik; energetick; modernizacni fond;
-socialni klimaticky fond; nova zelena usporam; postoj; verejn mineni; pruzkum; komunikac; dezinformac; sucho; adaptac
-"""
-
-STEMS_EN = """
-climate; emission; decarboni; renewable; net zero; net-zero; solar; wind power; wind farm; offshore wind;
-onshore wind; nuclear; coal; heat pump; energy transition; energy poverty; fuel poverty; just transition; carbon;
-greenhouse; global warming; electric vehicle; hydrogen; energy efficiency; electricity price; energy price;
-power market; grid; public opinion; attitude; survey; poll; messaging; framing; narrative; misinformation;
-disinformation; forecast; outlook; scenario; green deal; clean energy; fossil; methane; heatwave; extreme weather
-"""
-
-EXACT_TERMS = "ets; ets2; eu ets; cbam; oze; fve; cop30; cop31; ipcc; unfccc; ev; evs; lng; co2; smr"
-
-MEDIA_EXTRA_STEMS = """
-zelena; zelene; zeleny; zelenych; zelenou; zelenym; zeleni; green; energi; elektrin; elektrar; plyn; topen; vytapen;
-benzin; naft; pohonn hmot; emisn; sucho; povod; vedr; horko; extremn pocasi; aktivist; posledni generac; brusel;
-fialov; ekolog; ekoterorist; zakaz spalovac; spalovac motor; elektroaut
-"""
+STEMS_CS = (
+    "klima", "klimat", "emis", "dekarbon", "bezemis", "obnoviteln", "fotovolt", "solarn", "vetrn", "vetrnik", "jadern",
+    "jadr", "uhel", "uhli", "uheln", "teplarn", "tepeln cerpad", "energetick chudob", "energeticky chudob",
+    "spravedliv transformac", "spravedliv prechod", "uheln region", "zelen dohod", "uspor energi", "zatepl",
+    "elektromobil", "vodik", "skleniko", "oteplov", "uhlikov", "povolenk", "cena elektrin", "ceny elektrin",
+    "ceny energi", "cena energi", "energetik", "energetick", "modernizacni fond", "socialni klimaticky fond",
+    "nova zelena usporam", "postoj", "verejn mineni", "pruzkum", "komunikac", "dezinformac", "sucho", "adaptac",
+)
+
+STEMS_EN = (
+    "climate", "emission", "decarboni", "renewable", "net zero", "net-zero", "solar", "wind power", "wind farm",
+    "offshore wind", "onshore wind", "nuclear", "coal", "heat pump", "energy transition", "energy poverty",
+    "fuel poverty", "just transition", "carbon", "greenhouse", "global warming", "electric vehicle", "hydrogen",
+    "energy efficiency", "electricity price", "energy price", "power market", "grid", "public opinion", "attitude",
+    "survey", "poll", "messaging", "framing", "narrative", "misinformation", "disinformation", "forecast", "outlook",
+    "scenario", "green deal", "clean energy", "fossil", "methane", "heatwave", "extreme weather",
+)
+
+EXACT_TERMS = (
+    "ets", "ets2", "eu ets", "cbam", "oze", "fve", "cop30", "cop31", "ipcc", "unfccc", "ev", "evs", "lng", "co2", "smr",
+)
+
+MEDIA_EXTRA_STEMS = (
+    "zelena", "zelene", "zeleny", "zelenych", "zelenou", "zelenym", "zeleni", "green", "energi", "elektrin", "elektrar",
+    "plyn", "topen", "vytapen", "benzin", "naft", "pohonn hmot", "emisn", "sucho", "povod", "vedr", "horko",
+    "extremn pocasi", "aktivist", "posledni generac", "brusel", "fialov", "ekolog", "ekoterorist", "zakaz spalovac",
+    "spalovac motor", "elektroaut",
+)
 
 CATEGORIES = {
-    "public_attitudes": "postoj; verejn mineni; pruzkum; public opinion; attitude; survey; poll; acceptance; akceptac; "
-                        "podpor verejnosti; public support",
-    "communication": "komunikac; narativ; dezinformac; messaging; framing; narrative; misinformation; "
-                     "disinformation; communicat",
-    "forecast": "forecast; outlook; scenario; prognoz; scenar; projection; vyhled",
-    "just_transition": "spravedliv transformac; spravedliv prechod; energetick chudob; energeticky chudob; "
-                       "just transition; energy poverty; fuel poverty; uheln region",
-    "energy_markets": "cena elektrin; ceny elektrin; ceny energi; cena energi; electricity price; energy price; "
-                      "power market; povolenk; trh s elektrin",
-    "decarbonization_policy": "ets; ets2; cbam; zelen dohod; green deal; climate policy; klimaticka politik; regulac; "
-                              "zakon; legislat; directive; smernic",
-    "technology": "fotovolt; solarn; vetrn; jadern; tepeln cerpad; heat pump; hydrogen; vodik; nuclear; solar; wind; "
-                  "batter; bateri; smr",
-    "study": "studie; study; analyz; analysis; report; zprava; paper; research; vyzkum",
+    "public_attitudes": (
+        "postoj", "verejn mineni", "pruzkum", "public opinion", "attitude", "survey", "poll", "acceptance", "akceptac",
+        "podpor verejnosti", "public support",
+    ),
+    "communication": (
+        "komunikac", "narativ", "dezinformac", "messaging", "framing", "narrative", "misinformation", "disinformation",
+        "communicat",
+    ),
+    "forecast": (
+        "forecast", "outlook", "scenario", "prognoz", "scenar", "projection", "vyhled",
+    ),
+    "just_transition": (
+        "spravedliv transformac", "spravedliv prechod", "energetick chudob", "energeticky chudob", "just transition",
+        "energy poverty", "fuel poverty", "uheln region",
+    ),
+    "energy_markets": (
+        "cena elektrin", "ceny elektrin", "ceny energi", "cena energi", "electricity price", "energy price", "power market",
+        "povolenk", "trh s elektrin",
+    ),
+    "decarbonization_policy": (
+        "ets", "ets2", "cbam", "zelen dohod", "green deal", "climate policy", "klimaticka politik", "regulac", "zakon",
+        "legislat", "directive", "smernic",
+    ),
+    "technology": (
+        "fotovolt", "solarn", "vetrn", "jadern", "tepeln cerpad", "heat pump", "hydrogen", "vodik", "nuclear", "solar",
+        "wind", "batter", "bateri", "smr",
+    ),
+    "study": (
+        "studie", "study", "analyz", "analysis", "report", "zprava", "paper", "research", "vyzkum",
+    ),
 }
 
-EXCLUDED_TITLES = """
-hledame; volna pozice; volne misto; pracovni pozic; nabidka prace; pridej se k nam; prijmeme; we are hiring;
-we're hiring; job opening; vacancy; vacancies; careers at; internship; staz; podpor nas; darujte
-"""
+EXCLUDED_TITLES = (
+    "hledame", "volna pozice", "volne misto", "pracovni pozic", "nabidka prace", "pridej se k nam", "prijmeme",
+    "we are hiring", "we're hiring", "job opening", "vacancy", "vacancies", "careers at", "internship", "staz",
+    "podpor nas", "darujte",
+)
 
 # substrings that mark a domestic subject, searched in " " + normalised text + " "
 DOMESTIC_MARKERS = ("cesk", "cesi ", "cech", "czech", " cr ", " cr,", "praha", "prague", "moravsk", "brno", "ostrav")
@@ -67,10 +89,6 @@ EVENT_OPENERS = (
 # ---- end of fixed values ---------------------------------------------------------------------------------------
 
 
-def _terms(text: str) -> list[str]:
-    return [t.strip() for t in text.replace("\n", " ").split(";") if t.strip()]
-
-
 def plain(text: str) -> str:
     """Accent-free lower case with single blanks; the driver-side twin of ``text.match_text``."""
     folded = unicodedata.normalize("NFKD", text or "")
@@ -133,14 +151,14 @@ class Keywords:
 
 
 def default_keywords() -> Keywords:
-    return Keywords(stems=_terms(STEMS_CS) + _terms(STEMS_EN), exact=_terms(EXACT_TERMS),
-                    categories={k: _terms(v) for k, v in CATEGORIES.items()}, exclude=_terms(EXCLUDED_TITLES))
+    return Keywords(stems=list(STEMS_CS) + list(STEMS_EN), exact=list(EXACT_TERMS),
+                    categories={k: list(v) for k, v in CATEGORIES.items()}, exclude=list(EXCLUDED_TITLES))
 
 
 def media_keywords() -> Keywords:
     """The wider set used on monitored media."""
-    return Keywords(stems=_terms(STEMS_CS) + _terms(STEMS_EN) + _terms(MEDIA_EXTRA_STEMS), exact=_terms(EXACT_TERMS),
-                    exclude=_terms(EXCLUDED_TITLES))
+    return Keywords(stems=list(STEMS_CS) + list(STEMS_EN) + list(MEDIA_EXTRA_STEMS), exact=list(EXACT_TERMS),
+                    exclude=list(EXCLUDED_TITLES))
 
 
 def keyword_table(spark, keywords: Keywords | None = None):

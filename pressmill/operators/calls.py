@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pressmill import config
 from pressmill.functions.dates import deadline_window, parse_deadline, stamp_literal
 from pressmill.functions.text import strip_accents
-from pressmill.operators.common import distinct_first
+from pressmill.operators.common import distinct_first, top_per_group
 from pressmill.operators.items import effective_date
 
 # fixed values: patterns on accent-free text
@@ -50,7 +50,7 @@ def item_deadline(summary: Column) -> Column:
 
 def call_pool(items: DataFrame, sources: DataFrame, shown: DataFrame, now: dt.datetime, week: str, ref: dt.datetime,
               calls: config.Calls = config.Calls()) -> DataFrame:
-    """Candidates: items of funding sources and news that announce a call, best ``pool_max`` first.
+    """Candidates: items of funding sources and news that announce a call, best ``pool_max`` first; all, in no order, if that is None.
 
     ``shown`` (key, week) lists calls of earlier reports: they come back only as a reminder shortly before their
     deadline. Deadlines outside the window and old news leave.
@@ -71,6 +71,8 @@ def call_pool(items: DataFrame, sources: DataFrame, shown: DataFrame, now: dt.da
             .where((F.col("source_type") == "funding")
                    | (effective_date() >= stamp_literal(now - dt.timedelta(days=calls.lookback_days)))))
     rows = distinct_first(rows, "id", F.col("arrival") if "arrival" in items.columns else effective_date())
+    if calls.pool_max is None:
+        return rows.drop("_funding", "_shown")
     # sort keys are columns: an expression in a sort is evaluated at every comparison
     order = {f"_o{i}": c for i, c in enumerate(pool_order())}
     keys = [F.col(n) for n in order]
@@ -116,14 +118,18 @@ def check_drafts(drafts: DataFrame, pool: DataFrame, lo: dt.date, hi: dt.date,
     rows = rows.withColumn("outcome", F.when(F.col("title").isNull(), "unknown id").when(outside, "outside window"))
     from pyspark.sql.window import Window
 
-    # drafts are one short list per run
     valid = rows.where("outcome is null")
-    once = valid.withColumn("_n", F.row_number().over(Window.partitionBy("item_id").orderBy("pos")))
-    repeated = once.where("_n > 1").withColumn("outcome", F.lit("repeated")).drop("_n")
-    counted = once.where("_n = 1").drop("_n").withColumn(
-        "_n", F.row_number().over(Window.partitionBy("programme").orderBy("pos")))
-    full = counted.where(F.col("_n") > calls.max_per_programme).withColumn("outcome", F.lit("programme full")).drop("_n")
-    kept = counted.where(F.col("_n") <= calls.max_per_programme).drop("_n").withColumn(
+    firsts = valid.groupBy("item_id").agg(F.min("pos").alias("_first"))
+    valid = valid.join(firsts, "item_id")
+    repeated = valid.where("pos > _first").withColumn("outcome", F.lit("repeated")).drop("_first")
+    once = valid.where("pos = _first").drop("_first")
+    # only the last place of each programme is looked for; no programme is sorted as a whole
+    last = (top_per_group(once.select("programme", "pos"), ["programme"], [F.col("pos")], calls.max_per_programme, "_n")
+            .groupBy(F.col("programme").alias("_programme")).agg(F.max("pos").alias("_last")))
+    counted = once.join(last, F.col("programme").eqNullSafe(F.col("_programme"))).drop("_programme")
+    full = counted.where("pos > _last").withColumn("outcome", F.lit("programme full")).drop("_last")
+    # a few drafts of each programme are left
+    kept = counted.where("pos <= _last").drop("_last").withColumn(
         "_n", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("pos")))
     kept = kept.withColumn("outcome", F.when(F.col("_n") <= calls.max_items, "shown").otherwise("over limit")).drop("_n")
     return rows.where("outcome is not null").unionByName(repeated).unionByName(full).unionByName(kept).drop("summary_raw")

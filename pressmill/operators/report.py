@@ -48,11 +48,14 @@ def capped_sections(sections: DataFrame) -> DataFrame:
     caps = F.create_map(*[F.lit(x) for p in SECTION_CAPS.items() for x in p])
     single = sections.where(F.col("section").isin(*SINGLE_ITEM)).withColumn("_id", F.col("evidence_ids")[0])
     single = top_per_group(single, ["week", "section", "_id"], [F.col("pos")], 1).drop("_id")
-    rows = single.unionByName(sections.where(~F.col("section").isin(*SINGLE_ITEM)))
+    others = [s for s in SECTION_CAPS if s not in SINGLE_ITEM]
+    rows = single.unionByName(sections.where(F.col("section").isin(*others)))
     swot_order = F.when(F.col("section").isin(*SWOT), region_rank(F.col("geo"))).otherwise(0)
-    place = F.row_number().over(Window.partitionBy("week", "section").orderBy(swot_order, "pos"))
-    return (rows.withColumn("place", place)
-            .where(F.col("place") <= F.coalesce(F.try_element_at(caps, F.col("section")), F.lit(2 ** 31 - 1))))
+    # the largest cap cuts inside each input partition, before the shuffle
+    capped = top_per_group(rows, ["week", "section"], [swot_order, F.col("pos")], max(SECTION_CAPS.values()), "place")
+    free = sections.where(~F.col("section").isin(*SECTION_CAPS)).withColumn(
+        "place", F.row_number().over(Window.partitionBy("week", "section").orderBy("pos")))
+    return capped.where(F.col("place") <= F.try_element_at(caps, F.col("section"))).unionByName(free)
 
 
 def unusable_weeks(capped: DataFrame, weeks: DataFrame) -> DataFrame:
@@ -92,8 +95,10 @@ def move_events(sections: DataFrame, items: DataFrame) -> DataFrame:
     moved = top_per_group(moved, ["week", "item_id"], [F.col("_rank"), F.col("pos"), F.col("id_pos")], 1)
     missing = moved.join(_links(target).select("week", "item_id").distinct(), ["week", "item_id"], "left_anti")
     last = target.groupBy("week").agg(F.max("pos").alias("_last"))
-    place = F.row_number().over(Window.partitionBy("week").orderBy("_rank", "pos", "id_pos", "item_id"))
-    added = (missing.withColumn("_n", place).join(last, "week", "left")
+    # the list's own cap bounds what can be added
+    missing = top_per_group(missing, ["week"], [F.col(c) for c in ("_rank", "pos", "id_pos", "item_id")],
+                            SECTION_CAPS["watchlist"], "_n")
+    added = (missing.join(last, "week", "left")
              .select("week", F.lit("watchlist").alias("section"),
                      (F.coalesce("_last", F.lit(-1)) + F.col("_n")).cast("int").alias("pos"),
                      F.col("event_title").alias("text"), F.lit(None).cast("string").alias("geo"),
@@ -177,9 +182,9 @@ def digest_default(candidates: DataFrame, items: DataFrame, n: int = 3) -> DataF
     usable = items.where(F.col("has_summary") & ~F.col("is_event")).select("week", "id", "geo_focus")
     rows = top_per_group(candidates.join(usable, ["week", "id"]), ["week", "id"], [F.col("priority"), F.col("pos")], 1)
     domestic = F.col("geo_focus") == "CZ"
-    first = F.row_number().over(Window.partitionBy("week", domestic).orderBy("priority", "pos"))
-    # at most a report's worth of rows per week
-    rows = rows.withColumn("_n", first).withColumn("_g", F.when(F.col("_n") > 1, 2).when(domestic, 0).otherwise(1))
+    # no row beyond the n-th of its own group gets a place
+    rows = top_per_group(rows, ["week", domestic], [F.col("priority"), F.col("pos")], n, "_n")
+    rows = rows.withColumn("_g", F.when(F.col("_n") > 1, 2).when(domestic, 0).otherwise(1))
     return top_per_group(rows, ["week"], [F.col("_g"), F.col("priority"), F.col("pos")], n, "place").drop("_n", "_g")
 
 

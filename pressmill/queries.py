@@ -1080,7 +1080,7 @@ def call_drafts(d):
     drafts = d.table("orders").select(k.alias("pos"), k.cast("string").alias("item_id"), F.lit("").alias("funder"),
                                       F.when(k % 8 == 0, "30. 11. 2027").otherwise("neuvedeno").alias("deadline"))
     lo, hi = dates.deadline_window(dates.week_bounds("2026-W40")[1], 6)
-    return calls.check_drafts(drafts, _pool(d, 10 ** 6), lo, hi).select("item_id", "outcome")
+    return calls.check_drafts(drafts, _pool(d, None), lo, hi).select("item_id", "outcome")
 
 
 @query("WITH " + _CALL_SQL + """ SELECT programme, count(*) AS n FROM (SELECT CASE regexp_extract(title, '\\(([A-Z0-9]+)-[A-Z0-9-]+\\)\\s*$', 1)

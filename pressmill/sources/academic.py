@@ -83,10 +83,13 @@ def parse_openalex(payloads: DataFrame, journals: DataFrame, default_topic_filte
     """Works with a followed journal (by any of their ISSNs) or their own venue as source."""
     works = (payloads.withColumn("works", F.from_json("body", OPENALEX)["results"])
              .select("payload_id", F.col("fetched_at").alias("now"), F.posexplode("works").alias("feed_pos", "w")))
-    issn = works.select("payload_id", "feed_pos", F.explode("w.primary_location.source.issn").alias("issn"))
-    matched = (issn.join(journals, "issn").groupBy("payload_id", "feed_pos")
-               .agg(F.min(F.struct("position", "name", "topic_filter")).alias("j")))
-    rows = works.join(matched, ["payload_id", "feed_pos"], "left")
+    # the journals are a short configuration table: the first followed one is found inside the row
+    issn = F.col("w.primary_location.source.issn")
+    followed = [F.when(F.array_contains(issn, j["issn"]), F.struct(F.lit(j["name"]).alias("name"),
+                                                                   F.lit(j["topic_filter"]).alias("topic_filter")))
+                for j in journals.orderBy("position").collect()]
+    nothing = F.lit(None).cast("struct<name:string,topic_filter:boolean>")
+    rows = works.withColumn("j", F.coalesce(*followed, nothing))
     venue = F.coalesce(F.nullif("w.primary_location.source.display_name", F.lit("")), F.lit("OpenAlex"))
     name = F.coalesce("j.name", venue)
     doi = F.nullif("w.doi", F.lit(""))
