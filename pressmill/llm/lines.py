@@ -1,7 +1,8 @@
 """Line de-duplication: an exact set-similarity join of lines, of which the later one of each similar pair goes.
 
 Words of a line are ordered by rarity; two lines of Jaccard t share a word among the first n - ceil(t n) + 1 of each, which
-are indexed. Length and position bounds leave few pairs, and those are verified on the words. DataFrame operations only.
+are indexed. Length and position bounds leave few pairs, and those are verified on the words. Below five words only equal
+sets are similar, and of four words also those with one more: such lines meet by their whole set. DataFrame operations only.
 """
 
 from __future__ import annotations
@@ -15,14 +16,18 @@ from pressmill.llm.common import written
 
 #: lines are similar if PERCENT * union <= 100 * intersection of their distinct words
 PERCENT = 80
-#: lines of fewer words are never removed nor compared: the feature's own limit
+#: where the caller names no other limit, lines of fewer words are neither removed nor compared; the queries compare all
 LEAST_WORDS = 5
+#: lines of fewer distinct words are similar to sets of at most one word more, and then hold all words or are held whole
+SET_WORDS = 5
+#: the bit that tells the key of a whole set from that of a word
+SET_KEY = -1 << 63
 #: buckets of the word counts that order words by rarity; fixed, whatever the corpus
 COUNT_BUCKETS = 1 << 19
 #: white space that separates words of a line, and of a text, beside the blank
 LINE_SPACE, TEXT_SPACE = "\t\x0b\f\r", "\t\n\x0b\f\r"
-#: a line of LEAST_WORDS words or more; only its first words are looked at
-LONG_ENOUGH = r"^[ \t\x0B\f\r]*+(?:[^ \t\x0B\f\r]++[ \t\x0B\f\r]++){%d}[^ \t\x0B\f\r]" % (LEAST_WORDS - 1)
+#: a line of so many words and one more; only its first words are looked at
+LONG_ENOUGH = r"^[ \t\x0B\f\r]*+(?:[^ \t\x0B\f\r]++[ \t\x0B\f\r]++){%d}[^ \t\x0B\f\r]"
 
 
 def _bucket(h: Column) -> Column:
@@ -65,6 +70,21 @@ def _prefix(words: Column, counts: np.ndarray) -> Column:
     return F.slice(F.sort_array(F.transform(words, number)), 1, (n - F.ceil(n * (PERCENT / 100) - 1e-9) + 1).cast("int"))
 
 
+def _keys(words: Column, counts: np.ndarray) -> Column:
+    """(i, key) of what a line is indexed by: its prefix, or, of few words, their whole set.
+
+    A line of SET_WORDS words is also indexed by its sets without one of them, as a line of these words alone is similar.
+    Sets have the place -1.
+    """
+    def whole(w):
+        return F.struct(F.lit(-1).alias("i"), F.xxhash64(F.sort_array(w)).bitwiseOR(F.lit(SET_KEY)).alias("key"))
+
+    prefix = F.transform(_prefix(words, counts), lambda k, i: F.struct(i.alias("i"), k.alias("key")))
+    fewer = F.transform(words, lambda w: whole(F.filter(words, lambda o: o != w)))
+    return (F.when(F.size(words) < SET_WORDS, F.array(whole(words)))
+            .when(F.size(words) == SET_WORDS, F.concat(prefix, fewer)).otherwise(prefix))
+
+
 def _before(a_id: str, a_pos: str, b_id: str, b_pos: str) -> Column:
     return (F.col(a_id) < F.col(b_id)) | ((F.col(a_id) == F.col(b_id)) & (F.col(a_pos) < F.col(b_pos)))
 
@@ -98,50 +118,55 @@ def _similar(pairs: DataFrame, split: DataFrame) -> DataFrame:
     return both.where(100 * shared >= PERCENT * (F.size("a") + F.size("b") - shared)).select("id", "pos").distinct()
 
 
-def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
     """(id, pos) of every line that is similar to an earlier one, of the same or a smaller id.
 
     Equal lines are one for the join, so a very common line costs one row per map task. The lines that meet under a word
-    are first held against the earliest of them; only lines that this leaves are held against all earlier ones.
+    are first held against the earliest of them; only lines that this leaves are held against all earlier ones. Lines that
+    meet by a whole set need that first step only: the earliest line that can be similar to them is.
     """
     split = split_lines(docs, id_col, text_col)
     counts = word_counts(docs.where(F.col(text_col).isNotNull()), text_col)
-    compared = split.where(F.col("line").rlike(LONG_ENOUGH))
+    compared = split.where(F.col("line").rlike(LONG_ENOUGH % (least_words - 1)))
     classes = compared.select("id", "pos", F.xxhash64("line").alias("h"), F.crc32("line").alias("c"))
     lead = classes.groupBy("h", "c").agg(F.min(F.struct("id", "pos")).alias("f"))
     copies = written(classes.join(lead, ["h", "c"]).where((F.col("id") != F.col("f.id")) | (F.col("pos") != F.col("f.pos"))).select("id", "pos"))
     firsts = (compared.withColumn("words", F.array_distinct(_words(F.col("line"))))
-              .select("id", "pos", F.size("words").alias("n"), _prefix(F.col("words"), counts).alias("keys"))
+              .select("id", "pos", F.size("words").alias("n"), _keys(F.col("words"), counts).alias("keys"))
               .join(copies, ["id", "pos"], "left_anti"))
-    entries = firsts.select("id", "pos", "n", F.posexplode("keys").alias("i", "key"))
+    entries = firsts.select("id", "pos", "n", F.inline("keys"))
     # words of one line only are most of the entries; one exchange and sort finds both them and the first line of the others
     by_key = Window.partitionBy("key").orderBy("id", "pos")
-    first = F.first(F.struct("id", "pos", "n", "i")).over(by_key.rowsBetween(Window.unboundedPreceding, 0))
+    so_far = by_key.rowsBetween(Window.unboundedPreceding, 0)
+    entry = F.struct("id", "pos", "n", "i")
+    # two lines of SET_WORDS words that share all but one are not similar
+    first = F.when((F.col("key") < 0) & (F.col("n") == SET_WORDS), F.first(F.when(F.col("n") < SET_WORDS, entry), ignorenulls=True).over(so_far)
+                   ).otherwise(F.first(entry).over(so_far))
     follows = F.lead("id").over(by_key).isNotNull()
     later = (F.col("id") != F.col("o.id")) | (F.col("pos") != F.col("o.pos"))
     leader = F.when(later & _possible("n", "i", "o.n", "o.i"), F.struct("o.id", "o.pos"))
-    met = written(entries.withColumn("o", first).withColumn("more", follows).where(F.col("more") | later)
+    met = written(entries.withColumn("o", first).withColumn("more", follows).where(F.when(F.col("key") < 0, leader.isNotNull()).otherwise(F.col("more") | later))
                   .select("key", "id", "pos", "n", leader.alias("leader")))
     star = written(met.where("leader is not null").select("id", "pos", F.col("leader.id").alias("o_id"), F.col("leader.pos").alias("o_pos")).distinct())
     gone = written(_similar(star, split))
     # lines that stay so far meet all earlier lines of their keys but the leader; lines that went may be the earlier ones
-    left = met.join(gone, ["id", "pos"], "left_anti").select("key", "id", "pos", "n")
-    early = met.select("key", F.col("id").alias("o_id"), F.col("pos").alias("o_pos"), F.col("n").alias("o_n"))
+    left = met.where("key >= 0").join(gone, ["id", "pos"], "left_anti").select("key", "id", "pos", "n")
+    early = met.where("key >= 0").select("key", F.col("id").alias("o_id"), F.col("pos").alias("o_pos"), F.col("n").alias("o_n"))
     rest = written(left.join(early, "key").where(_before("o_id", "o_pos", "id", "pos") & _near_length("n", "o_n"))
                    .groupBy("id", "pos", "n", "o_id", "o_pos", "o_n").count().where(_enough("count", "n", "o_n"))
                    .select("id", "pos", "o_id", "o_pos"))
     return written(copies.union(gone).union(_similar(rest, split)))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
     """``docs`` with the remaining lines as text, and the columns n_lines and n_removed (replaced if there).
 
     A line goes if an earlier line, by (id, line number), has a Jaccard similarity of PERCENT or more with it; that the
     earlier one goes too makes no difference. Words are separated by ASCII white space and keep their case. Lines of fewer
-    than LEAST_WORDS words stay. A null text stays null, without lines; texts of rows without an id stay as they are.
+    than ``least_words`` words stay; with 1 every line but a blank one is compared. A null text stays null, without lines; texts of rows without an id stay as they are.
     Rows of one id are taken as one document. A document whose lines all go keeps an empty text.
     """
-    gone = repeated_lines(docs, id_col, text_col).groupBy("id").agg(F.collect_set("pos").alias("_gone")).withColumnRenamed("id", "_id")
+    gone = repeated_lines(docs, id_col, text_col, least_words).groupBy("id").agg(F.collect_set("pos").alias("_gone")).withColumnRenamed("id", "_id")
     kept = F.filter(F.split(text_col, "\n", -1), lambda line, k: ~F.array_contains(F.col("_gone"), k))
     n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(F.split(text_col, "\n", -1)))
     return (docs.join(gone, F.col(id_col) == F.col("_id"), "left").drop("_id")

@@ -61,7 +61,7 @@ def op7_bpe_round_trip(spark, sf_dir):
 
 def op8_line_dedup(spark, sf_dir):
     """Lines and removed lines of every document, and a digest of what remains."""
-    out = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), least_words=1)
     return out.select("doc_id", "n_lines", "n_removed", F.md5(F.coalesce("text", F.lit(""))).alias("kept_md5"))
 
 

@@ -12,7 +12,8 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from pressmill.llm import bpe, embeddings, language, lines, mixing, near_documents, quality, repeats, token_files, topk
+import corpus_pipeline
+from pressmill.llm import bpe, embeddings, language, lines, mixing, near_documents, quality, queries, repeats, token_files, topk
 from pressmill.llm.common import components, forest
 
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -217,6 +218,35 @@ def test_lines(spark):
     assert lines.dedup_lines(docs(spark, [])).count() == 0
 
 
+def test_lines_of_every_length(spark):
+    rng = random.Random(13)
+    words = sentence(rng, 9).split()
+    texts = [*ODD, "Les.\nonce", "Les.", " Les. \tLes.", "你好世界", "你好世界\nelse", "a b c d", "x d c b a", "x d c b y", "a b c d e", "p q r s t",
+             "s r q p", "p p q q r", "r q p"]
+    for _ in range(150):
+        texts.append("\n".join(" ".join(rng.choices(words, k=rng.randint(0, 8))) for _ in range(3)))
+    seen, want = [], {}
+    for k, t in enumerate(texts):
+        keep = []
+        for line in (t or "").split("\n"):
+            s = {x for x in re.split("[ \t\x0b\f\r]+", line) if x}
+            if not any(100 * len(s & o) >= 80 * len(s | o) for o in seen):
+                keep.append(line)
+            if s:
+                seen.append(s)
+        want[k] = None if t is None else "\n".join(keep)
+    got = {r.doc_id: r.text for r in lines.dedup_lines(docs(spark, texts).repartition(4), least_words=1).collect()}
+    assert got == want
+
+
+def test_line_query_compares_short_lines(spark, tmp_path):
+    docs(spark, ["Les.\none two", "Les.", "two one"]).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.n_removed for r in queries.op8_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {0: 0, 1: 1, 2: 1}
+    table = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    assert [r.doc_id for r in corpus_pipeline.drop_repeated_lines(spark, table, str(tmp_path)).collect()] == [0]
+
+
 def test_repeated_passages(spark):
     rng = random.Random(9)
     passages = [sentence(rng, rng.randint(15, 60)) for _ in range(8)] + ["ab" * 130, "é" * 77]
