@@ -32,8 +32,8 @@ def op3_exact_top_k(spark, sf_dir):
 
 
 def op4_mixture_weights(spark, sf_dir):
-    """Raked probabilities and the sample of all documents."""
-    out = mixing.mix(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    """Raked probabilities and the sample of all documents; the topic is the one of the SQL."""
+    out = mixing.mix(table(spark, sf_dir, "documents"), derive=mixing.first_word_class).withColumnRenamed("id", "doc_id")
     return out.withColumn("probability", F.round("probability", 6)).withColumn("weight", F.round("weight", 3))
 
 

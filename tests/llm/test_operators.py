@@ -328,3 +328,24 @@ def test_mixing(spark):
     sample = mixing.sample(table, budget=0.5, rounds=25)
     assert {r.doc_id for r in sample.collect()} == picked and sample.columns == table.columns
     assert mixing.mix(table.where("false")).count() == 0 and mixing.sample(table.where("false")).count() == 0
+
+
+def test_topics(spark):
+    texts = ["The match was lost; the TEAM has a new player.", "A new player for the team.", "The bank has money, the market a price, one team.",
+             "The the of.", None, "Spieler, Trainer und Preis"]
+    got = {r.id: r.topic for r in mixing.keyed(docs(spark, texts)).collect()}
+    assert got == {0: "sport", 1: "sport", 2: "economy", 3: mixing.OTHER, 4: mixing.OTHER, 5: "sport"}
+    words = [w for ws in mixing.KEYWORDS.values() for w in ws.split()]
+    assert len(words) == len(set(words)) and all(w == w.lower() for w in words)
+
+
+def test_given_topics(spark):
+    rng = random.Random(14)
+    rows = [(k, sentence(rng, rng.randint(1, 40)), "en", "s0", rng.choice(["x", "x", "x", "y", None])) for k in range(400)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, topic string")
+    got = mixing.mix(table, budget=0.5).toPandas()
+    assert dict(zip(got.id, got.topic, strict=True)) == {r[0]: r[4] or mixing.NONE for r in rows}
+    have = got.groupby("topic").n_tokens.sum().astype(float) ** mixing.TEMPERATURE
+    want = have / have.sum() * got.n_tokens.sum() * 0.5
+    assert (abs(got.groupby("topic").weight.sum() - want) / want).max() < 0.01
+    assert {r.doc_id for r in mixing.sample(table, budget=0.5).collect()} == set(got.id[got.sampled])
