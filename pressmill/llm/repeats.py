@@ -1,9 +1,11 @@
-"""Removal of repeated passages: strings of 100 bytes that also start earlier, found by blockwise suffix sorting.
+"""Removal of repeated passages: strings of 100 bytes that also start earlier, found by hashes of suffixes in buckets.
 
 Suffixes are compared to a fixed depth. A difference cover gives sample positions so that any two equal strings of that
-depth hold a sample at the same offset; the samples are named first, by their following bytes, and those that occur more
-than once tell which suffixes can be equal to another at all. Only these are sorted, one set of suffix buckets at a time:
-equal suffixes meet in a bucket and are ordered by document and position, so a long tie costs no comparison of bytes.
+depth hold a sample at the same offset; the samples are hashed first, with their following bytes, and those that occur more
+than once tell which suffixes can be equal to another at all. Only these are dealt out, one set of buckets at a time: equal
+suffixes meet in a bucket and are ordered by document and position. No suffix is ordered by its bytes and no sample has a
+rank: the result asks only which strings are equal, and that is decided on 64-bit hashes. A document sends each string
+twice at most, so a long run of one byte or of a short pattern is a few entries.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ PERIOD = 73
 COVER = sorted({pow(2, k, PERIOD) for k in range(9)})
 #: bytes after a sample that its name stands for
 NAMED = DEPTH - PERIOD + 1
-#: suffix buckets are sorted in so many turns
+#: suffix buckets are gone through in so many turns
 TURNS = 2
 #: suffixes of one bucket, about
 ENTRIES = 3_000_000
@@ -65,12 +67,13 @@ class Names:
                 self.parts.append((a, b, total, inverse, at[a:b] - low))
             low += CHUNK
 
-    def of(self, length: int, only: np.ndarray | None = None) -> np.ndarray:
-        """For ``length`` bytes, of the positions marked in ``only`` or of all."""
+    def of(self, length: int, only: np.ndarray | None = None, skip: int = 0) -> np.ndarray:
+        """For ``length`` bytes after the first ``skip``, of the positions marked in ``only`` or of all."""
         out = [np.empty(0, np.uint64)]
         for a, b, total, inverse, here in self.parts:
             if only is not None:
                 here = here[only[a:b]]
+            here = here + skip
             out.append(mixed((total[here + length] - total[here]) * inverse[here]))
         return np.concatenate(out)
 
@@ -104,18 +107,31 @@ def _sample_entries(text: str, mine=None) -> tuple[np.ndarray, np.ndarray, np.nd
 def _suffix_entries(text: str, flagged: np.ndarray, mine=None) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
     """Start, name and deal of each suffix that can be equal to another.
 
-    The deal is a number for the first half of the string, so strings that meet by chance differ in two numbers. Names are
-    made for the suffixes whose deals ``mine`` picks, none without it.
+    The deal is a number for the whole string, made of its halves: strings that share only their start are dealt apart.
+    Names are made for the suffixes whose deals ``mine`` picks, none without it.
     """
     data = _bytes(text)
     at = zones(flagged, len(data))
     numbers = Names(data, at, DEPTH)
-    deal = numbers.of(DEPTH // 2)
+    deal = mixed(numbers.of(DEPTH // 2) * np.uint64(3) + numbers.of(DEPTH // 2, skip=DEPTH // 2))
     return at, None if mine is None else numbers.of(DEPTH, mine(deal)), deal
 
 
+def first_two(deal: np.ndarray) -> np.ndarray:
+    """Marks the first two entries of each deal of a document; any further one is known to be equal to them."""
+    order = np.argsort(deal, kind="stable")
+    head = np.ones(len(deal), bool)
+    head[1:] = deal[order[1:]] != deal[order[:-1]]
+    second = np.zeros(len(deal), bool)
+    second[1:] = head[:-1]
+    sent = np.zeros(len(deal), bool)
+    sent[order[head | second]] = True
+    return sent
+
+
 def _exchange(rows: DataFrame, entries_of, n: int, later_only: bool, turn: int = 0, turns: int = 1) -> DataFrame:
-    """(id, bucket, bits): for each document's entries of a bucket, in order, whether the name occurs elsewhere or earlier.
+    """(id, bucket, bits): for each document's entries of a bucket that are sent (``first_two``), in order, whether the name
+    occurs elsewhere or earlier.
 
     ``rows`` start with id; ``entries_of`` makes (at, name, deal) of a row's other columns. Only buckets of ``turn`` are dealt.
     """
@@ -143,10 +159,12 @@ def _exchange(rows: DataFrame, entries_of, n: int, later_only: bool, turn: int =
                 _, key, deal = entries_of(*row[1:], mine)
                 if not len(key):
                     continue
+                deal = deal[mine(deal)]
+                sent = first_two(deal)
                 ids.append(row[0])
-                keys.append(key)
-                deals.append(deal[mine(deal)])
-                held += len(key)
+                keys.append(key[sent])
+                deals.append(deal[sent])
+                held += len(keys[-1])
                 if held >= ENTRIES // 2:
                     yield out()
                     ids, keys, deals, held = [], [], [], 0
@@ -194,15 +212,18 @@ def _exchange(rows: DataFrame, entries_of, n: int, later_only: bool, turn: int =
 
 
 def _hits(deal: np.ndarray, n: int, bits: list) -> np.ndarray:
-    """Which entries of a document were hit, from the bits of its buckets."""
-    bucket = (deal % np.uint64(n)).astype(np.int64)
-    hit = np.zeros(len(deal), bool)
+    """Which entries of a document were hit, from the bits of its buckets; those that were not sent are."""
+    sent = first_two(deal)
+    bucket = (deal[sent] % np.uint64(n)).astype(np.int64)
+    hit = np.zeros(len(bucket), bool)
     order = np.argsort(bucket, kind="stable")
     ends = np.searchsorted(bucket[order], np.arange(n + 1))
     for b, packed in bits:
         mine = order[ends[b]:ends[b + 1]]
         hit[mine] = np.unpackbits(np.frombuffer(packed, np.uint8), count=len(mine)).astype(bool)
-    return hit
+    out = ~sent
+    out[sent] = hit
+    return out
 
 
 def _by_document(bits: DataFrame) -> DataFrame:
@@ -227,7 +248,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     removed runs. Texts below DEPTH bytes stay whole, as do those of rows without an id. Ids are expected to be distinct;
     of rows with one id the text of one is taken for all. An empty table gives no rows.
 
-    A bucket holds the suffixes of a range of hashes, so a passage with many copies has its suffixes in all buckets.
+    A bucket holds the suffixes of a range of hashes, so a passage with many copies has its suffixes in all buckets. The
+    entries of one string, two a document at most, are in one bucket and are held together.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     known = rows.where("id is not null")

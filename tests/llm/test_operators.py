@@ -276,6 +276,20 @@ def test_repeated_passages(spark):
     assert repeats.remove_repeats(docs(spark, [])).count() == 0
 
 
+def test_runs_are_few_entries(spark):
+    run = "-" * 30000
+    at = np.arange(len(run))
+    _, _, deal = repeats._suffix_entries(run, at)
+    assert len(deal) > 29000 and repeats.first_two(deal).sum() == 2
+    assert repeats.first_two(np.array([5, 3, 5, 5, 3, 7], np.uint64)).tolist() == [True, True, True, False, True, True]
+    assert repeats.first_two(np.empty(0, np.uint64)).tolist() == []
+    # strings that share only their first half are dealt apart
+    deals = {int(repeats._suffix_entries("-" * 50 + f"{k:050d}", at[:1])[2][0]) for k in range(100)}
+    assert len(deals) == 100
+    got = {r.id: (r.n_removed, len(r.spans)) for r in repeats.remove_repeats(docs(spark, ["=" * 700, "ab" * 300, "-" * 120, "x" + "-" * 119])).collect()}
+    assert got == {0: (699, 1), 1: (598, 1), 2: (119, 1), 3: (119, 1)}
+
+
 def test_difference_cover():
     assert {(a - b) % repeats.PERIOD for a in repeats.COVER for b in repeats.COVER} == set(range(repeats.PERIOD))
 
