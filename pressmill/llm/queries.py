@@ -7,7 +7,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from pressmill.llm import bpe, embeddings, language, lines, mixing, near_documents, quality, repeats, token_files, topk
+from pressmill.llm import bpe, embeddings, language, leaks, lines, manifest, mixing, near_documents, quality, repeats, token_files, topk
 from pressmill.llm.common import table
 from pressmill.session import checkpoint_dir
 
@@ -76,6 +76,28 @@ def op10_weak_quality(spark, sf_dir):
     return out.withColumnRenamed("id", "doc_id")
 
 
+def op11_merkle_manifest(spark, sf_dir):
+    """Leaf, proof and check of every document against the root over all sources; some texts are tampered with."""
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    docs = table(spark, sf_dir, "documents")
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    touched = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    tampered = F.unhex(manifest.leaf(*(F.translate("text", letters, letters.lower()) if c == "text" else F.col(c) for c in columns)))
+    built = manifest.build(docs, columns, keep={"doc_id": F.col("doc_id"), "tampered": F.when(touched, tampered)})
+    out = manifest.verify(manifest.prove(built), F.coalesce("row.tampered", "digest"))
+    hexed = {c: F.lower(F.hex(c)) for c in ("digest", "subroot", "root")}
+    return out.select("row.doc_id", hexed["digest"].alias("leaf"), hexed["subroot"].alias("subroot"), hexed["root"].alias("root"),
+                      "proof_sha256", F.col("folded").alias("folded_root"), (F.col("folded") == hexed["root"]).alias("verified"))
+
+
+def op12_benchmark_decontamination(spark, sf_dir):
+    """Words of every document that lie in windows of benchmark items, and those items."""
+    out = leaks.find_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, h: n + h["last"] - h["first"])
+    return out.select("row.doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"))
+
+
 SQL_TOP_K = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
  FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
@@ -87,11 +109,32 @@ SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM (
 """
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALPHANUMERIC = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+SQL_LEAKS = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, {_ALPHANUMERIC}) AS w FROM documents),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_LOWER}, {_ALPHANUMERIC}) AS w FROM benchmark),
+iw AS (SELECT DISTINCT item, k, array_to_string(list_slice(w, p, p + k - 1), ' ') AS passage FROM (
+ SELECT item, w, least(len(w), 10) AS k, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS p FROM i WHERE len(w) > 0)),
+dw AS (SELECT r, k, p, array_to_string(list_slice(w, p, p + k - 1), ' ') AS passage FROM (
+ SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM d, (SELECT DISTINCT k FROM iw) WHERE len(w) >= k)),
+hit AS (SELECT DISTINCT r, k, p, item FROM dw JOIN iw USING (k, passage)),
+n AS (SELECT r, count(*) AS n_hit FROM (SELECT DISTINCT r, unnest(range(p, p + k)) AS at FROM hit) GROUP BY r),
+t AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hit GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+ sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN n USING (r) LEFT JOIN t USING (r)
+"""
+
+
 def queries():
     return {f.__name__: f for f in (
         op1_language_mixture, op2_embedding_near_duplicates, op3_exact_top_k, op4_mixture_weights, op5_repeated_passages, op6_token_files,
-        op7_bpe_round_trip, op8_line_dedup, op9_ngram_jaccard_join, op10_weak_quality)}
+        op7_bpe_round_trip, op8_line_dedup, op9_ngram_jaccard_join, op10_weak_quality, op11_merkle_manifest,
+        op12_benchmark_decontamination)}
 
 
 def oracle_sql():
-    return {"op3_exact_top_k": SQL_TOP_K, "op4_mixture_weights": mixing.oracle()}
+    return {"op3_exact_top_k": SQL_TOP_K, "op4_mixture_weights": mixing.oracle(),
+            "op12_benchmark_decontamination": SQL_LEAKS}
