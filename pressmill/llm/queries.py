@@ -7,7 +7,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from pressmill.llm import bpe, embeddings, language, leaks, lines, manifest, mixing, near_documents, quality, repeats, token_files, topk
+from pressmill.llm import audit, bpe, embeddings, language, leaks, lines, manifest, mixing, near_documents, quality, repeats, token_files, topk
 from pressmill.llm.common import table
 from pressmill.session import checkpoint_dir
 
@@ -98,6 +98,11 @@ def op12_benchmark_decontamination(spark, sf_dir):
                       F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"))
 
 
+def op13_source_divergence(spark, sf_dir):
+    """Distances between the sources of each language, and the terms that each uses beyond it."""
+    return audit.audit(table(spark, sf_dir, "documents"))
+
+
 SQL_TOP_K = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
  FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
@@ -109,6 +114,41 @@ SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM (
 """
 
 
+def _sql_manifest(source_levels: int = 6, root_levels: int = 4) -> str:
+    """The tree, level by level, for up to 16 ** levels leaves."""
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    field = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR), '-')"
+    head = " || ".join(field.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    steps = [f"""a AS (SELECT doc_id, source, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS g,
+ sha256({head} || {field.format("text")}) AS leaf, sha256({head} || {field.format(lower)}) AS other,
+ xor(list_reduce([CAST(4294967295 AS BIGINT)] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+  lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) AS crc FROM documents)""",
+             "l AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM a)",
+             "t0 AS (SELECT g, i, leaf AS d FROM l)"]
+
+    def tree(name: str, levels: int) -> None:
+        for k in range(levels):
+            steps.append(f"{name}r{k} AS (SELECT g, i // 16 AS r, list(d ORDER BY i) AS ds FROM {name}{k} WHERE g IN "
+                         f"(SELECT g FROM {name}{k} GROUP BY g HAVING count(*) > 1) GROUP BY ALL)")
+            steps.append(f"{name}{k + 1} AS (SELECT g, r AS i, sha256(array_to_string(ds, '')) AS d FROM {name}r{k})")
+        one = " UNION ALL ".join(f"SELECT g, any_value(d) AS d FROM {name}{k} GROUP BY g HAVING count(*) = 1" for k in range(levels + 1))
+        steps.append(f"{name}top AS ({one})")
+
+    tree("t", source_levels)
+    steps.append("u0 AS (SELECT 0 AS g, g AS i, d FROM ttop)")
+    tree("u", root_levels)
+    steps.append("p0 AS (SELECT l.*, CASE WHEN crc % 5 = 0 THEN other ELSE leaf END AS x, '' AS s FROM l)")
+    ways = [(f"tr{k}", "p.g", f"(p.i >> {4 * k})") for k in range(source_levels)] + [
+        (f"ur{k}", "0", f"(p.g >> {4 * k})") for k in range(root_levels)]
+    for k, (runs, g, at) in enumerate(ways):
+        rest = f"ds[:{at} % 16]", f"ds[{at} % 16 + 2:]"
+        steps.append(f"""p{k + 1} AS (SELECT p.* EXCLUDE (x, s), CASE WHEN ds IS NULL THEN x ELSE sha256(array_to_string({rest[0]} || [x] || {rest[1]}, '')) END AS x,
+ s || coalesce(array_to_string({rest[0]} || {rest[1]}, ''), '') AS s FROM p{k} p LEFT JOIN {runs} r ON r.g = {g} AND r.r = {at} // 16)""")
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT doc_id, leaf, ttop.d AS subroot, utop.d AS root, sha256(s) AS proof_sha256, x AS folded_root, x = utop.d AS verified
+FROM p{len(ways)} JOIN ttop USING (g) CROSS JOIN utop"""
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALPHANUMERIC = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 
@@ -128,13 +168,37 @@ FROM d LEFT JOIN n USING (r) LEFT JOIN t USING (r)
 """
 
 
+SQL_AUDIT = f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+ regexp_extract_all({_LOWER}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+o AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term FROM (SELECT DISTINCT r, lang, term FROM o) GROUP BY ALL HAVING count(*) >= 30),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM o JOIN k USING (lang, term) GROUP BY ALL),
+a AS (SELECT lang, source, term, coalesce(n, 0) AS n, sum(coalesce(n, 0)) OVER (PARTITION BY lang, source) AS total,
+  sum(coalesce(n, 0)) OVER (PARTITION BY lang, term) AS lang_n, sum(coalesce(n, 0)) OVER (PARTITION BY lang) AS lang_total
+ FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+p AS (SELECT lang, source, term, n, 1 + (1000000000 * CAST(n + 5 AS HUGEINT)) // (total + 5 * v) AS p,
+ 1 + (1000000000 * CAST(lang_n + 5 AS HUGEINT)) // (lang_total + 5 * v) AS q FROM a JOIN v USING (lang)),
+x AS (SELECT l.lang, l.source, 'pair' AS part, r.source AS item, coalesce(value, 0) AS value
+ FROM g l JOIN g r ON l.lang = r.lang AND l.source <> r.source LEFT JOIN (
+  SELECT s.lang, s.source, t.source AS item, sum(abs(s.p - t.p)) AS value FROM p s JOIN p t ON s.lang = t.lang AND s.term = t.term
+  GROUP BY ALL) f ON f.lang = l.lang AND f.source = l.source AND f.item = r.source
+ UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM (
+ SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM x) WHERE part = 'pair' OR rank <= 50
+"""
+
+
 def queries():
     return {f.__name__: f for f in (
         op1_language_mixture, op2_embedding_near_duplicates, op3_exact_top_k, op4_mixture_weights, op5_repeated_passages, op6_token_files,
         op7_bpe_round_trip, op8_line_dedup, op9_ngram_jaccard_join, op10_weak_quality, op11_merkle_manifest,
-        op12_benchmark_decontamination)}
+        op12_benchmark_decontamination, op13_source_divergence)}
 
 
 def oracle_sql():
     return {"op3_exact_top_k": SQL_TOP_K, "op4_mixture_weights": mixing.oracle(),
-            "op12_benchmark_decontamination": SQL_LEAKS}
+            "op11_merkle_manifest": _sql_manifest(), "op12_benchmark_decontamination": SQL_LEAKS,
+            "op13_source_divergence": SQL_AUDIT}
