@@ -180,8 +180,9 @@ def _scan(part, found: Windows, before: list[list[dict]], items_before: list[lis
 
 
 def _groups(sorted_ids: np.ndarray):
-    first = np.flatnonzero(np.concatenate([[True], sorted_ids[1:] != sorted_ids[:-1]])) if len(sorted_ids) else np.empty(0, np.int64)
-    return sorted_ids[first], first, np.append(first[1:], len(sorted_ids))
+    """Each different id, and where its run begins and ends."""
+    ids, first, counts = np.unique(sorted_ids, return_index=True, return_counts=True)
+    return ids.tolist(), first.tolist(), (first + counts).tolist()
 
 
 def _lists(begin: np.ndarray, end: np.ndarray, row: np.ndarray, base: np.ndarray, rows: int) -> pa.Array:
