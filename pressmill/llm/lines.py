@@ -16,8 +16,8 @@ from pressmill.llm.common import written
 
 #: lines are similar if PERCENT * union <= 100 * intersection of their distinct words
 PERCENT = 80
-#: where the caller names no other limit, lines of fewer words are neither removed nor compared; the queries compare all
-LEAST_WORDS = 5
+#: lines of fewer words are neither removed nor compared: only blank ones are not, unless the caller names another limit
+LEAST_WORDS = 1
 #: lines of fewer distinct words are similar to sets of at most one word more, and then hold all words or are held whole
 SET_WORDS = 5
 #: the bit that tells the key of a whole set from that of a word
@@ -158,18 +158,26 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return written(copies.union(gone).union(_similar(rest, split)))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
-    """``docs`` with the remaining lines as text, and the columns n_lines and n_removed (replaced if there).
+def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
+    """(row struct, kept, n_lines, n_removed) for every row; ``row`` holds the given columns, ``kept`` the text of the lines that stay.
 
     A line goes if an earlier line, by (id, line number), has a Jaccard similarity of PERCENT or more with it; that the
     earlier one goes too makes no difference. Words are separated by ASCII white space and keep their case. Lines of fewer
-    than ``least_words`` words stay; with 1 every line but a blank one is compared. A null text stays null, without lines; texts of rows without an id stay as they are.
-    Rows of one id are taken as one document. A document whose lines all go keeps an empty text.
+    than ``least_words`` words stay; with 1 every line but a blank one is compared. A null text stays null, without lines; texts
+    of rows without an id stay as they are. Rows of one id are taken as one document. A document whose lines all go keeps an
+    empty text. Columns of any name may be there.
     """
-    gone = repeated_lines(docs, id_col, text_col, least_words).groupBy("id").agg(F.collect_set("pos").alias("_gone")).withColumnRenamed("id", "_id")
-    kept = F.filter(F.split(text_col, "\n", -1), lambda line, k: ~F.array_contains(F.col("_gone"), k))
-    n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(F.split(text_col, "\n", -1)))
-    return (docs.join(gone, F.col(id_col) == F.col("_id"), "left").drop("_id")
-            .withColumn("n_lines", n_lines).withColumn("n_removed", F.coalesce(F.size("_gone"), F.lit(0)))
-            .withColumn(text_col, F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n")))
-            .withColumn("n_removed", F.when(F.col("n_removed") < 0, 0).otherwise(F.col("n_removed"))).drop("_gone"))
+    gone = repeated_lines(docs, id_col, text_col, least_words).groupBy("id").agg(F.collect_set("pos").alias("gone"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("key"), F.col(text_col).alias("text"))
+    kept = F.filter(F.split("text", "\n", -1), lambda line, k: ~F.array_contains(F.col("gone"), k))
+    return rows.join(gone, F.col("key") == F.col("id"), "left").select(
+        "row", F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("kept"),
+        F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1))).alias("n_lines"),
+        F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).alias("n_removed"))
+
+
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
+    """``docs`` with the remaining lines as text, and the columns n_lines and n_removed (replaced if there); see ``kept_lines``."""
+    counts = "n_lines", "n_removed"
+    columns = [F.col("kept").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns if c not in counts]
+    return kept_lines(docs, id_col, text_col, least_words).select(*columns, *counts)

@@ -129,10 +129,12 @@ def sample(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", **se
     """The rows of ``docs`` that ``mix`` samples, with their columns; the small table of cells is joined, not the texts."""
     seed = settings.pop("seed", 7)
     cells = written(keyed(docs, text_col, id_col).groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")))
-    ratios = rake(cells, **settings).select(*(F.col(m).alias(f"_cell_{m}") for m in MARGINS), F.col("ratio").alias("_cell_ratio"))
-    same = ((F.coalesce(docs["source"], F.lit(NONE)) == F.col("_cell_source"))
-            & (F.coalesce(docs["lang"], F.lit(NONE)) == F.col("_cell_lang")) & (topic_in(docs, text_col) == F.col("_cell_topic")))
-    return docs.join(ratios, same).where(chance_of(docs[id_col], seed) < F.least(F.lit(1.0), F.col("_cell_ratio"))).select(*(docs[c] for c in docs.columns))
+    ratios = rake(cells, **settings).select(*(F.col(m).alias(f"of_{m}") for m in MARGINS), F.col("ratio"))
+    # the given row is one column, so that none of its names can clash
+    rows = docs.select(F.struct(*docs.columns).alias("row"), *(F.coalesce(F.col(m), F.lit(NONE)).alias(m) for m in ("source", "lang")),
+                       topic_in(docs, text_col).alias("topic"), chance_of(F.col(id_col), seed).alias("chance"))
+    same = [F.col(m) == F.col(f"of_{m}") for m in MARGINS]
+    return rows.join(ratios, same).where(F.col("chance") < F.least(F.lit(1.0), F.col("ratio"))).select("row.*")
 
 
 def oracle(budget: float = BUDGET, temperature: float = TEMPERATURE, rounds: int = ROUNDS, seed: int = 7) -> str:

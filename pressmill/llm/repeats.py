@@ -246,7 +246,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Whole texts as UTF-8 bytes; a null text is empty. A byte goes if it lies in a string of DEPTH bytes that also starts
     in a document of smaller id, or earlier in its own; what remains may end within a character. ``spans`` are the maximal
     removed runs. Texts below DEPTH bytes stay whole, as do those of rows without an id. Ids are expected to be distinct;
-    of rows with one id the text of one is taken for all. An empty table gives no rows.
+    of rows with one id the smallest text is taken for all. An empty table gives no rows.
 
     A bucket holds the suffixes of a range of hashes, so a passage with many copies has its suffixes in all buckets. The
     entries of one string, two a document at most, are in one bucket and are held together.
@@ -254,7 +254,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     known = rows.where("id is not null")
     if not known.groupBy("id").count().where("count > 1").isEmpty():
-        known = known.dropDuplicates(["id"])
+        known = known.groupBy("id").agg(F.min("text").alias("text"))
     size = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_samples = pieces(size * len(COVER) / PERIOD, ENTRIES, 12)
     flags = written(_by_document(_exchange(known, _sample_entries, n_samples, False)))

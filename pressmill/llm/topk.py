@@ -85,7 +85,7 @@ def top_k(queries: DataFrame, rows: DataFrame, k: int = 10, scale: int = 1024, i
     lists are merged FAN_IN at a time.
 
     Vectors that are null or hold null or non-finite components, and rows with a null id, take no part; vectors of other
-    lengths than the query's are no candidates, nor are rows of the query's own id. Scores are held to the range of long.
+    lengths than the query's are no candidates, nor are rows of the query's own id; empty ones score 0 with each other. Scores are held to the range of long.
     Repeated candidate ids count as rows of their own; repeated query ids are one query per row, and get the merged list.
     No queries or no candidates give no rows.
     """
@@ -107,8 +107,9 @@ def top_k(queries: DataFrame, rows: DataFrame, k: int = 10, scale: int = 1024, i
             for dim, c, qids, q, ids, data in zip(*(batch.column(i) for i in range(6)), strict=True):
                 dim = dim.as_py()
                 qids, ids = np.frombuffer(qids.as_py(), "<i8"), np.frombuffer(ids.as_py(), "<i8")
-                score = products(np.frombuffer(q.as_py(), "<f8").reshape(-1, dim),
-                                 np.frombuffer(data.as_py(), "<f8").reshape(-1, dim))
+                # the number of rows is named: vectors may be empty
+                score = products(np.frombuffer(q.as_py(), "<f8").reshape(len(qids), dim),
+                                 np.frombuffer(data.as_py(), "<f8").reshape(len(ids), dim))
                 lists = []
                 for row, own in zip(score, qids, strict=True):
                     other = ids != own

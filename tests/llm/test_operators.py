@@ -139,6 +139,9 @@ def test_top_k(spark, monkeypatch):
     assert topk.top_k(df.where("false"), df).count() == 0
     few = topk.top_k(df.where("vec_id = 403"), df.where("vec_id in (403, 402)"))
     assert few.count() == 0
+    blank = vectors(spark, [(0, [], 0, 1, 1), (1, [], 0, 1, 1), (100, [], 0, 1, 1), (2, [1.0], 0, 1, 1)])
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in topk.top_k(blank.where("vec_id % 100 = 0"), blank).collect()) == [
+        (0, 1, 1, 0), (0, 2, 100, 0), (100, 1, 0, 0), (100, 2, 1, 0)]
 
 
 def test_products_beyond_doubles():
@@ -211,7 +214,7 @@ def test_lines(spark):
         want[k] = None if t is None else "\n".join(keep)
     table = docs(spark, texts)
     null = table.limit(40).withColumn("doc_id", F.lit(None).cast("long"))
-    out = lines.dedup_lines(table.union(null).repartition(4)).collect()
+    out = lines.dedup_lines(table.union(null).repartition(4), least_words=5).collect()
     assert {r.doc_id: r.text for r in out if r.doc_id is not None} == want and len(out) == len(texts) + 40
     assert {r.n_removed for r in out if r.doc_id is None} == {0} and sum(r.n_removed for r in out) > 50
     assert all(r.id == -r.doc_id for r in out if r.doc_id is not None)
@@ -235,7 +238,7 @@ def test_lines_of_every_length(spark):
             if s:
                 seen.append(s)
         want[k] = None if t is None else "\n".join(keep)
-    got = {r.doc_id: r.text for r in lines.dedup_lines(docs(spark, texts).repartition(4), least_words=1).collect()}
+    got = {r.doc_id: r.text for r in lines.dedup_lines(docs(spark, texts).repartition(4)).collect()}
     assert got == want
 
 
