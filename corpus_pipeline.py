@@ -24,8 +24,10 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with the lines that no earlier line resembles; a document that loses all its words goes."""
-    out = lines.dedup_lines(docs, least_words=1).where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    return out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    kept = lines.kept_lines(docs).where((F.col("n_removed") == 0) | F.col("kept").rlike(r"[^\x20\x09-\x0D]"))
+    n_chars = F.when(F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(F.col("row")["n_chars"]) if "n_chars" in docs.columns else None
+    changed = {"text": F.col("kept"), "n_chars": n_chars}
+    return kept.select(*(changed.get(c, F.col("row")[c]).alias(c) for c in docs.columns))
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
