@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from pressmill.session import cut_lineage
+
 # Spark keeps a literal "row_number() <= n" within each input partition, before the shuffle, up to this n
 PUSHED_LIMIT = 1000
 SALTS = 64
@@ -30,6 +32,25 @@ def top_per_group(df: DataFrame, keys: Sequence[str | Column], order: Sequence[C
     return df if rank_name else df.drop(name)
 
 
+def running_sums(df: DataFrame, scope: str, order: Sequence[Column], sums: dict[str, Column]) -> DataFrame:
+    """Adds, for each of ``sums``, its total over the rows of the scope up to this one; ``order`` is a total order.
+
+    Two passes: rows are dealt out by ranges of scope and order, and each task's part is summed on its own; the totals of the
+    parts (one short row per part and scope) are added up and joined back. So a scope of any size is no single task.
+    """
+    rows = cut_lineage(df.withColumns({f"_v_{n}": c for n, c in sums.items()}))  # the ranges are found by sampling: not over the whole plan
+    keys = [F.asc(scope), *order]
+    parts = cut_lineage(rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_row", F.monotonically_increasing_id())
+                        .withColumn("_part", F.shiftright("_row", 33)))
+    here = Window.partitionBy(scope, "_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("_of").orderBy("_in").rowsBetween(Window.unboundedPreceding, -1)
+    totals = parts.groupBy(F.col(scope).alias("_of"), F.col("_part").alias("_in")).agg(*(F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums))
+    totals = totals.select("_of", "_in", *(F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_b_{n}") for n in sums))
+    joined = parts.withColumns({f"_h_{n}": F.sum(f"_v_{n}").over(here) for n in sums}).join(
+        totals, F.col(scope).eqNullSafe(F.col("_of")) & (F.col("_part") == F.col("_in")))
+    return joined.select(*df.columns, *((F.col(f"_h_{n}") + F.col(f"_b_{n}")).alias(n) for n in sums))
+
+
 def region_rank(region: Column) -> Column:
     return (F.when(region == "CZ", 0).when(region == "EU", 1).when(region == "US", 2)
             .when(region == "GLOBAL", 3).otherwise(9))

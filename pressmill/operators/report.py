@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pressmill.operators.common import region_rank, top_per_group
+from pressmill.operators.common import region_rank, running_sums, top_per_group
 
 SWOT = ("strengths", "weaknesses", "opportunities", "threats")
 NEWS = ("cz_items", "world_items")
@@ -140,11 +140,9 @@ def fallback_list(scored: DataFrame, n: int = 15, scope: str = "week") -> DataFr
 
 def fit_budget(selected: DataFrame, budget: float, floor: int = 15, scope: str = "week") -> DataFrame:
     """Leave out the weakest non-domestic rows until the estimated cost fits, down to ``floor`` rows."""
-    order = [F.when(F.col("geo_focus") == "CZ", 0).otherwise(1), F.desc("final_score"), F.asc("id")]
-    w = Window.partitionBy(scope).orderBy(*order)  # a selection of some dozens of rows
-    return (selected.withColumn("running", F.sum("cost").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-            .withColumn("place", F.row_number().over(w))
-            .where((F.col("running") <= budget) | (F.col("place") <= floor)))
+    order = [F.when(F.col("geo_focus") == "CZ", 0).otherwise(1).asc(), F.desc("final_score"), F.asc("id")]
+    placed = running_sums(selected, scope, order, {"running": F.col("cost"), "place": F.lit(1).cast("long")})
+    return placed.withColumn("place", F.col("place").cast("int")).where((F.col("running") <= budget) | (F.col("place") <= floor))
 
 
 def item_references(selected: DataFrame, media_ids: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pressmill import config
 from pressmill.functions import text
 from pressmill.functions.keywords import Keywords, default_keywords
-from pressmill.operators.common import clamp, lookup, top_per_group
+from pressmill.operators.common import clamp, lookup, running_sums, top_per_group
 from pressmill.operators.items import effective_date
 
 MAX_TOPICS = 4
@@ -142,14 +142,8 @@ def quota_counts(selected: DataFrame) -> DataFrame:
 
 
 def budget_prefix(batches: DataFrame, spent: str, budget: float, scope: str) -> DataFrame:
-    """Batches before the first one whose running estimate would pass the budget.
-
-    ``batches`` holds one row per batch (not per item), so the running sum per scope is short.
-    """
-    from pyspark.sql.window import Window
-
-    running = F.sum(spent).over(Window.partitionBy(scope).orderBy("batch_no"))
-    return batches.withColumn("running", running).where(F.col("running") <= budget)
+    """Batches before the first one whose running estimate would pass the budget; one row per batch."""
+    return running_sums(batches, scope, [F.asc("batch_no")], {"running": F.col(spent)}).where(F.col("running") <= budget)
 
 
 def saved_scores(scored: DataFrame, selected: DataFrame) -> DataFrame:

@@ -6,13 +6,12 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from pressmill import config
 from pressmill.functions import text
 from pressmill.functions.dates import shift_week, stamp_literal, week_bounds
 from pressmill.functions.keywords import Keywords, default_keywords
-from pressmill.operators.common import top_per_group
+from pressmill.operators.common import running_sums, top_per_group
 
 
 def in_window(start: dt.datetime, end: dt.datetime, grace_days: int = config.Selection.grace_days) -> Column:
@@ -88,16 +87,15 @@ def mark_seen(seen: DataFrame, new: DataFrame) -> DataFrame:
                                                           .select("kind", "key", "week"))
 
 
-def week_marks(placed: DataFrame, fetched: DataFrame, week: str, shown_calls: DataFrame | None = None) -> DataFrame:
-    """Memory rows of one run: placed items and DOIs, suppressed items, fetched sources, shown calls."""
+def week_marks(placed: DataFrame, fetched: DataFrame, week: str) -> DataFrame:
+    """Memory rows of one run: placed items and DOIs, suppressed items, fetched sources."""
     def rows(df, kind, key, value):
         return df.select(F.lit(kind).alias("kind"), F.col(key).cast("string").alias("key"), F.lit(value).alias("week"))
 
     window, suppressed = placed.where("placement = 'window'"), placed.where("placement = 'suppressed'")
-    out = (rows(window, "item", "id", week).unionByName(rows(window.where("doi is not null"), "doi", "doi", week))
-           .unionByName(rows(suppressed, "item", "id", config.SUPPRESSED_WEEK))
-           .unionByName(rows(fetched.select("source_id").distinct(), "source", "source_id", week)))
-    return out if shown_calls is None else out.unionByName(rows(shown_calls, "opportunity", "item_id", week))
+    return (rows(window, "item", "id", week).unionByName(rows(window.where("doi is not null"), "doi", "doi", week))
+            .unionByName(rows(suppressed, "item", "id", config.SUPPRESSED_WEEK))
+            .unionByName(rows(fetched.select("source_id").distinct(), "source", "source_id", week)))
 
 
 def prune_seen(seen: DataFrame, week: str, keep_weeks: int = config.Selection.seen_retention_weeks) -> DataFrame:
@@ -116,5 +114,5 @@ def last_weeks(table: DataFrame, n: int, week: str = "week") -> DataFrame:
 
 def batch_numbers(ranked: DataFrame, order: list[Column], size: int, scope: str) -> DataFrame:
     """Batch number of each row of a ranked queue, per scope."""
-    w = Window.partitionBy(scope).orderBy(*order)
-    return ranked.withColumn("batch_no", F.floor((F.row_number().over(w) - 1) / size).cast("int"))
+    placed = running_sums(ranked, scope, order, {"_place": F.lit(1).cast("long")})
+    return placed.withColumn("batch_no", F.floor((F.col("_place") - 1) / size).cast("int")).drop("_place")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pressmill import config, schemas
-from pressmill.functions.dates import week_bounds
+from pressmill.functions.dates import deadline_window, week_bounds
 from pressmill.functions.keywords import Keywords
 from pressmill.operators import calls, dedup, media, report, review, score, select, sentiment, window
 from pressmill.operators.items import ITEM_COLUMNS, merge_with_stored, news_only
@@ -49,12 +49,31 @@ def prepare(fresh: DataFrame, stored: DataFrame, seen: DataFrame, sources: DataF
     return Week(windowed, candidates, scored, selected, marked)
 
 
+def call_section(fresh: DataFrame, sources: DataFrame, seen: DataFrame, drafts: DataFrame | None, now: dt.datetime, week: str,
+                 settings: config.Calls = config.Calls()) -> tuple[DataFrame, DataFrame | None, DataFrame]:
+    """The pool of calls, the drafts checked against it, and the memory of the week's calls.
+
+    ``drafts`` (pos, item_id, funder, deadline) are written from the pool by whoever writes the report. Only drafts that the
+    report shows are remembered; without drafts nothing is shown, and the pool comes back whole.
+    """
+    ref = week_bounds(week)[1]
+    shown = seen.where("kind = 'opportunity'").select("key", "week")
+    pool = calls.call_pool(fresh, sources, shown, now, week, ref, settings)
+    if drafts is None:
+        return pool, None, seen.limit(0)
+    checked = cut_lineage(calls.check_drafts(drafts, pool, *deadline_window(ref, settings.max_months), settings))
+    marks = checked.where("outcome = 'shown'").select(F.lit("opportunity").alias("kind"), F.col("item_id").alias("key"), F.lit(week).alias("week"))
+    return pool, checked, marks
+
+
 def run_week(spark: SparkSession, base: str, fresh: DataFrame, sources: DataFrame, week: str, now: dt.datetime,
              supplied: DataFrame | None = None, media_articles: DataFrame | None = None,
              media_classes: DataFrame | None = None, keywords: Keywords | None = None, dry_run: bool = False,
-             sel: config.Selection = config.Selection()) -> dict[str, DataFrame]:
+             sel: config.Selection = config.Selection(), drafts: DataFrame | None = None) -> dict[str, DataFrame]:
     """One run with its tables under ``base``. A dry run writes the week's tables but no state between weeks.
 
+    ``drafts`` are drafted calls (see ``call_section``); those that are shown come back later only as reminders.
+
     A second run of the same week reads the same items (stored rows win) and gives the same result.
     """
     seen = store.load_state(spark, f"{base}/seen", schemas.SEEN)
@@ -81,8 +100,9 @@ def run_week(spark: SparkSession, base: str, fresh: DataFrame, sources: DataFram
     out["scores"] = scores
     out["sentiment"] = sentiment.summary(rated, selected)
     out["fallback"] = report.fallback_list(selected)
-    shown = seen.where("kind = 'opportunity'").select("key", "week")
-    out["call_pool"] = calls.call_pool(fresh, sources, shown, now, week, week_bounds(week)[1])
+    out["call_pool"], checked, call_marks = call_section(fresh, sources, seen, drafts, now, week)
+    if checked is not None:
+        out["calls"] = checked
     if dry_run:
         return out
 
@@ -95,8 +115,8 @@ def run_week(spark: SparkSession, base: str, fresh: DataFrame, sources: DataFram
     store.save_state(perf, f"{base}/performance")
     status = store.load_state(spark, f"{base}/rotation", review.STATUS_SCHEMA)
     store.save_state(review.rotate(perf, sources, status, week), f"{base}/rotation")
-    # calls of this report come back only as reminders; a repeated run of the week keeps them (the earlier mark stays)
-    marks = window.week_marks(data.placed, fresh, week, out["call_pool"].select(F.col("id").alias("item_id")))
+    # a repeated run of the week keeps its calls (the earlier mark stays)
+    marks = window.week_marks(data.placed, fresh, week).unionByName(call_marks.select("kind", "key", "week"))
     store.save_state(window.prune_seen(window.mark_seen(seen, marks), week, sel.seen_retention_weeks), f"{base}/seen")
     out["performance"] = perf
     return out

@@ -13,15 +13,16 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressmill import config
+from pressmill import config, schemas
 from pressmill.functions import dates, text, urls
 from pressmill.functions.keywords import Keywords
 from pressmill.operators import (calls, cluster, dedup, health, media, report, review, score, select, sentiment, usage,
                                  validation, window)
 from pressmill.operators.common import distinct_first, top_per_group
 from pressmill.operators.items import build_items, effective_date, items_per_source, merge_with_stored, news_only, unite
+from pressmill.plans import weekly
 from pressmill.session import checkpoint_dir
-from pressmill.sources import academic, feeds, funding, listing, payloads, registry
+from pressmill.sources import academic, feeds, funding, listing, payloads, registry, store
 from pressmill.streaming import media_store
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -1083,6 +1084,47 @@ def call_drafts(d):
     return calls.check_drafts(drafts, _pool(d, None), lo, hi).select("item_id", "outcome")
 
 
+def _runs_sql() -> str:
+    """The calls of three runs, each with the memory of those before."""
+    parts, shown = [], "SELECT CAST(NULL AS VARCHAR) AS id, CAST(NULL AS VARCHAR) AS week WHERE false"
+    for n, (week, now, low, high, near) in enumerate((
+            ("2026-W40", "2026-10-12 06:00:00", "2026-10-04", "2027-04-05", "2026-11-18"),
+            ("2026-W40", "2026-10-12 06:00:00", "2026-10-04", "2027-04-05", "2026-11-18"),
+            ("2026-W41", "2026-10-19 06:00:00", "2026-10-11", "2027-04-12", "2026-11-25"))):
+        parts.append(f"""shown{n} AS (SELECT id, min(week) AS week FROM ({shown}) GROUP BY id),
+pool{n} AS (SELECT c.* FROM calls c LEFT JOIN sources s ON s.id = c.source_id LEFT JOIN shown{n} h ON h.id = c.id
+ WHERE (coalesce(s.funding, false) OR c.source_type = 'funding' OR regexp_matches(c.title, '(?i)(výzva|call for (proposals|applications|projects))'))
+  AND (deadline IS NULL OR deadline BETWEEN DATE '{low}' AND DATE '{high}')
+  AND (h.week IS NULL OR h.week = '{week}' OR coalesce(deadline <= DATE '{near}', false))
+  AND (c.source_type = 'funding' OR c.published_at >= TIMESTAMP '{now}' - INTERVAL 30 DAY)),
+j{n} AS (SELECT x.o_orderkey AS pos, x.id, coalesce(CASE WHEN x.o_orderkey % 8 = 0 THEN DATE '2027-11-30' END, p.deadline) AS dl,
+ coalesce(nullif(regexp_extract(p.title, '\\(([A-Z0-9]+)-[A-Z0-9-]+\\)\\s*$', 1), ''), p.source_name) AS prog FROM calls x JOIN pool{n} p ON p.id = x.id),
+o{n} AS (SELECT *, coalesce(dl NOT BETWEEN DATE '{low}' AND DATE '{high}', false) AS outside FROM j{n}),
+k{n} AS (SELECT *, row_number() OVER (PARTITION BY prog, outside ORDER BY pos) AS n FROM o{n}),
+m{n} AS (SELECT *, row_number() OVER (PARTITION BY NOT outside AND n <= 3 ORDER BY pos) AS q FROM k{n}),
+run{n} AS (SELECT {n + 1} AS run, id, CASE WHEN outside THEN 'outside window' WHEN n > 3 THEN 'programme full' WHEN q > 6 THEN 'over limit'
+  ELSE 'shown' END AS outcome FROM m{n})""")
+        shown = f"SELECT id, week FROM shown{n} UNION ALL SELECT id, '{week}' FROM run{n} WHERE outcome = 'shown'"
+    rows = " UNION ALL ".join(f"SELECT CAST(run AS INTEGER) AS run, id AS item_id, outcome FROM run{n}" for n in range(3))
+    return with_views("", "sources").rstrip() + ", " + _CALL_SQL + ", " + ",\n".join(parts) + "\n" + rows
+
+
+@query(_runs_sql())
+def calls_across_runs(d):
+    """Drafted calls of a week, of its repetition and of the next week: the state tables lie between the runs."""
+    state, found = f"{checkpoint_dir(d.spark)}/calls-{uuid.uuid4().hex}", None
+    announced, k = _calls(d), F.col("o_orderkey")
+    drafts = announced.select(k.alias("pos"), F.col("id").alias("item_id"), F.lit("").alias("funder"),
+                              F.when(k % 8 == 0, "30. 11. 2027").otherwise("neuvedeno").alias("deadline"))
+    for run, (week, now) in enumerate((("2026-W40", NOW), ("2026-W40", NOW), ("2026-W41", NOW + dt.timedelta(days=7)))):
+        seen = store.load_state(d.spark, state, schemas.SEEN)
+        _, checked, marks = weekly.call_section(announced, d.view("sources"), seen, drafts, now, week, config.Calls(pool_max=None))
+        store.save_state(window.prune_seen(window.mark_seen(seen, marks), week), state)
+        rows = checked.where("outcome <> 'unknown id'").select(F.lit(run + 1).alias("run"), "item_id", "outcome")
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
 @query("WITH " + _CALL_SQL + """ SELECT programme, count(*) AS n FROM (SELECT CASE regexp_extract(title, '\\(([A-Z0-9]+)-[A-Z0-9-]+\\)\\s*$', 1)
   WHEN 'HORIZON' THEN 'Horizon Europe' WHEN 'LIFE' THEN 'LIFE' ELSE source_name END AS programme FROM calls) GROUP BY programme""")
 def calls_by_programme(d):

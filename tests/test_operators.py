@@ -433,3 +433,20 @@ def test_usage(spark):
                                    "model string, input_tokens long, output_tokens long, cache_write_tokens long, cache_read_tokens long")
     got = {r.model: r.cost_usd for r in usage.usage_totals(usage.call_costs(ledger, prices)).collect()}
     assert got == {"a-2026": 2.35, "b": 1.0, "zzz": 2.0, None: 5.35}
+
+
+def test_running_sums_equal_a_window(spark):
+    from pyspark.sql.window import Window
+
+    from pressmill.operators.common import running_sums
+
+    rng = random.Random(3)
+    # one scope holds most rows, one is null, and there is a scope of one row
+    rows = [(k, rng.choice(["hot"] * 6 + ["b", None]), rng.randint(0, 40), rng.choice([1, 5, None])) for k in range(900)] + [(900, "one", 1, 7)]
+    df = spark.createDataFrame(rows, "id int, scope string, score int, cost int").repartition(6)
+    got = running_sums(df, "scope", [F.desc("score"), F.asc("id")], {"spent": F.col("cost"), "place": F.lit(1)})
+    w = Window.partitionBy("scope").orderBy(F.desc("score"), F.asc("id")).rowsBetween(Window.unboundedPreceding, 0)
+    want = df.withColumn("place", F.row_number().over(w)).withColumn("spent", F.coalesce(F.sum("cost").over(w), F.lit(0)))
+    assert got.columns == [*df.columns, "spent", "place"]
+    assert {r.id: (r.place, r.spent or 0) for r in got.collect()} == {r.id: (r.place, r.spent) for r in want.collect()}
+    assert running_sums(df.where("false"), "scope", [F.asc("id")], {"n": F.lit(1)}).count() == 0

@@ -97,14 +97,22 @@ def test_merge_does_not_depend_on_partitions(spark):
     assert got == {"t0"}
 
 
-def test_shown_calls_are_remembered(spark, tmp_path):
+def test_only_shown_calls_are_remembered(spark, tmp_path):
     src = registry.source_table(spark, [{"id": "s2", "name": "S", "source_type": "funding", "region": "EU"}])
-    fresh = items(spark, [item(5, title="Grant scheme for heat (LIFE-9-Z)", source_type="funding", source_id="s2")])
+    fresh = items(spark, [item(n, title=f"Grant scheme {n} for heat (LIFE-9-Z{n})", source_type="funding", source_id="s2") for n in (5, 6)])
     now, base = dt.datetime(2026, 9, 28, 6), str(tmp_path / "d")
-    assert weekly.run_week(spark, base, fresh, src, "2026-W39", now)["call_pool"].count() == 1
-    seen = store.load_state(spark, f"{base}/seen", schemas.SEEN).where("kind = 'opportunity'")
-    assert [(r.key, r.week) for r in seen.collect()] == [("i005", "2026-W39")]
-    assert weekly.run_week(spark, base, fresh, src, "2026-W40", now + dt.timedelta(days=7))["call_pool"].count() == 0
+    drafts = spark.createDataFrame([(0, "i005", "", "neuvedeno"), (1, "none", "", ""), (2, "i006", "", "30. 11. 2029")],
+                                   "pos int, item_id string, funder string, deadline string")
+    remembered = lambda: sorted((r.key, r.week) for r in store.load_state(spark, f"{base}/seen", schemas.SEEN).where(
+        "kind = 'opportunity'").collect())
+    out = weekly.run_week(spark, base, fresh, src, "2026-W39", now)
+    assert out["call_pool"].count() == 2 and "calls" not in out and remembered() == []
+    for _ in range(2):  # a repeated run shows the same
+        out = weekly.run_week(spark, base, fresh, src, "2026-W39", now, drafts=drafts)
+        assert {r.item_id: r.outcome for r in out["calls"].collect()} == {"i005": "shown", "none": "unknown id", "i006": "outside window"}
+        assert out["call_pool"].count() == 2 and remembered() == [("i005", "2026-W39")]
+    later = weekly.run_week(spark, base, fresh, src, "2026-W40", now + dt.timedelta(days=7))
+    assert [r.id for r in later["call_pool"].collect()] == ["i006"] and remembered() == [("i005", "2026-W39")]
 
 
 def test_repeated_batch_counts_once(spark, tmp_path):
@@ -128,7 +136,7 @@ def _plain(v):
 
 
 @pytest.mark.parametrize("name", ["item_rows", "week_window", "final_score", "sentiment_levels", "sentiment_extremes", "media_collection", "media_context", "weak_sources",
-                                  "coder_agreement", "events_to_watchlist", "usage_totals", "funding_job", "date_spellings"])
+                                  "coder_agreement", "events_to_watchlist", "usage_totals", "calls_across_runs", "batch_budget_cut", "budget_fit", "funding_job", "date_spellings"])
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
     for t in queries.TABLES:
