@@ -29,9 +29,9 @@ TERM_RANKS = 50
 SHARD_BYTES = 1 << 20
 PASS_BYTES = 48 << 20
 #: bytes of counts that a task holds before it gives them on
-DENSE_BYTES = 96 << 20
+DENSE_BYTES = 64 << 20
 #: values (sources x terms) that one group of the comparison holds
-CELLS = 1 << 18
+CELLS = 1 << 16
 #: places per term at each level of a perfect hash, and levels; terms still not alone after the last are listed
 GAMMA = 1.5
 LEVELS = 48

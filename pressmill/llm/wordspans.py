@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: texts of about so many bytes are looked at together; a longer text is looked at alone
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
