@@ -14,7 +14,8 @@ HEADLINE = ["weekly_top_items", "keyword_match", "heuristic_score", "final_score
             "source_caps", "merge_stored_wins", "remember_and_prune", "sentiment_levels", "media_distributions",
             "media_context", "one_per_outlet", "source_performance", "weak_sources", "coder_agreement",
             "evidence_integrity", "single_place", "usage_totals", "funding_job", "feed_job", "listing_job",
-            "similar_titles", "deduplicated"]
+            "similar_titles", "deduplicated", "topic_clusters", "balanced_selection", "call_drafts", "media_collection",
+            "batch_budget_cut", "budget_fit"]
 
 
 def main():
