@@ -1,8 +1,10 @@
 """Balanced selection under quotas and caps.
 
-The rule walks the ranked pool several times, so it runs as one small grouped step per week. The step never sees the
-whole pool: clusters and picks depend only on better-ranked rows, so it works on the best ``prefix`` rows of a week
-and reports whether it could finish with them; only if not, the prefix grows.
+The rule walks the ranked pool several times. Most weeks are settled by the best ``block`` rows: clusters and picks
+depend only on better-ranked rows. A week that these do not settle, say one with a quota that it cannot meet, is walked
+block by block: Spark leaves out the rows that the picks so far rule out, and a task gets the best ``block`` of the others
+with the counters of the blocks before. The first row of a block is always picked, so there are no more blocks than
+picks and steps, whatever the size of the week.
 """
 
 from __future__ import annotations
@@ -22,8 +24,8 @@ from pressmill.operators.common import region_rank, top_per_group
 from pressmill.operators.score import is_domestic, rank_columns, rank_key
 from pressmill.session import cut_lineage
 
-FIRST_PREFIX = 1000
-GROWTH = 8
+#: rows of a week that one task walks at once
+BLOCK = 1000
 
 
 def with_organisation(scored: DataFrame, sources: DataFrame) -> DataFrame:
@@ -46,93 +48,146 @@ def default_quotas(sel: config.Selection) -> list[Quota]:
             Quota("attitudes", lambda: F.col("is_public_attitudes_or_communication"), sel.min_attitudes)]
 
 
-class _Picks:
-    """The rows picked so far, as counters: every row belongs to some groups, and a group takes only so many rows.
+def _group_columns(sel: config.Selection) -> dict[str, Column]:
+    """The groups of a row and how many rows each takes: firm ones hold in every step, soft ones in strict steps.
 
-    Firm groups (address, DOI, cluster) hold in every pass, soft ones (organisation, source type) in strict passes. A
-    copy is thus nothing special: its address or DOI is a group that is full.
+    A copy is nothing special: its address or DOI is a group that is full.
     """
+    def group(kind: str, value: Column, cap: int) -> Column:
+        return F.struct(F.concat(F.lit(f"{kind} "), F.coalesce(value, F.lit(""))).alias("key"), F.lit(cap).alias("cap"))
+
+    firm = [group("url", F.col("url_key"), 1), group("cluster", F.col("cluster"), sel.max_per_cluster),
+            F.when(F.col("doi_key") != "", group("doi", F.col("doi_key"), 1))]
+    soft = [group("org", F.col("org"), sel.max_per_org),
+            *(F.when(F.col("source_type") == kind, group("type", F.lit(kind), cap)) for kind, cap in sel.type_caps().items())]
+    both = {"firm": F.array_compact(F.array(*firm)), "soft": F.array_compact(F.array(*soft))}
+    return {f"{name}_{part}": groups[part] for name, groups in both.items() for part in ("key", "cap")}  # a field of each struct
+
 
-    def __init__(self, pdf: pd.DataFrame, sel: config.Selection, flags: list[str]):
-        caps = sel.type_caps()
-        columns = {c: pdf[c].tolist() for c in ("url_key", "doi_key", "cluster", "org", "source_type", *flags)}
-        self.firm, self.soft = [], []
-        for k in range(len(pdf)):
-            firm = [("url", columns["url_key"][k], 1), ("cluster", columns["cluster"][k], sel.max_per_cluster)]
-            if columns["doi_key"][k]:
-                firm.append(("doi", columns["doi_key"][k], 1))
-            kind = columns["source_type"][k]
-            soft = [("org", columns["org"][k], sel.max_per_org)]
-            if kind in caps:
-                soft.append(("type", kind, caps[kind]))
-            self.firm.append(firm)
-            self.soft.append(soft)
-        self.flags = {f: columns[f] for f in flags}
-        self.load: Counter = Counter()
+class _Picks:
+    """The rows picked so far, as counters of their groups; ``load`` may come from earlier blocks."""
+
+    def __init__(self, pdf: pd.DataFrame, load: dict[str, int] | None = None):
+        self.firm, self.soft = ([list(zip(k, c)) for k, c in zip(pdf[f"{n}_key"], pdf[f"{n}_cap"])] for n in ("firm", "soft"))
+        self.load = Counter(load or {})
         self.order: list[int] = []
 
-    def run(self, strict: bool, goal: int, flag: str | None = None) -> bool:
-        """One pass down the ranks until ``goal`` rows (with ``flag``) are picked; whether it got there."""
-        have = len(self.order) if flag is None else sum(bool(self.flags[flag][k]) for k in self.order)
+    def run(self, strict: bool, wanted: list[bool], missing: int) -> bool:
+        """One pass down the ranks until ``missing`` more of the ``wanted`` rows are picked; whether it got there."""
         for k in range(len(self.firm)):
-            if have >= goal:
+            if missing <= 0:
                 break
             groups = self.firm[k] + self.soft[k] if strict else self.firm[k]
-            if (flag and not self.flags[flag][k]) or any(self.load[kind, value] >= cap for kind, value, cap in groups):
+            if not wanted[k] or any(self.load[key] >= cap for key, cap in groups):
                 continue
-            self.load.update((kind, value) for kind, value, _ in self.firm[k] + self.soft[k])
+            self.load.update(key for key, _ in self.firm[k] + self.soft[k])
             self.order.append(k)
-            have += 1
-        return have >= goal
+            missing -= 1
+        return missing <= 0
+
 
+def _goals(sel: config.Selection, quotas: list[Quota]) -> list[int]:
+    """Rows to reach: of each quota, then of all. Each has a strict step, and a lax one if that falls short."""
+    return [*(q.least for q in quotas), sel.max_items]
 
-def _picker(sel: config.Selection, quotas: list[Quota]):
-    """The picked rows of one week's prefix, and whether a longer prefix could give others."""
+
+def _first_block(goals: list[int]):
+    """The picked rows of one week's best block, and whether more rows could give others."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("rank", kind="stable")
-        picks, settled = _Picks(pdf, sel, [f"quota_{q.name}" for q in quotas]), True
-        goals = [(q.least, f"quota_{q.name}") for q in quotas] + [(sel.max_items, None)]
-        for goal, flag in goals:
+        picks, settled = _Picks(pdf), True
+        for g, goal in enumerate(goals):
+            wanted = [bool(f[g]) for f in pdf["flags"]]
             # a strict pass that reaches its goal has seen all rows it needs; a lax one follows only if it does not
-            if not picks.run(True, goal, flag):
+            for strict in (True, False):
+                if picks.run(strict, wanted, goal - sum(wanted[k] for k in picks.order)):
+                    break
                 settled = False
-                picks.run(False, goal, flag)
-        chosen = pdf.iloc[picks.order[:max(sel.max_items, sum(q.least for q in quotas))]]
-        return pd.DataFrame({"scope": chosen["scope"], "id": chosen["id"], "done": settled or bool(pdf["whole"].iloc[0])})
+        chosen = pdf.iloc[picks.order]
+        return pd.DataFrame({"scope": chosen["scope"] if len(chosen) else pdf["scope"].iloc[:1], "id": chosen["id"] if len(chosen) else None,
+                             "done": settled or bool(pdf["whole"].iloc[0])})
+
+    return run
+
+
+_STATE = "scope string, step int, load map<string,int>, have array<int>, ids array<string>"
+
+
+def _later_block(goals: list[int], block: int):
+    """One step of one week over a block: the counters after it, and the step that comes next."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("rank", kind="stable")
+        whole, pdf = len(pdf) <= block, pdf.iloc[:block]
+        first = pdf.iloc[0]
+        step, have = int(first["step"]), [int(n) for n in first["have"]]
+        picks = _Picks(pdf, dict(first["load"]))
+        reached = picks.run(step % 2 == 0, [True] * len(pdf), goals[step // 2] - have[step // 2])
+        for k in picks.order:
+            have = [n + bool(f) for n, f in zip(have, pdf["flags"].iloc[k])]
+        ids = [*first["ids"], *pdf["id"].iloc[picks.order]]
+        return pd.DataFrame({"scope": [first["scope"]], "step": [step + 1 if reached or whole else step], "load": [dict(picks.load)],
+                             "have": [have], "ids": [ids]})
 
     return run
 
 
+def _walk(rows: DataFrame, goals: list[int], block: int) -> DataFrame:
+    """scope and id of the picked rows, block by block. ``rows``: scope, id, rank, flags and the columns of groups."""
+    last = 2 * len(goals)
+    state = cut_lineage(rows.select("scope").distinct().selectExpr(
+        "scope", "0 AS step", "map_from_arrays(array(), array()) AS load", f"array_repeat(0, {len(goals)}) AS have", "array() AS ids"
+    ).select(*(F.col(f.name).cast(f.dataType) for f in rows.sparkSession.createDataFrame([], _STATE).schema)))
+    wanted = F.array(*[F.lit(g) for g in goals])
+    goal_no = (F.col("step") / 2).cast("int")
+
+    def free(name: str) -> Column:
+        return ~F.exists(F.arrays_zip(f"{name}_key", f"{name}_cap"), lambda g: F.coalesce(
+            F.try_element_at("load", g[f"{name}_key"]), F.lit(0)) >= g[f"{name}_cap"])
+
+    while True:
+        going = state.where(F.col("step") < last)
+        if going.isEmpty():
+            return state.select("scope", F.explode("ids").alias("id"))
+        left = (rows.join(going, "scope").where((F.get("have", goal_no) < F.get(wanted, goal_no)) & F.get("flags", goal_no))
+                .where(free("firm") & ((F.col("step") % 2 == 1) | free("soft"))))
+        best = top_per_group(left, ["scope"], [F.col("rank")], block + 1, salt_by="id")
+        moved = best.groupBy("scope").applyInPandas(_later_block(goals, block), _STATE).withColumn("_moved", F.lit(True))
+        after = going.join(moved.select("scope", F.struct("step", "load", "have", "ids").alias("_to")), "scope", "left")
+        # a step without any row left is over, also one whose goal is met
+        state = cut_lineage(state.where(F.col("step") >= last).unionByName(after.select(
+            "scope", F.coalesce("_to.step", F.col("step") + 1).alias("step"),
+            *(F.coalesce(f"_to.{c}", c).alias(c) for c in ("load", "have", "ids")))))
+
+
 def select_balanced(scored: DataFrame, sel: config.Selection = config.Selection(), scope: str = "week",
-                    first_prefix: int = FIRST_PREFIX, quotas: list[Quota] | None = None) -> DataFrame:
+                    block: int = BLOCK, quotas: list[Quota] | None = None) -> DataFrame:
     """The selected rows of every week. ``scored`` holds score columns, final_score and ``org``.
 
-    ``quotas`` (by default domestic focus and public attitudes) are filled in their order before the rest.
+    ``quotas`` (by default domestic focus and public attitudes) are filled in their order before the rest. No task
+    walks more than ``block`` rows.
     """
     quotas = default_quotas(sel) if quotas is None else quotas
-    flags = [f"quota_{q.name}" for q in quotas]
+    goals = _goals(sel, quotas)
     pool = cut_lineage(scored.where(F.col("relevance") >= sel.min_relevance).select(
         F.col(scope).cast("string").alias("scope"), F.col("id").cast("string").alias("id"), "org", "source_type",
-        *(q.condition().alias(f"quota_{q.name}") for q in quotas),
+        F.array(*(F.coalesce(q.condition(), F.lit(False)) for q in quotas), F.lit(True)).alias("flags"),
         urls.normalize_url(F.col("url")).alias("url_key"), F.lower(F.coalesce("doi", F.lit(""))).alias("doi_key"),
         rank_key().alias("rank"), "title", "title_cs", "url", "doi", "final_score", "cz_impact", "published_at",
         "first_seen"))
-    sizes = pool.groupBy("scope").agg(F.count("*").alias("pool_size"))
-    waiting, picked, prefix = pool, None, first_prefix
-    while True:
-        part = cut_lineage(top_per_group(waiting, ["scope"], [F.col("rank")], prefix, salt_by="id"))
+
+    def grouped(part: DataFrame) -> DataFrame:
         clusters = topic_clusters(part, sel.cluster_threshold, scope="scope")
-        rows = (part.join(clusters, ["scope", "id"]).join(sizes, "scope")
-                .withColumn("whole", F.col("pool_size") <= prefix))
-        result = cut_lineage(rows.select("scope", "id", "org", "source_type", *flags, "url_key", "doi_key", "rank", "cluster", "whole")
-                             .groupBy("scope").applyInPandas(_picker(sel, quotas), "scope string, id string, done boolean"))
-        finished = result.where("done").select("scope", "id")
-        picked = finished if picked is None else picked.unionByName(finished)
-        open_weeks = result.where("not done").select("scope").distinct()
-        if open_weeks.isEmpty():
-            break
-        waiting = waiting.join(open_weeks, "scope", "left_semi")
-        prefix *= GROWTH
+        return part.join(clusters, ["scope", "id"]).select("scope", "id", "rank", "flags", *(
+            c.alias(n) for n, c in _group_columns(sel).items()))
+
+    sizes = pool.groupBy("scope").agg((F.count("*") <= block).alias("whole"))
+    best = cut_lineage(top_per_group(pool, ["scope"], [F.col("rank")], block, salt_by="id"))
+    first = cut_lineage(grouped(best).join(sizes, "scope").groupBy("scope").applyInPandas(
+        _first_block(goals), "scope string, id string, done boolean"))
+    picked = first.where("done and id is not null").select("scope", "id")
+    waiting = first.where("not done").select("scope").distinct()
+    if not waiting.isEmpty():
+        picked = picked.unionByName(_walk(cut_lineage(grouped(cut_lineage(pool.join(waiting, "scope", "left_semi")))), goals, block))
     on = ((F.col(scope).cast("string") == F.col("_scope")) & (F.col("id").cast("string") == F.col("_id")))
     keys = picked.select(F.col("scope").alias("_scope"), F.col("id").alias("_id"))
     return scored.join(keys, on, "left_semi")

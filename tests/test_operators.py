@@ -198,10 +198,31 @@ def test_selection_equals_the_walk(spark, seed, prefix):
     for k in range(1, 150, 7):
         rows[k]["url"] = f"https://pool.test/{k % 11}"
     sel = config.Selection(max_items=20, min_domestic=8, min_attitudes=4, max_per_org=3, max_per_cluster=2)
-    got = ids(select.select_balanced(scored(spark, rows), sel, first_prefix=prefix))
+    got = ids(select.select_balanced(scored(spark, rows), sel, block=prefix))
     assert got == naive_selection(rows, sel)
 
 
+def test_unreachable_quota_is_walked_in_blocks(spark, monkeypatch):
+    rows = random_pool(random.Random(11), 150)
+    for k, r in enumerate(rows):
+        r["is_public_attitudes_or_communication"] = k in (3, 148)
+    sel = config.Selection(max_items=12, min_domestic=3, min_attitudes=9, max_per_org=2, max_per_cluster=2)
+    sizes, later = spark.sparkContext.accumulator(0), select._later_block
+
+    def watched(goals, block):
+        walk = later(goals, block)
+
+        def run(pdf):
+            sizes.add(10_000 if len(pdf) > block + 1 else 1)
+            return walk(pdf)
+        return run
+
+    monkeypatch.setattr(select, "_later_block", watched)
+    assert ids(select.select_balanced(scored(spark, rows), sel, block=10)) == naive_selection(rows, sel)
+    # every step picks or ends, and no task holds more than a block
+    assert 0 < sizes.value <= sel.max_items + sel.min_domestic + sel.min_attitudes + 6
+
+
 def test_copies_do_not_use_up_a_cluster(spark):
     rows = [{"title": "pumps replace boilers in towns", "doi": doi, "final_score": 9.0 - k, "org": "o"} for k, doi in enumerate(["10.7/a", "10.7/a", "10.7/b"])]
     got = ids(select.select_balanced(scored(spark, rows), config.Selection(max_per_cluster=2)))
