@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,21 +61,25 @@ def heuristic_score(items: DataFrame, keywords: Keywords | None = None) -> DataF
         F.lit(0).alias("sentiment"))
 
 
-def sanitize(scored: DataFrame) -> DataFrame:
-    """Bring supplied scores into their ranges; events lose two flags, domestic rows need no translation."""
-    event = F.coalesce("is_event", F.lit(False)) | text.looks_like_event(F.col("title"))
-    topics = F.coalesce("topics", F.array().cast("array<string>"))
-    return scored.withColumns({
-        "relevance": clamp(F.col("relevance").cast("int"), 0, 10),
-        "sentiment": clamp(F.col("sentiment").cast("int"), -2, 2),
-        "cz_impact": clamp(F.col("cz_impact").cast("int"), 0, 3),
-        "eu_impact": clamp(F.col("eu_impact").cast("int"), 0, 3),
+def _sanitized(given: Callable[[str], Column]) -> dict[str, Column]:
+    event = F.coalesce(given("is_event"), F.lit(False)) | text.looks_like_event(F.col("title"))
+    topics = F.coalesce(given("topics"), F.array().cast("array<string>"))
+    return {
+        "relevance": clamp(given("relevance").cast("int"), 0, 10),
+        "sentiment": clamp(given("sentiment").cast("int"), -2, 2),
+        "cz_impact": clamp(given("cz_impact").cast("int"), 0, 3),
+        "eu_impact": clamp(given("eu_impact").cast("int"), 0, 3),
         "topics": F.when(F.size(topics) == 0, F.array(F.lit(DEFAULT_TOPIC))).otherwise(F.array_distinct(topics)),
-        "title_cs": F.when(F.col("language") == "cs", "").otherwise(F.col("title_cs")),
+        "title_cs": F.when(F.col("language") == "cs", "").otherwise(given("title_cs")),
         "is_event": event,
-        "is_public_attitudes_or_communication": F.col("is_public_attitudes_or_communication") & ~event,
-        "is_original_research": F.col("is_original_research") & ~event,
-    })
+        "is_public_attitudes_or_communication": given("is_public_attitudes_or_communication") & ~event,
+        "is_original_research": given("is_original_research") & ~event,
+    }
+
+
+def sanitize(scored: DataFrame) -> DataFrame:
+    """Bring supplied scores into their ranges; events lose two flags, domestic rows need no translation."""
+    return scored.withColumns(_sanitized(F.col))
 
 
 def final_score(weights: config.ScoreWeights = config.ScoreWeights()) -> Column:
@@ -121,10 +127,14 @@ def score_items(items: DataFrame, supplied: DataFrame | None = None, keywords: K
     if max_supplied is not None:
         sent = queue(heuristic, max_supplied).select("id").withColumn("_sent", F.lit(True))
         rows = rows.join(sent, "id", "left").withColumn("_given", F.when("_sent", F.col("_given"))).drop("_sent")
-    external = rows.where("_given is not null").select(*items.columns, "_given.*")
-    external = sanitize(external).withColumn("final_score", final_score(weights)).withColumn("scored_by", F.lit("llm"))
-    own = rows.where("_given is null").drop("_given").withColumn("scored_by", F.lit("heuristic"))
-    return external.unionByName(own)
+    def given_score(name: str) -> Column:
+        return F.col("_given")[name]
+
+    # the choice is made by row: two filtered branches would read the items and match their words twice
+    supplied_here, clean = F.col("_given").isNotNull(), _sanitized(given_score)
+    chosen = rows.withColumns({c: F.when(supplied_here, clean.get(c, given_score(c))).otherwise(F.col(c)) for c in SCORE_COLUMNS}
+                              | {"scored_by": F.when(supplied_here, "llm").otherwise("heuristic")})
+    return chosen.withColumn("final_score", final_score(weights)).drop("_given")
 
 
 def queue(heuristic: DataFrame, n: int) -> DataFrame:

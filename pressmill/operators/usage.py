@@ -17,12 +17,13 @@ def estimate_tokens(text: Column) -> Column:
 def priced_models(models: DataFrame, prices: DataFrame) -> DataFrame:
     """Each distinct model name with its price: exact name, else the first listed name it begins with, else the dearest.
 
-    ``prices``: position, name, input, output, cache_write, cache_read. Both sides are short lists, whatever the size
-    of the ledger.
+    ``prices``: position, name, input, output, cache_write, cache_read. A model meets a price by equality with one of its
+    own beginnings, so a long price list is an ordinary join.
     """
     value = F.struct("input", "output", "cache_write", "cache_read")
     distinct = models.select("model").distinct()
-    fits = distinct.join(F.broadcast(prices), F.startswith("model", F.col("name")))  # a configuration table
+    beginnings = distinct.withColumn("name", F.explode(F.transform(F.sequence(F.lit(0), F.length("model")), lambda n: F.left("model", n))))
+    fits = beginnings.join(prices, "name")
     best = fits.groupBy("model").agg(F.min_by(value, F.struct(F.col("model") != F.col("name"), "position")).alias("_p"))
     dearest = prices.agg(F.max_by(value, F.struct("output", -F.col("position"))).alias("_d")).withColumn("_one", F.lit(1))
     rows = distinct.join(best, "model", "left").withColumn("_one", F.lit(1)).join(F.broadcast(dearest), "_one", "left")

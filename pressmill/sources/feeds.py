@@ -1,7 +1,7 @@
 """Feed payloads (RSS 2.0, Atom, RSS 1.0/RDF) and WordPress JSON to entries, inside the JVM's XML and JSON readers.
 
 Every job returns entries plus, through ``problem``, the payloads it could not read: a bad payload becomes a health
-row and never fails the run.
+row and never fails the run. A payload is read once: all shapes become one array of entries, the problem is a column.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pressmill.functions.dates import parse_date
 from pressmill.functions.urls import absolute_url
 from pressmill.operators.items import build_items, with_source
-from pressmill.sources.payloads import payload_kind
+from pressmill.session import cut_lineage
+from pressmill.sources.payloads import payload_kind, problems
 
 _ITEM = """struct<title:string, link:string, guid:string, pubDate:string, `dc:date`:string, date:string,
     description:string, `content:encoded`:string, author:string, `dc:creator`:array<string>,
@@ -41,52 +42,69 @@ def _blank_to_null(value: Column) -> Column:
     return F.nullif(F.trim(value), F.lit(""))
 
 
+_ENTRY_FIELDS = ("title", "link", "dates", "summary", "authors", "doi", "identifier", "problem")
+_FEED_DATES, _POST_DATES = 3, 5  # places where a date may stand
+
+
+def _common(**fields: Column) -> Column:
+    """One entry in the shape that all payloads share; ``link`` null means that there is no entry."""
+    empty = {n: F.lit(None).cast("array<string>" if n in ("dates", "authors") else "string") for n in _ENTRY_FIELDS}
+    return F.struct(*((empty | fields)[n].alias(n) for n in _ENTRY_FIELDS))
+
+
+def _or_problem(problem: Column, entries: Column) -> Column:
+    """The entries, or the problem as the only one: inside the array, a filter on it can't be pushed below the parse and repeat it."""
+    return F.when(problem.isNotNull(), F.array(_common(problem=problem))).otherwise(entries)
+
+
+def _feed_item(e: Column) -> Column:
+    return _common(
+        title=e["title"], link=F.coalesce(_blank_to_null(e["link"]), _blank_to_null(e["guid"])),
+        dates=F.array(e["pubDate"], e["dc:date"], e["date"]),
+        summary=F.coalesce(_blank_to_null(e["description"]), e["content:encoded"]),
+        authors=F.when(F.size(e["dc:creator"]) > 0, e["dc:creator"]).otherwise(F.array(e["author"])),
+        doi=e["prism:doi"], identifier=e["dc:identifier"])
+
+
+def _feed_entry(e: Column) -> Column:
+    main = F.filter(e["link"], lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == "alternate")
+    return _common(
+        title=e["title"], link=F.coalesce(F.get(main, F.lit(0))["_href"], F.get(e["link"], F.lit(0))["_href"]),
+        dates=F.array(e["published"], e["updated"], e["created"]),
+        summary=F.coalesce(_blank_to_null(e["summary"]), F.get(e["content"], F.lit(0))),
+        authors=F.transform(e["author"], lambda a: a["name"]), doi=e["prism:doi"])
+
+
+def _read_feeds(payloads: DataFrame, mine: Column) -> DataFrame:
+    """Adds ``entries``, or the problem as one, for the payloads that are ``mine``."""
+    rows = payloads.withColumn("kind", payload_kind(F.col("body"), F.col("content_type")))
+    rows = rows.withColumn("doc", F.from_xml(F.when(mine & (F.col("kind") == "ok"), _readable(F.col("body"))), FEED,
+                                             {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}))
+    items = F.coalesce("doc.channel.item", "doc.item")
+    unread = F.col("doc._corrupt_record").isNotNull() & items.isNull() & F.col("doc.entry").isNull()
+    problem = F.when(mine, F.when(F.col("kind") != "ok", F.col("kind")).when(unread, "parse_error"))
+    found = F.concat(*(F.coalesce(e, F.array()) for e in (F.transform(items, _feed_item), F.transform("doc.entry", _feed_entry))))
+    return rows.withColumn("entries", _or_problem(problem, found)).drop("kind", "doc")
+
+
+def _entry_rows(rows: DataFrame, linked: Column, n_dates: int) -> DataFrame:
+    """One row per entry, and one per payload with a problem, from a single pass; addresses that are ``linked`` are made absolute."""
+    rows = (rows.withColumn("linked", linked).withColumnsRenamed({"url": "_base", "fetched_at": "now"})
+            .select("payload_id", "source_id", "_base", "now", "linked", F.posexplode_outer("entries").alias("feed_pos", "e"))
+            .where("e.problem is not null or e.link is not null"))
+    e = {n: F.col("e")[n] for n in _ENTRY_FIELDS}
+    named_doi = F.when(F.contains(e["identifier"], F.lit("10.")) & F.contains(F.lower(e["identifier"]), F.lit("doi")), e["identifier"])
+    url = F.when(F.col("linked"), absolute_url(F.replace(e["link"], F.lit("&amp;"), F.lit("&")), F.col("_base"))).otherwise(e["link"])
+    return rows.select(
+        "payload_id", "source_id", F.when(e["problem"].isNull(), F.col("feed_pos")).alias("feed_pos"), e["title"].alias("title"), url.alias("url"),
+        _first_date(F.col("now"), *[F.get(e["dates"], F.lit(i)) for i in range(n_dates)]).alias("published"),
+        e["summary"].alias("summary"), F.transform(e["authors"], lambda a: F.trim(a)).alias("authors"),
+        F.coalesce(_blank_to_null(e["doi"]), named_doi).alias("doi"), F.lit(None).cast("string").alias("language"), "now", e["problem"].alias("problem"))
+
+
 def parse_feeds(payloads: DataFrame) -> DataFrame:
     """payload_id, source_id, feed_pos, title, url, published, summary, authors, doi, language, now, problem."""
-    kind = payload_kind(F.col("body"), F.col("content_type"))
-    rows = payloads.withColumn("kind", kind)
-    doc = F.from_xml(F.when(F.col("kind") == "ok", _readable(F.col("body"))), FEED,
-                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    rows = rows.withColumn("doc", doc)
-    items = F.coalesce("doc.channel.item", "doc.item")
-    problem = (F.when(F.col("kind") != "ok", F.col("kind"))
-               .when(F.col("doc._corrupt_record").isNotNull() & items.isNull() & F.col("doc.entry").isNull(),
-                     "parse_error"))
-    rows = rows.withColumn("problem", problem)
-    base = [F.col(c) for c in ("payload_id", "source_id")]
-    now = F.col("fetched_at")
-    rss = rows.select(*base, F.col("url").alias("_base"), now.alias("now"), F.posexplode(items).alias("feed_pos", "e")).select(
-        "payload_id", "source_id", "_base", "now", "feed_pos", F.col("e.title").alias("title"),
-        F.coalesce(_blank_to_null(F.col("e.link")), _blank_to_null(F.col("e.guid"))).alias("link"),
-        F.array("e.pubDate", "e.`dc:date`", "e.date").alias("dates"),
-        F.coalesce(_blank_to_null(F.col("e.description")), F.col("e.`content:encoded`")).alias("summary"),
-        F.when(F.size("e.`dc:creator`") > 0, F.col("e.`dc:creator`")).otherwise(F.array("e.author")).alias("authors"),
-        F.col("e.`prism:doi`").alias("doi"), F.col("e.`dc:identifier`").alias("identifier"))
-    main = F.filter("e.link", lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == "alternate")
-    atom = rows.select(*base, F.col("url").alias("_base"), now.alias("now"),
-                       F.posexplode("doc.entry").alias("feed_pos", "e")).select(
-        "payload_id", "source_id", "_base", "now", "feed_pos", F.col("e.title").alias("title"),
-        F.coalesce(F.try_element_at(main, F.lit(1))["_href"],
-                   F.try_element_at(F.col("e.link"), F.lit(1))["_href"]).alias("link"),
-        F.array("e.published", "e.updated", "e.created").alias("dates"),
-        F.coalesce(_blank_to_null(F.col("e.summary")), F.try_element_at(F.col("e.content"), F.lit(1))).alias("summary"),
-        F.transform("e.author", lambda a: a["name"]).alias("authors"), F.col("e.`prism:doi`").alias("doi"),
-        F.lit(None).cast("string").alias("identifier"))
-    entries = rss.unionByName(atom)
-    named_doi = F.when(F.contains("identifier", F.lit("10.")) & F.contains(F.lower("identifier"), F.lit("doi")),
-                       F.col("identifier"))
-    entries = (entries.withColumn("published", _first_date(F.col("now"), *[F.col("dates")[i] for i in range(3)]))
-               .withColumn("doi", F.coalesce(_blank_to_null(F.col("doi")), named_doi))
-               .withColumn("authors", F.transform("authors", lambda a: F.trim(a)))
-               .withColumn("url", absolute_url(F.replace("link", F.lit("&amp;"), F.lit("&")), F.col("_base"))))
-    columns = ["payload_id", "source_id", "feed_pos", "title", "url", "published", "summary", "authors", "doi",
-               F.lit(None).cast("string").alias("language"), "now"]
-    good = entries.where("link is not null").select(*columns, F.lit(None).cast("string").alias("problem"))
-    return good.unionByName(_problem_rows(rows), allowMissingColumns=True)
-
-
-def _problem_rows(rows: DataFrame) -> DataFrame:
-    return rows.where("problem is not null").select("payload_id", "source_id", F.col("fetched_at").alias("now"), "problem")
+    return _entry_rows(_read_feeds(payloads, F.lit(True)), F.lit(True), _FEED_DATES)
 
 
 def _rendered(value: Column) -> Column:
@@ -94,36 +112,43 @@ def _rendered(value: Column) -> Column:
     return F.when(F.startswith(F.ltrim(value), F.lit("{")), F.from_json(value, _RENDERED)["rendered"]).otherwise(value)
 
 
-def parse_wordpress(payloads: DataFrame) -> DataFrame:
-    """Standard posts and custom endpoints (``url``, ``description``, ``pubDate``) to entries."""
-    body = F.regexp_replace("body", "^﻿", "")
-    rows = (payloads.withColumn("kind", payload_kind(body))
-            .withColumn("posts", F.from_json(F.when(F.startswith(F.ltrim(body), F.lit("[")), body), f"array<{_POST}>"))
-            .withColumn("problem", F.when(F.col("kind") != "ok", F.col("kind"))
-                        .when(F.get_json_object(body, "$.code").isNotNull(), "parse_error: API error")
-                        .when(F.col("posts").isNull(), "parse_error: no list")))
-    gmt = F.col("p.date_gmt")
-    entries = rows.select("payload_id", "source_id", F.col("fetched_at").alias("now"),
-                          F.posexplode("posts").alias("feed_pos", "p")).where("p is not null").select(
-        "payload_id", "source_id", "now", "feed_pos", _rendered(F.col("p.title")).alias("title"),
-        F.coalesce(_blank_to_null(F.col("p.link")), _blank_to_null(F.col("p.url")), F.lit("")).alias("url"),
-        _first_date(F.col("now"), F.when(gmt != "", F.when(F.endswith(gmt, F.lit("Z")), gmt).otherwise(
-            F.concat(gmt, F.lit("Z")))), F.col("p.pubDate"), F.col("p.date"), F.col("p.modified_gmt"),
-            F.col("p.modified")).alias("published"),
-        F.coalesce(_blank_to_null(_rendered(F.col("p.excerpt"))), _rendered(F.col("p.description"))).alias("summary"),
+def _post(p: Column) -> Column:
+    gmt = p["date_gmt"]
+    return _common(
+        title=_rendered(p["title"]),
+        link=F.when(p.isNotNull(), F.coalesce(_blank_to_null(p["link"]), _blank_to_null(p["url"]), F.lit(""))),
+        dates=F.array(F.when(gmt != "", F.when(F.endswith(gmt, F.lit("Z")), gmt).otherwise(F.concat(gmt, F.lit("Z")))),
+                      p["pubDate"], p["date"], p["modified_gmt"], p["modified"]),
+        summary=F.coalesce(_blank_to_null(_rendered(p["excerpt"])), _rendered(p["description"])),
         # an author given by number is not a name
-        F.when(F.col("p.author").isNotNull() & ~F.col("p.author").rlike(r"^\d+$"), F.array("p.author")).alias("authors"),
-        F.lit(None).cast("string").alias("doi"), F.lit(None).cast("string").alias("language"))
-    good = entries.withColumn("problem", F.lit(None).cast("string"))
-    return good.unionByName(_problem_rows(rows), allowMissingColumns=True)
+        authors=F.when(p["author"].isNotNull() & ~p["author"].rlike(r"^\d+$"), F.array(p["author"])))
+
+
+def _read_posts(payloads: DataFrame, mine: Column) -> DataFrame:
+    """As ``_read_feeds``, for lists of posts."""
+    body = F.regexp_replace("body", "^\ufeff", "")
+    rows = payloads.withColumn("posts", F.from_json(F.when(mine & F.startswith(F.ltrim(body), F.lit("[")), body), f"array<{_POST}>"))
+    kind = payload_kind(body)
+    problem = (F.when(kind != "ok", kind).when(F.get_json_object(body, "$.code").isNotNull(), "parse_error: API error")
+               .when(F.col("posts").isNull(), "parse_error: no list"))
+    return rows.withColumn("entries", _or_problem(F.when(mine, problem), F.transform("posts", _post))).drop("posts")
+
+
+def parse_wordpress(payloads: DataFrame) -> DataFrame:
+    """Standard posts and custom endpoints (``url``, ``description``, ``pubDate``) to entries, columns as ``parse_feeds``."""
+    return _entry_rows(_read_posts(payloads, F.lit(True)), F.lit(False), _POST_DATES)
+
+
+def feed_entries(payloads: DataFrame, sources: DataFrame) -> DataFrame:
+    """Entries and problems of all feed and WordPress payloads; the source's type picks the job, each payload is read once."""
+    types = sources.select(F.col("id").alias("source_id"), F.col("type").alias("_type"))
+    typed = payloads.join(types.where(F.col("_type").isin("rss", "wp_json")), "source_id")
+    feed = F.col("_type") == "rss"
+    read = _read_posts(_read_feeds(typed, feed).withColumnRenamed("entries", "_entries"), ~feed)
+    return _entry_rows(read.withColumn("entries", F.when(feed, F.col("_entries")).otherwise(F.col("entries"))), feed, _POST_DATES)
 
 
 def feed_items(payloads: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(items, problems) of all feed and WordPress payloads; the source's type picks the job."""
-    typed = payloads.join(sources.select(F.col("id").alias("source_id"), F.col("type").alias("_type")), "source_id")
-    parsed = (parse_feeds(typed.where("_type = 'rss'").drop("_type"))
-              .unionByName(parse_wordpress(typed.where("_type = 'wp_json'").drop("_type")), allowMissingColumns=True))
-    from pressmill.sources.payloads import problems
-
-    entries = parsed.where("problem is null").drop("problem")
-    return build_items(with_source(entries, sources)), problems(parsed)
+    """(items, problems) of all feed and WordPress payloads, from one parse that is written once."""
+    parsed = cut_lineage(feed_entries(payloads, sources))
+    return build_items(with_source(parsed.where("problem is null").drop("problem"), sources)), problems(parsed)
