@@ -1,4 +1,10 @@
 import datetime as dt
+import hashlib
+import random
+import re
+import unicodedata
+from email.utils import format_datetime
+from urllib.parse import urlsplit
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,28 +20,67 @@ def column(spark, values, fn):
     return [r.r for r in rows.select("i", fn(F.col("v")).alias("r")).orderBy("i").collect()]
 
 
+def plain_url(url):
+    """The rule of ``normalize_url`` with the standard library."""
+    parts = urlsplit(url.strip())
+    if not url.strip():
+        return ""
+    host = parts.netloc.lower()
+    host = host.rsplit(":", 1)[0] if host.endswith((":80", ":443")) else host
+    kept = [p if "=" in p else p + "=" for p in parts.query.split("&") if p and not (
+        p.split("=")[0].lower().startswith("utm_") or p.split("=")[0].lower() in urls.TRACKING_PARAMETERS)]
+    scheme = "https" if parts.scheme == "http" else parts.scheme
+    return f"{scheme}://{host}{parts.path.rstrip('/')}" + ("?" + "&".join(kept) if kept else "")
+
+
 def test_urls(spark):
-    got = column(spark, ["http://News.Sample.test/archiv/zapis/?utm_source=mail&utm_campaign=jaro&cislo=7#dole",
-                         "https://news.sample.test/archiv/zapis?cislo=7", "https://sample.test/", "http://c.d:80/k//?m", ""], urls.normalize_url)
-    assert got == ["https://news.sample.test/archiv/zapis?cislo=7"] * 2 + ["https://sample.test", "https://c.d/k?m=", ""]
-    a, b = column(spark, ["http://sample.test/list/", "https://sample.test/list?utm_medium=q"], urls.make_id)
-    assert a == b and len(a) == 12
-    assert column(spark, ["https://doi.org/10.5555/AbC.77-K", "doi:10.9/Q", None, ""], urls.normalize_doi) == [
-        "10.5555/abc.77-k", "10.9/q", None, None]
+    rng = random.Random(4)
+    some = lambda *values: rng.choice(values)
+    made = ["", "  "]
+    for _ in range(300):
+        query = "&".join(some("k=1", "K", "utm_term=z", "UTM_ID=3", "gclid=g", "reference=r", "b=x=y", "") for _ in range(rng.randint(0, 4)))
+        made.append(some("", " ") + some("http", "https", "ftp") + "://" + some("Mill.test", "weir.test:80", "lock.test:443", "ford.test:8443")
+                    + some("", "/", "/Gate", "/gate/7//", "/a.b/c/") + (f"?{query}" if query else "") + some("", "#top", "#/x?y"))
+    assert column(spark, made, urls.normalize_url) == [plain_url(u) for u in made]
+    assert column(spark, made, urls.make_id) == [hashlib.sha1(plain_url(u).encode()).hexdigest()[:12] for u in made]
+    bare = ["10.4021/weir-9", "10.77/UPPER(2)"]
+    spelled = [f"{lead}{d}" for d in bare for lead in ("", "doi:", "DOI:", "http://dx.doi.org/", "https://doi.org/", " doi.org/")]
+    assert column(spark, spelled + [" ", None], urls.normalize_doi) == [d.lower() for d in bare for _ in range(6)] + [None, None]
 
 
 def test_dates(spark):
-    now = F.lit("2026-10-01").cast("timestamp")
-    got = column(spark, ["Mon, 04 May 2026 23:30:00 +0300", "2026-02-17", "5. dubna 2026", " 8. 11. 2025",
-                         "3 marca 2026", "Quarterly note — 2 January 2026", "", None, "neznámo", "30. 2. 2026",
-                         "14 June", "1850-05-05"],
-                 lambda v: dates.parse_date(v, now))
-    d = dt.datetime
-    assert got == [d(2026, 5, 4, 20, 30), d(2026, 2, 17), d(2026, 4, 5), d(2025, 11, 8), d(2026, 3, 3), d(2026, 1, 2),
-                   None, None, None, None, d(2026, 6, 14), None]
-    assert column(spark, ["2. 8. 2027", "2026-11-20T12:00:00", "9. října 2026", "únor 2028", "průběžně"],
-                  dates.parse_deadline) == [dt.date(2027, 8, 2), dt.date(2026, 11, 20), dt.date(2026, 10, 9),
-                                            dt.date(2028, 2, 29), None]
+    rng = random.Random(8)
+    days = [dt.date(1991, 1, 1) + dt.timedelta(days=rng.randrange(39_000)) for _ in range(40)]
+    stamp = lambda d, h=0: dt.datetime(d.year, d.month, d.day, h)
+    cases = []
+    for d in days:
+        zone = dt.timezone(dt.timedelta(hours=rng.randint(-9, 11)))
+        local = dt.datetime(d.year, d.month, d.day, 13, 20, 5, tzinfo=zone)
+        utc = local.astimezone(dt.timezone.utc)
+        cases += [(d.isoformat(), stamp(d)), (local.isoformat(), utc.replace(tzinfo=None)), (format_datetime(utc), utc.replace(tzinfo=None)),
+                  (format_datetime(local), utc.replace(tzinfo=None)), (f"{d.day}.{d.month}.{d.year}", stamp(d)),
+                  (f"vloženo {d.day}. {d.month}. {d.year} redakcí", stamp(d))]
+        cases += [(f"{d.day}{dot} {name.upper()} {d.year}", stamp(d)) for table, dot in ((dates.MONTHS_CS, "."), (dates.MONTHS_PL, ""))
+                  for name, number in table.items() if number == d.month]
+        cases.append((f"Posted {d:%B} {d.day}, {d.year}", stamp(d)))
+    cases += [(f"31. {m}. 2031", None) for m in (2, 4, 6, 9, 11)] + [("1989-12-31", None), ("2101-01-01", None), (None, None), ("\u00a0", None), ("???", None)]
+    got = column(spark, [c for c, _ in cases], lambda v: dates.parse_date(v, F.lit("2031-03-05").cast("timestamp")))
+    assert [(c, g) for (c, want), g in zip(cases, got) if g != want] == []
+    # a spelling without a year takes it from now
+    assert column(spark, ["7 July"], lambda v: dates.parse_date(v, F.lit("2031-03-05").cast("timestamp"))) == [dt.datetime(2031, 7, 7)]
+
+
+def test_deadlines(spark):
+    rng = random.Random(9)
+    cases = [("kdykoli", None), ("", None), (None, None)]
+    for d in (dt.date(2025, 1, 1) + dt.timedelta(days=rng.randrange(2500)) for _ in range(30)):
+        last = (d.replace(day=28) + dt.timedelta(days=4)).replace(day=1) - dt.timedelta(days=1)
+        cases += [(f"do {d.day}.{d.month}.{d.year} včetně", d), (f"{d.isoformat()}T17:00", d)]
+        for name, number in {**dates.MONTHS_CS, **dates.MONTHS_EN}.items():
+            if number == d.month:
+                cases += [(f"nejpozději {d.day}. {name} {d.year}", d), (f"{name} {d.year}", last)]
+    got = column(spark, [c for c, _ in cases], dates.parse_deadline)
+    assert [(c, g) for (c, want), g in zip(cases, got) if g != want] == []
 
 
 def test_weeks(spark):
@@ -49,13 +94,24 @@ def test_weeks(spark):
 
 
 def test_texts(spark):
-    assert column(spark, ["Příliš  ŽIVÝ Dvůr", "ﬁnále ½ łódź"], text.match_text) == ["prilis zivy dvur", "finale 1⁄2 łodz"]
-    out, short, tail = column(spark, ["<div>Zpráva&nbsp;<i>dne</i></div>" + " řádek" * 600, "Trh &amp; ceny",
-                                      "Obsah zápisu. The post Rozhovor appeared first on Deník."], lambda v: text.clean_text(v, 100))
-    assert out.startswith("Zpráva dne") and len(out) <= 101 and out.endswith("…")
-    assert short == "Trh & ceny" and tail == "Obsah zápisu."
-    assert column(spark, ["Panelová diskuse | Doprava", "Workshop: plyn", "Seminář Doprava", "Dohoda ministrů", None],
-                  text.looks_like_event) == [True, True, True, False, False]
+    rng = random.Random(6)
+    letters = [chr(c) for block in ((0x41, 0x5A), (0xC0, 0x17F), (0x1E00, 0x1EFF), (0x2150, 0x215F), (0xFB00, 0xFB06)) for c in range(block[0], block[1] + 1)]
+    made = ["".join(rng.choice([*letters, " ", "\t", "\u00a0"]) for _ in range(30)) for _ in range(100)]
+
+    def plain(t):
+        return re.sub(r"\s+", " ", "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)).lower())
+
+    assert column(spark, made, text.match_text) == [plain(t) for t in made]
+
+    words = [rng.choice(["jez", "hráz", "splav", "náhon", "kolo"]) for _ in range(400)]
+    marked = "".join(f"<{t}>{w}</{t}>&#32;" for w, t in zip(words, rng.choices(["b", "li", "span"], k=400)))
+    for limit in (40, 333, 5000):
+        got, = column(spark, [marked], lambda v, limit=limit: text.clean_text(v, limit))
+        whole = " ".join(words)
+        assert got == whole if len(whole) <= limit else got.endswith("…") and len(got) <= limit + 1 and whole.startswith(got[:-1] + " ")
+    assert column(spark, ["R&amp;D &lt; 5 %", None, "  "], lambda v: text.clean_text(v, 100)) == ["R&D < 5 %", "", ""]
+    titles = {"Webinář o splavech": True, "  konference: jezy": True, "Po konferenci o jezech": False, "": False, None: False}
+    assert column(spark, list(titles), text.looks_like_event) == list(titles.values())
 
 
 @pytest.mark.parametrize("kw", ["built", "table"])
