@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from pressmill import config, schemas
 from pressmill.functions.dates import deadline_window, week_bounds
 from pressmill.functions.keywords import Keywords
-from pressmill.operators import calls, dedup, media, report, review, score, select, sentiment, window
+from pressmill.operators import calls, dedup, health, media, report, review, score, select, sentiment, window
 from pressmill.operators.items import ITEM_COLUMNS, merge_with_stored, news_only
 from pressmill.session import cut_lineage
 from pressmill.sources import store
+from pressmill.sources.collect import Collector
 
 
 @dataclass
@@ -66,23 +67,36 @@ def call_section(fresh: DataFrame, sources: DataFrame, seen: DataFrame, drafts:
     return pool, checked, marks
 
 
-def run_week(spark: SparkSession, base: str, fresh: DataFrame, sources: DataFrame, week: str, now: dt.datetime,
+def collected(spark: SparkSession, base: str, collector: Collector, sources: DataFrame, now: dt.datetime) -> tuple[DataFrame, DataFrame]:
+    """The collector's items, and its healths merged into the last known ones."""
+    items, healths = collector(sources, now)
+    known = store.load_state(spark, f"{base}/health", schemas.HEALTH)
+    return cut_lineage(items), cut_lineage(health.merge_health(known, healths, sources))
+
+
+def run_week(spark: SparkSession, base: str, fresh: DataFrame | Collector, sources: DataFrame, week: str, now: dt.datetime,
              supplied: DataFrame | None = None, media_articles: DataFrame | None = None,
              media_classes: DataFrame | None = None, keywords: Keywords | None = None, dry_run: bool = False,
              sel: config.Selection = config.Selection(), drafts: DataFrame | None = None) -> dict[str, DataFrame]:
     """One run with its tables under ``base``. A dry run writes the week's tables but no state between weeks.
 
+    ``fresh`` are the items found, or a collector that finds them (see ``sources.collect``); its healths are kept as state.
     ``drafts`` are drafted calls (see ``call_section``); those that are shown come back later only as reminders.
 
     A second run of the same week reads the same items (stored rows win) and gives the same result.
     """
+    out: dict[str, DataFrame] = {}
+    if not isinstance(fresh, DataFrame):
+        fresh, out["health"] = collected(spark, base, fresh, sources, now)
+        if not dry_run:
+            store.save_state(out["health"], f"{base}/health")
     seen = store.load_state(spark, f"{base}/seen", schemas.SEEN)
     stored = store.read_weeks(spark, f"{base}/items", schemas.ITEM, week).drop("week")
     data = prepare(fresh, stored, seen, sources, week, supplied, keywords, sel)
     store.write_week(data.windowed.select(*ITEM_COLUMNS, "week"), f"{base}/items", week)
 
     selected = data.selected
-    out: dict[str, DataFrame] = {"scored": data.scored}
+    out["scored"] = data.scored
     if media_articles is not None:
         found = media.candidates(media_articles, max_classify=config.Media.max_classify)
         relevant = media.relevant_articles(found, media.clean_classes(found, media_classes))

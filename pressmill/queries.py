@@ -22,7 +22,7 @@ from pressmill.operators.common import distinct_first, top_per_group
 from pressmill.operators.items import build_items, effective_date, items_per_source, merge_with_stored, news_only, unite
 from pressmill.plans import weekly
 from pressmill.session import checkpoint_dir
-from pressmill.sources import academic, feeds, funding, listing, payloads, registry, store
+from pressmill.sources import academic, collect, feeds, funding, listing, payloads, registry, store
 from pressmill.streaming import media_store
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -1388,6 +1388,33 @@ def feed_job(d):
         F.md5(flat("summary")).alias("body"))
 
 
+@query(f"""WITH docs AS (SELECT *, {_FLAT_TITLE} AS title, TIMESTAMP '2026-01-01 00:00:00' + INTERVAL 1 HOUR * CAST(n_chars % 2000 AS INT) AS posted
+ FROM documents WHERE source IS NOT NULL),
+found AS (SELECT source, count(*) FILTER (n_chars % 97 <> 0 AND title <> '') AS n, max(posted) FILTER (n_chars % 97 <> 0 AND title <> '') AS newest,
+ count(*) FILTER (n_chars % 97 = 0) AS broken FROM docs GROUP BY source)
+SELECT source AS source_id, CASE WHEN broken > 0 THEN 'parse_error' WHEN n = 0 THEN 'empty' WHEN newest < TIMESTAMP '2026-10-12 06:00:00' - INTERVAL 60 DAY THEN 'stale'
+ ELSE 'ok' END AS status, n AS "count", strftime(newest, '%Y-%m-%d %H:%M') AS newest FROM found
+UNION ALL SELECT 'off ' || source, 'disabled', 0, NULL FROM found UNION ALL SELECT 'silent ' || source, 'empty', 0, NULL FROM found""")
+def collected_health(d):
+    """Feed payloads, some of them pages instead of feeds, through a collector: what is known of each source after the run."""
+    docs = d.table("documents").where("source is not null")
+    when = F.lit("2026-01-01").cast("timestamp") + F.make_dt_interval(hours=F.col("n_chars") % 2000)
+    link = F.concat(F.lit("https://example.org/"), F.col("doc_id").cast("string"))
+    rss = F.concat(F.lit("<rss version='2.0'><channel><item><title>"), _escape(F.split_part("text", F.lit("\n"), F.lit(1))), F.lit("</title><link>"), link,
+                   F.lit("</link><pubDate>"), F.date_format(when, "EEE, d MMM yyyy HH:mm:ss"), F.lit(" +0000</pubDate></item></channel></rss>"))
+    payloads = _payload_frame(docs.select(
+        F.col("doc_id").cast("string").alias("payload_id"), F.col("source").alias("source_id"), link.alias("url"),
+        F.when(F.col("n_chars") % 97 == 0, F.lit("<!doctype html><html><body>Moved</body></html>")).otherwise(rss).alias("body")))
+    lead = F.explode(F.array(F.lit(""), F.lit("off "), F.lit("silent ")))
+    sources = docs.select("source").distinct().withColumn("lead", lead).select(
+        F.concat("lead", "source").alias("id"), F.col("source").alias("name"), F.lit("rss").alias("type"), F.lit("").alias("url"), F.lit("EU").alias("region"),
+        F.lit("ngo").alias("source_type"), F.lit("en").alias("language"), F.lit(True).alias("topic_filter"), F.lit(1.0).alias("weight"),
+        (F.col("lead") != "off ").alias("enabled"), F.lit("").alias("notes"))
+    _, healths = collect.from_payloads(payloads)(sources, NOW)
+    known = health.merge_health(healths.limit(0), healths, sources)
+    return known.select("source_id", "status", "count", F.date_format("newest", "yyyy-MM-dd HH:mm").alias("newest"))
+
+
 @query(f"""SELECT source AS source_id, 'https://example.org/' || doc_id AS url, {_FLAT_TITLE} AS title,
  strftime(TIMESTAMP '2026-01-01 00:00:00' + INTERVAL 1 HOUR * CAST(n_chars % 2000 AS INT), '%Y-%m-%d %H:%M') AS published,
  md5(trim(regexp_replace(text, '\\s+', ' ', 'g'))) AS body FROM documents WHERE {_FLAT_TITLE} <> ''""")

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from pressmill import queries, schemas
 from pressmill.plans import weekly
-from pressmill.sources import registry, store
+from pressmill.sources import collect, registry, store
 from pressmill.streaming import media_store
 from tests.test_operators import DAY, item
 
+FEED = """<rss version="2.0"><channel><item><title>Carbon budgets of barges</title><link>https://weir.test/1</link><pubDate>Wed, 23 Sep 2026 08:00:00 GMT</pubDate></item>
+<item><title>Climate change and anglers</title><link>https://weir.test/2</link><pubDate>Thu, 24 Sep 2026 08:00:00 GMT</pubDate></item></channel></rss>"""
 SMALL = "/root/testdata/sf0.001"
 
 
@@ -115,6 +117,28 @@ def test_only_shown_calls_are_remembered(spark, tmp_path):
     assert [r.id for r in later["call_pool"].collect()] == ["i006"] and remembered() == [("i005", "2026-W39")]
 
 
+def test_run_with_a_collector(spark, tmp_path):
+    src = registry.source_table(spark, [{"id": i, "name": i, "type": t, "source_type": "ngo", "region": "EU", "url": "", "enabled": i != "shut"}
+                                        for i, t in (("weir", "rss"), ("lock", "wp_json"), ("mute", "rss"), ("shut", "rss"), ("book", "journal"))])
+    now, base = dt.datetime(2026, 9, 28, 6), str(tmp_path / "d")
+
+    def landed(weir):
+        bodies = {"weir": weir, "lock": '[{"title": "A survey of lock keepers", "url": "https://lock.test/1", "date": "2026-09-23"}]', "shut": FEED, "book": "[]"}
+        rows = [(f"p-{i}", i, f"https://{i}.test/", "", b, now) for i, b in bodies.items()]
+        return collect.from_payloads(spark.createDataFrame(rows, schemas.PAYLOAD))
+
+    other = lambda sources, at: (items(spark, [item(70, title="CBAM in old books", source_id="book")]), spark.createDataFrame(
+        [("book", "book", "journal", "", "EU", True, "ok", "", 1, None, at)], schemas.HEALTH))
+    out = weekly.run_week(spark, base, collect.together(landed(FEED), other), src, "2026-W39", now)
+    states = lambda o: {r.source_id: (r.status, r["count"]) for r in o["health"].collect()}
+    assert states(out) == {"weir": ("ok", 2), "lock": ("ok", 1), "mute": ("empty", 0), "shut": ("disabled", 0), "book": ("ok", 1)}
+    assert {r.title for r in out["selected"].collect()} == {"Carbon budgets of barges", "Climate change and anglers", "A survey of lock keepers", "CBAM in old books"}
+    # what a run does not ask for stays as known; a dry run keeps nothing
+    dry = weekly.run_week(spark, base, landed("<html>Moved</html>"), src, "2026-W39", now, dry_run=True)
+    assert states(dry)["weir"] == ("parse_error", 0) and states(dry)["book"] == ("ok", 1)
+    assert {r.status for r in store.load_state(spark, f"{base}/health", schemas.HEALTH).where("source_id = 'weir'").collect()} == {"ok"}
+
+
 def test_repeated_batch_counts_once(spark, tmp_path):
     now, rows = dt.datetime(2026, 9, 24, 12), [item(1), item(2)]
     for _ in range(2):
@@ -136,7 +160,7 @@ def _plain(v):
 
 
 @pytest.mark.parametrize("name", ["item_rows", "week_window", "final_score", "sentiment_levels", "sentiment_extremes", "media_collection", "media_context", "weak_sources",
-                                  "coder_agreement", "events_to_watchlist", "usage_totals", "calls_across_runs", "batch_budget_cut", "budget_fit", "funding_job", "date_spellings"])
+                                  "coder_agreement", "collected_health", "events_to_watchlist", "usage_totals", "calls_across_runs", "batch_budget_cut", "budget_fit", "funding_job", "date_spellings"])
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
     for t in queries.TABLES:
