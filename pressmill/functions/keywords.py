@@ -121,6 +121,60 @@ def any_of(patterns: list[str]) -> str:
     return r"\b(?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in by_letter.items()) + ")"
 
 
+def _opening(word: str) -> str:
+    """The letters, digits and underscores that a word begins with."""
+    return re.match(r"\w*", word).group()
+
+
+def shortest(prefixes: set[str]) -> list[str]:
+    """The prefixes that no other one is a prefix of."""
+    return [p for p in sorted(prefixes) if not any(p[:n] in prefixes for n in range(1, len(p)))]
+
+
+@dataclass(frozen=True)
+class Term:
+    """A dictionary term as it is looked up among the words of a text that open some term (see ``text.keyword_windows``)."""
+
+    name: str
+    pattern: str
+    words: tuple[str, ...]
+    whole: bool
+
+    @property
+    def opening(self) -> str:
+        return _opening(self.words[0])
+
+    @property
+    def plain_words(self) -> bool:
+        """Whether each word is a run of word characters, so that a window of words holds the whole term."""
+        return all(_opening(w) == w for w in self.words)
+
+
+def stem_term(phrase: str) -> Term:
+    return Term(phrase, stem_pattern(phrase), tuple(plain(phrase).split()), False)
+
+
+def exact_term(term: str) -> Term:
+    return Term(term, exact_pattern(term), tuple(plain(term).split()), True)
+
+
+def window_pattern(terms: list[Term]) -> str | None:
+    """Group 1: each word that opens a term, with as many following words as the longest term has. None without terms.
+
+    Openings that extend another one are left out, whole words end at a boundary, and a look-ahead keeps words that
+    windows share. The pattern is one alternation by first letters, however many terms there are.
+    """
+    openings = shortest({t.opening for t in terms if not (t.whole and t.words == (t.opening,))} - {""})
+    whole = {t.opening for t in terms if t.whole and t.words == (t.opening,)}
+    alone = sorted(w for w in whole if not any(w[:n] in openings for n in range(1, len(w) + 1)))
+    if not openings and not alone:
+        return None
+    more = max(len(t.words) for t in terms if t.opening) - 1
+    body = any_of([r"\b" + w + r"\w*" for w in openings] + [r"\b" + w + r"\b" for w in alone]).removeprefix(r"\b")
+    rest = rf"(?:[\s\-]+\w+){{0,{more}}}" if more else ""
+    return rf"\b(?=({body}{rest}))\w"
+
+
 @dataclass(frozen=True)
 class Keywords:
     """A keyword set: the pluggable matcher of the prefilter and of the heuristic score."""
@@ -132,7 +186,14 @@ class Keywords:
     markers: tuple[str, ...] = DOMESTIC_MARKERS
 
     def term_patterns(self) -> list[tuple[str, str]]:
-        return [(s, stem_pattern(s)) for s in self.stems] + [(e, exact_pattern(e)) for e in self.exact]
+        return [(t.name, t.pattern) for t in self.terms()]
+
+    def terms(self) -> list[Term]:
+        return [stem_term(s) for s in self.stems] + [exact_term(e) for e in self.exact]
+
+    def all_terms(self) -> list[Term]:
+        """The terms of the dictionary and of its categories."""
+        return self.terms() + [t for _, terms in self.terms_by_category() for t in terms]
 
     def any_pattern(self) -> str | None:
         return any_of([p for _, p in self.term_patterns()]) if self.stems or self.exact else None
@@ -140,14 +201,13 @@ class Keywords:
     def exclude_pattern(self) -> str | None:
         return any_of([stem_pattern(p) for p in self.exclude]) if self.exclude else None
 
-    def category_terms(self) -> list[tuple[str, list[tuple[str, str]]]]:
-        """Terms and patterns per category; terms of up to three letters match as whole words."""
-        return [(name, [(t, stem_pattern(t) if len(t) > 3 else exact_pattern(t)) for t in terms])
-                for name, terms in self.categories.items()]
+    def terms_by_category(self) -> list[tuple[str, list[Term]]]:
+        """Terms per category; terms of up to three letters match as whole words."""
+        return [(name, [stem_term(t) if len(t) > 3 else exact_term(t) for t in terms]) for name, terms in self.categories.items()]
 
     def category_patterns(self) -> list[tuple[str, str]]:
         """One pattern per category."""
-        return [(name, any_of([p for _, p in terms])) for name, terms in self.category_terms()]
+        return [(name, any_of([t.pattern for t in terms])) for name, terms in self.terms_by_category()]
 
 
 def default_keywords() -> Keywords:

@@ -14,10 +14,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pressmill.functions.keywords import EVENT_OPENERS, Keywords, plain
+from pressmill.functions.keywords import EVENT_OPENERS, Keywords, Term, window_pattern
 
 SUMMARY_LIMIT = 1500
 TITLE_LIMIT = 400
+# white space that the folding of letters leaves as it is
+BLANKS = "\t\n\x0b\f\r\x85\u1680\u2028\u2029"
+# stands before each window; neither a word character nor white space
+MARK = "\x01"
 
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -49,28 +53,35 @@ def _folding() -> tuple[str, str, dict[str, str]]:
     return "".join(single_from + dropped), "".join(single_to), several
 
 
-def strip_accents(text: Column) -> Column:
-    """Unicode compatibility folding without combining marks, inside the JVM."""
-    source, target, several = _folding()
+def _spelled(folded: Column) -> Column:
+    """``folded`` with ligatures and fractions spelled out. Most text is ASCII by now, so the cheap tests come first."""
+    several = _folding()[2]
     # a foldable expression from two literals, evaluated once
     table = F.map_from_arrays(F.split(F.lit("\x01".join(several)), "\x01"),
                               F.split(F.lit("\x01".join(several.values())), "\x01"))
+    spelled = F.array_join(F.transform(F.regexp_extract_all(folded, F.lit("(?s)."), F.lit(0)),
+                                       lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
+    return (F.when(F.octet_length(folded) == F.length(folded), folded)
+            .when(F.length(F.translate(folded, "".join(several), "")) < F.length(folded), spelled)
+            .otherwise(folded))
 
-    def fold(value: Column) -> Column:
-        folded = F.translate(value, source, target)
-        spelled = F.array_join(F.transform(F.regexp_extract_all(folded, F.lit("(?s)."), F.lit(0)),
-                                           lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
-        # most text is plain ASCII, and few texts hold ligatures or fractions: the cheap tests come first
-        return (F.when(F.octet_length(value) == F.length(value), value)
-                .when(F.length(F.translate(value, "".join(several), "")) < F.length(value), spelled)
-                .otherwise(folded))
 
-    return bind(text, fold)
+def strip_accents(text: Column) -> Column:
+    """Unicode compatibility folding without combining marks, inside the JVM."""
+    source, target, _ = _folding()
+    return bind(text, lambda value: F.when(F.octet_length(value) == F.length(value), value)
+                .otherwise(bind(F.translate(value, source, target), _spelled)))
 
 
 def match_text(text: Column) -> Column:
-    """The form keyword patterns are applied to."""
-    return F.regexp_replace(F.lower(strip_accents(F.coalesce(text, F.lit("")))), r"(?U)\s+", " ")
+    """The form keyword patterns are applied to: no accents, lower case, runs of white space as one blank.
+
+    One pass folds letters and white space; runs of blanks are rare enough to be tested for first.
+    """
+    source, target, _ = _folding()
+    folded = F.translate(F.coalesce(text, F.lit("")), BLANKS + source, " " * len(BLANKS) + target)
+    return bind(bind(folded, lambda value: F.lower(_spelled(value))),
+                lambda value: F.when(F.contains(value, F.lit("  ")), F.regexp_replace(value, " {2,}", " ")).otherwise(value))
 
 
 def title_key(title: Column) -> Column:
@@ -94,29 +105,54 @@ def is_excluded(norm_title: Column, keywords: Keywords) -> Column:
     return norm_title.rlike("(?U)" + pattern) if pattern else F.lit(False)
 
 
-def _found(norm: Column, term: str, pattern: str) -> Column:
-    """A term's pattern, tried only on rows that hold its first word at all (a plain byte search)."""
-    return F.contains(norm, F.lit(plain(term).split()[0])) & norm.rlike("(?U)" + pattern)
-
-
-def hits(norm: Column, keywords: Keywords) -> Column:
-    """Terms found, in dictionary order. Every pattern is a literal, so it is compiled once per task."""
-    return F.array_compact(F.array(*[F.when(_found(norm, t, p), F.lit(t)) for t, p in keywords.term_patterns()]))
+def keyword_windows(norm: Column, keywords: Keywords) -> Column:
+    """The words that open some term, each with a mark before it and the words that may complete the term behind it.
 
-
-def hit_count(norm: Column, keywords: Keywords) -> Column:
+    One scan of the text, however many terms there are; terms are then looked up in this short string.
+    """
+    pattern = window_pattern(keywords.all_terms())
+    if pattern is None:
+        return F.lit("")
+    found = F.regexp_extract_all(norm, F.lit("(?U)" + pattern), F.lit(1))
+    return F.concat(F.lit(MARK), F.array_join(found, MARK), F.lit(MARK))
+
+
+def _found(windows: Column, norm: Column, term: Term) -> Column:
+    """Whether a term occurs. Single words need no pattern; phrases are tried on the windows, other spellings on the text."""
+    if not term.opening:
+        return norm.rlike("(?U)" + term.pattern)
+    opened = F.contains(windows, F.lit(MARK + term.opening))
+    if not term.plain_words:
+        return opened & norm.rlike("(?U)" + term.pattern)
+    if len(term.words) == 1 and not term.whole:
+        return opened
+    return opened & windows.rlike("(?U)" + term.pattern)
+
+
+def hits(norm: Column, keywords: Keywords, windows: Column | None = None) -> Column:
+    """Terms found, in dictionary order. ``windows``: a column of ``keyword_windows``, if there is one already."""
+    if windows is None:
+        return bind(keyword_windows(norm, keywords), lambda w: hits(norm, keywords, w))
+    return F.array_compact(F.array(*[F.when(_found(windows, norm, t), F.lit(t.name)) for t in keywords.terms()]))
+
+
+def hit_count(norm: Column, keywords: Keywords, windows: Column | None = None) -> Column:
+    if windows is None:
+        return bind(keyword_windows(norm, keywords), lambda w: hit_count(norm, keywords, w))
     total = F.lit(0)
-    for t, p in keywords.term_patterns():
-        total = total + _found(norm, t, p).cast("int")
+    for t in keywords.terms():
+        total = total + _found(windows, norm, t).cast("int")
     return total
 
 
-def categories(norm: Column, keywords: Keywords) -> Column:
+def categories(norm: Column, keywords: Keywords, windows: Column | None = None) -> Column:
+    if windows is None:
+        return bind(keyword_windows(norm, keywords), lambda w: categories(norm, keywords, w))
     parts = []
-    for name, terms in keywords.category_terms():
+    for name, terms in keywords.terms_by_category():
         some = F.lit(False)
-        for t, p in terms:
-            some = some | _found(norm, t, p)
+        for t in terms:
+            some = some | _found(windows, norm, t)
         parts.append(F.when(some, F.lit(name)))
     return F.array_compact(F.array(*parts)) if parts else F.array().cast("array<string>")
 

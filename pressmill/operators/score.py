@@ -16,6 +16,7 @@ from pressmill.operators.items import effective_date
 MAX_TOPICS = 4
 DEFAULT_TOPIC = "decarbonization_policy"
 SHORT_SUMMARY = 180
+MATCH_TEXT = "match_text"
 RESEARCH_TYPES = ("research", "polling", "journal")
 
 SCORE_COLUMNS = ["relevance", "topics", "geo_focus", "is_public_attitudes_or_communication", "is_original_research",
@@ -23,22 +24,31 @@ SCORE_COLUMNS = ["relevance", "topics", "geo_focus", "is_public_attitudes_or_com
                  "sentiment"]
 
 
+def with_match_text(items: DataFrame) -> DataFrame:
+    """Adds ``match_text``, title and summary as keywords are looked up in them, if the items don't have it.
+
+    It is the element of a one-element array: conditions on it then stay above, so that the text is folded once a row.
+    """
+    if MATCH_TEXT in items.columns:
+        return items
+    norm = text.match_text(text.item_text(F.col("title"), F.col("summary_raw")))
+    return items.select("*", F.explode(F.array(norm)).alias(MATCH_TEXT))
+
+
 def prefilter(items: DataFrame, keywords: Keywords | None = None) -> DataFrame:
     """Drop advertisements; keep unfiltered sources, and others when title or summary holds a keyword."""
     kw = keywords or default_keywords()
     excluded = text.is_excluded(text.match_text(F.col("title")), kw)
-    relevant = text.matches(text.match_text(text.item_text(F.col("title"), F.col("summary_raw"))), kw)
-    return items.where(~excluded).where(~F.col("topic_filter") | relevant)
+    rows = with_match_text(items.where(~excluded))
+    return rows.where(~F.col("topic_filter") | text.matches(F.col(MATCH_TEXT), kw)).select(*items.columns)
 
 
 def heuristic_score(items: DataFrame, keywords: Keywords | None = None) -> DataFrame:
     """Adds the score columns from keyword hits, categories, source type and domestic markers."""
     kw = keywords or default_keywords()
-    rows = items.withColumn("_norm", text.match_text(text.item_text(F.col("title"), F.col("summary_raw"))))
-    norm = F.col("_norm")
-    # a row without any hit (one combined pattern) skips the count over all terms
-    rows = (rows.withColumn("_hits", F.when(text.matches(norm, kw), text.hit_count(norm, kw)).otherwise(F.lit(0)))
-            .withColumn("_cats", text.categories(norm, kw))
+    norm, windows = F.col(MATCH_TEXT), F.col("_windows")
+    rows = with_match_text(items).select("*", F.explode(F.array(text.keyword_windows(norm, kw))).alias("_windows"))
+    rows = (rows.withColumn("_hits", text.hit_count(norm, kw, windows)).withColumn("_cats", text.categories(norm, kw, windows))
             .withColumn("is_event", text.looks_like_event(F.col("title"))))
     topics = F.when(F.size("_cats") == 0, F.array(F.lit(DEFAULT_TOPIC))).otherwise(F.col("_cats"))
     attitudes = F.array_contains(topics, "public_attitudes") | F.array_contains(topics, "communication")
@@ -50,7 +60,7 @@ def heuristic_score(items: DataFrame, keywords: Keywords | None = None) -> DataF
     line = (F.when(F.length(summary) > SHORT_SUMMARY, F.concat(F.substring(summary, 1, SHORT_SUMMARY), F.lit("…")))
             .when(summary != "", summary).otherwise(F.col("title")))
     return rows.select(
-        *items.columns, clamp(base, 0, 10).alias("relevance"),
+        *[c for c in items.columns if c != MATCH_TEXT], clamp(base, 0, 10).alias("relevance"),
         F.slice(F.array_distinct(topics), 1, MAX_TOPICS).alias("topics"), geo.alias("geo_focus"),
         (attitudes & ~F.col("is_event")).alias("is_public_attitudes_or_communication"),
         (F.col("source_type").isin(*RESEARCH_TYPES) & ~F.col("is_event")).alias("is_original_research"),

@@ -430,11 +430,12 @@ def keyword_match(d):
  array_to_string({hits_sql('norm', KEYWORDS.category_patterns())}, '|') AS categories
 FROM (SELECT id, {_ITEM_NORM} AS norm FROM items)""", "items"))
 def keyword_hits(d):
-    rows = d.items().select("id", text.match_text(text.item_text(F.col("title"), F.col("summary_raw"))).alias("norm"))
-    norm = F.col("norm")
-    return rows.select("id", F.array_join(text.hits(norm, KEYWORDS), "|").alias("hits"),
-                       text.hit_count(norm, KEYWORDS).alias("n_hits"),
-                       F.array_join(text.categories(norm, KEYWORDS), "|").alias("categories"))
+    norm, windows = F.col(score.MATCH_TEXT), F.col("windows")
+    rows = score.with_match_text(d.items()).select(
+        "id", norm, F.explode(F.array(text.keyword_windows(norm, KEYWORDS))).alias("windows"))
+    return rows.select("id", F.array_join(text.hits(norm, KEYWORDS, windows), "|").alias("hits"),
+                       text.hit_count(norm, KEYWORDS, windows).alias("n_hits"),
+                       F.array_join(text.categories(norm, KEYWORDS, windows), "|").alias("categories"))
 
 
 _PREFILTER = f"""NOT regexp_matches({norm_sql('title')}, {_EXCLUDED})
@@ -662,7 +663,7 @@ SELECT week, source_id, id, final_score, n AS place FROM (SELECT *, strftime(coa
 @query(_FLAGSHIP)
 def weekly_top_items(d):
     """The flagship: items, ISO week, prefilter, heuristic score, best three per week and source."""
-    items = d.items().withColumn("week", dates.week_of(effective_date()))
+    items = score.with_match_text(d.items().withColumn("week", dates.week_of(effective_date())))
     scored = score.heuristic_score(score.prefilter(items, KEYWORDS), KEYWORDS).withColumn("final_score", score.final_score())
     top = top_per_group(scored, ["week", "source_id"], score.rank_columns(), 3, "place")
     return top.select("week", "source_id", "id", "final_score", "place")

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pressmill.functions import dates, text, urls
-from pressmill.functions.keywords import default_keywords, keyword_table, keywords_from_table
+from pressmill.functions.keywords import Keywords, default_keywords, keyword_table, keywords_from_table, plain
 from pressmill.operators import calls
 from pressmill.sources import academic, payloads
 
@@ -163,3 +163,27 @@ def test_dot_segments(spark):
     df = spark.createDataFrame([(k,) for k in cases], "link string")
     got = {r.link: r.u for r in df.select("link", urls.absolute_url(F.col("link"), F.lit(base)).alias("u")).collect()}
     assert got == cases
+
+
+def test_terms_among_words(spark):
+    """Hits and categories beside each term's own pattern, on texts generated from pieces of the terms."""
+    odd = Keywords(stems=["barge", "bar", "net-zero", "we're in", "lock gate", "lock gate keep", "-weir", "ødem"], exact=["ev", "eu ets", "c++", "co2"],
+                   categories={"a": ["ets", "lock"], "b": ["gate keeper", "ev"]})
+    rng = random.Random(11)
+    for kw in (odd, default_keywords()):
+        pieces = [w for t in kw.all_terms() for w in t.words] + ["x", "Évs", "ﬁn", "s", "-", "'", " ", "　", "\x0b", "\x01", "ß", "9"]
+        texts = [None, "", " ", "lock-gate", "lock - gates keep", "ev", "evs ev", "lock gate"]
+        texts += ["".join(rng.choice(pieces) + rng.choice(("", " ", " ", "-", "s ", "\n", "  ")) for _ in range(rng.randrange(1, 14))) for _ in range(400)]
+        # runs of white space as one blank, also of kinds that have no plain form
+        norm = text.match_text(F.col("t"))
+        rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", norm.alias("norm"))
+        got = rows.select("t", "norm", text.hits(F.col("norm"), kw).alias("hits"), text.hit_count(F.col("norm"), kw).alias("n"),
+                          text.categories(F.col("norm"), kw).alias("cats"),
+                          *[F.col("norm").rlike("(?U)" + t.pattern).alias(f"t{i}") for i, t in enumerate(kw.terms())],
+                          *[F.col("norm").rlike("(?U)" + p).alias(f"c{i}") for i, (_, p) in enumerate(kw.category_patterns())]).collect()
+        for r in got:
+            assert r.norm == plain(r.t)
+            assert r.hits == [t.name for i, t in enumerate(kw.terms()) if r[f"t{i}"]] and r.n == len(r.hits)
+            assert r.cats == [name for i, (name, _) in enumerate(kw.category_patterns()) if r[f"c{i}"]]
+        assert sum(r.n for r in got) > 400
+    assert spark.range(1).select(F.size(text.hits(F.lit("any"), Keywords(stems=[])))).first()[0] == 0
