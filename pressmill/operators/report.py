@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pressmill.operators.common import region_rank, running_sums, top_per_group
+from pressmill.session import cut_lineage
 
 SWOT = ("strengths", "weaknesses", "opportunities", "threats")
 NEWS = ("cz_items", "world_items")
@@ -127,6 +128,26 @@ def fill_findings(sections: DataFrame, items: DataFrame, n: int = 3) -> DataFram
     return top_per_group(once, ["week"], order, n, "place").select("week", "place", "id", "text")
 
 
+def checked_report(sections: DataFrame, items: DataFrame, weeks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The sections of drafted reports as they are shown, and the weeks of ``weeks`` (week) whose draft is rejected.
+
+    In order: references are checked (a news item or finding rests on its first one alone), points are cut to the caps of
+    their sections and numbered anew, events go to the watch list, an item keeps the first section of the main part that
+    uses it, findings without a summary go, and findings are filled up from the news. A week without enough news or
+    without any finding is rejected whole, also one without any row.
+    """
+    lead = F.when(F.col("section").isin(*SINGLE_ITEM), F.slice("evidence_ids", 1, 1)).otherwise(F.col("evidence_ids"))
+    valid = valid_evidence(sections.withColumn("evidence_ids", lead), items)
+    capped = cut_lineage(capped_sections(valid).withColumn("pos", F.col("place")).drop("place"))
+    rejected = unusable_weeks(capped, weeks).select("week")
+    moved = move_events(capped.join(rejected, "week", "left_anti"), items)
+    placed = cut_lineage(single_place(moved))
+    found = fill_findings(placed, items).select(
+        "week", F.lit("key_findings").alias("section"), F.col("place").alias("pos"), "text", F.lit(None).cast("string").alias("geo"),
+        F.lit(False).alias("dated"), F.array("id").alias("evidence_ids"))
+    return placed.where("section <> 'key_findings'").select(*found.columns).unionByName(found), rejected
+
+
 def fallback_list(scored: DataFrame, n: int = 15, scope: str = "week") -> DataFrame:
     """The ranked list shown without a synthesis: domestic first, then score; split into two capped sections."""
     order = [F.when(F.col("geo_focus") == "CZ", 0).otherwise(1), F.desc("final_score"), F.asc("id")]

@@ -77,11 +77,14 @@ def collected(spark: SparkSession, base: str, collector: Collector, sources: Dat
 def run_week(spark: SparkSession, base: str, fresh: DataFrame | Collector, sources: DataFrame, week: str, now: dt.datetime,
              supplied: DataFrame | None = None, media_articles: DataFrame | None = None,
              media_classes: DataFrame | None = None, keywords: Keywords | None = None, dry_run: bool = False,
-             sel: config.Selection = config.Selection(), drafts: DataFrame | None = None) -> dict[str, DataFrame]:
+             sel: config.Selection = config.Selection(), drafts: DataFrame | None = None,
+             sections: DataFrame | None = None) -> dict[str, DataFrame]:
     """One run with its tables under ``base``. A dry run writes the week's tables but no state between weeks.
 
     ``fresh`` are the items found, or a collector that finds them (see ``sources.collect``); its healths are kept as state.
     ``drafts`` are drafted calls (see ``call_section``); those that are shown come back later only as reminders.
+    ``sections`` (section, pos, text, geo, dated, evidence_ids) is the report drafted from the selected items; it comes back
+    checked (see ``report.checked_report``), or without rows if it is rejected: then ``fallback`` is what is shown.
 
     A second run of the same week reads the same items (stored rows win) and gives the same result.
     """
@@ -114,6 +117,10 @@ def run_week(spark: SparkSession, base: str, fresh: DataFrame | Collector, sourc
     out["scores"] = scores
     out["sentiment"] = sentiment.summary(rated, selected)
     out["fallback"] = report.fallback_list(selected)
+    if sections is not None:
+        this = spark.createDataFrame([(week,)], "week string")
+        checked, _ = report.checked_report(sections.withColumn("week", F.lit(week)), selected.withColumn("week", F.lit(week)), this)
+        out["sections"] = cut_lineage(checked)
     out["call_pool"], checked, call_marks = call_section(fresh, sources, seen, drafts, now, week)
     if checked is not None:
         out["calls"] = checked

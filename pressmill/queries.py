@@ -1259,6 +1259,42 @@ def filled_findings(d):
     return report.fill_findings(report.valid_evidence(sections, items), items).select("week", "place", "id")
 
 
+_CHECKED = """own AS (SELECT * FROM (SELECT week, section, pos, geo, unnest([1, 2, 3, 4]) AS id_pos, unnest([e1, e2, e3, e4]) AS item_id FROM sections)
+  WHERE id_pos = 1 OR section NOT IN ('key_findings', 'cz_items', 'world_items')),
+valid AS (SELECT o.week, section, pos, any_value(o.geo) AS geo, item_id, min(id_pos) AS id_pos FROM own o JOIN report_items r ON r.week = o.week AND r.id = item_id
+  GROUP BY o.week, section, pos, item_id),
+points AS (SELECT week, section, pos, any_value(geo) AS geo, arg_min(item_id, id_pos) AS lead FROM valid GROUP BY ALL),
+uniq AS (SELECT *, CASE WHEN section IN ('key_findings', 'cz_items', 'world_items') THEN row_number() OVER (PARTITION BY week, section, lead ORDER BY pos) ELSE 1 END AS u FROM points),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY week, section ORDER BY CASE WHEN section IN ('strengths', 'threats') THEN CASE geo WHEN 'CZ' THEN 0
+  WHEN 'EU' THEN 1 WHEN 'US' THEN 2 ELSE 3 END ELSE 0 END, pos) AS place FROM uniq WHERE u = 1),
+capped AS (SELECT * FROM numbered WHERE place <= CASE section WHEN 'key_findings' THEN 3 WHEN 'strengths' THEN 6 WHEN 'threats' THEN 6
+  WHEN 'cz_items' THEN 7 WHEN 'world_items' THEN 6 WHEN 'watchlist' THEN 10 ELSE 2147483647 END),
+good AS (SELECT week FROM capped GROUP BY week HAVING count_if(section IN ('cz_items', 'world_items')) >= 3 AND count_if(section = 'key_findings') > 0),
+ev AS (SELECT v.week, v.section, c.place AS pos, v.item_id, v.id_pos, r.is_event, r.has_summary FROM valid v JOIN capped c USING (week, section, pos)
+  JOIN good USING (week) JOIN report_items r ON r.week = v.week AND r.id = v.item_id),
+moved AS (SELECT *, row_number() OVER (PARTITION BY week, item_id ORDER BY o, pos, id_pos) AS n FROM (SELECT *, CASE section WHEN 'key_findings' THEN 0 WHEN 'cz_items' THEN 1
+  WHEN 'world_items' THEN 2 WHEN 'strengths' THEN 3 WHEN 'threats' THEN 6 WHEN 'surveys' THEN 7 ELSE 8 END AS o FROM ev WHERE section <> 'watchlist' AND is_event)),
+missing AS (SELECT * FROM moved m WHERE n = 1 AND NOT EXISTS (SELECT 1 FROM ev w WHERE w.section = 'watchlist' AND w.week = m.week AND w.item_id = m.item_id)),
+last AS (SELECT week, max(pos) AS last FROM ev WHERE section = 'watchlist' GROUP BY week),
+watch AS (SELECT week, pos, string_agg(item_id, '|' ORDER BY id_pos) AS ids FROM ev WHERE section = 'watchlist' GROUP BY week, pos
+  UNION ALL SELECT m.week, coalesce(last, -1) + row_number() OVER (PARTITION BY m.week ORDER BY o, pos, id_pos, item_id), item_id FROM missing m LEFT JOIN last USING (week)),
+body AS (SELECT *, CASE section WHEN 'cz_items' THEN 0 WHEN 'world_items' THEN 1 WHEN 'surveys' THEN 2 WHEN 'recommendations' THEN 3 END AS r FROM ev
+  WHERE section <> 'watchlist' AND NOT is_event),
+once AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY week, item_id, r IS NULL ORDER BY r, pos, id_pos) AS n FROM body) WHERE r IS NULL OR n = 1),
+finding AS (SELECT week, item_id, p, pos, row_number() OVER (PARTITION BY week, item_id ORDER BY p, pos) AS n FROM (
+  SELECT *, CASE section WHEN 'key_findings' THEN 0 WHEN 'cz_items' THEN 1 ELSE 2 END AS p FROM once WHERE section IN ('key_findings', 'cz_items', 'world_items') AND has_summary))
+SELECT week, section, pos, string_agg(item_id, '|' ORDER BY id_pos) AS ids FROM once WHERE section <> 'key_findings' GROUP BY week, section, pos
+UNION ALL SELECT week, 'watchlist', pos, ids FROM (SELECT *, row_number() OVER (PARTITION BY week ORDER BY pos) AS n FROM watch) WHERE n <= 10
+UNION ALL SELECT week, 'key_findings', place, item_id FROM (SELECT *, row_number() OVER (PARTITION BY week ORDER BY p, pos) AS place FROM finding WHERE n = 1) WHERE place <= 3"""
+
+
+@query(with_views("", "sections", "report_items").rstrip() + ", " + _CHECKED)
+def checked_report(d):
+    """All checks of a drafted report, one after the other, as the weekly run applies them."""
+    sections, items = _report(d)
+    return _flat(report.checked_report(sections, items, sections.select("week"))[0])
+
+
 _DIGEST = _LEADS + """, usable AS (SELECT *, row_number() OVER (PARTITION BY week, id ORDER BY p, pos) AS n FROM ranked WHERE has_summary AND NOT is_event),
 grouped AS (SELECT *, row_number() OVER (PARTITION BY week, geo_focus = 'CZ' ORDER BY p, pos) AS k FROM usable WHERE n = 1),
 digest AS (SELECT *, row_number() OVER (PARTITION BY week ORDER BY CASE WHEN k > 1 THEN 2 WHEN geo_focus = 'CZ' THEN 0 ELSE 1 END, p, pos) AS place FROM grouped)"""

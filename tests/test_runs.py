@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from pressmill import queries, schemas
+from pressmill.operators import report
 from pressmill.plans import weekly
 from pressmill.sources import collect, registry, store
 from pressmill.streaming import media_store
@@ -139,6 +140,44 @@ def test_run_with_a_collector(spark, tmp_path):
     assert {r.status for r in store.load_state(spark, f"{base}/health", schemas.HEALTH).where("source_id = 'weir'").collect()} == {"ok"}
 
 
+def test_drafted_sections_are_checked(spark, tmp_path):
+    src = registry.source_table(spark, [{"id": "s1", "name": "S1", "source_type": "ngo", "region": "EU"}])
+    titles = ["Coal ferries of the delta", "Solar roofs on canal houses", "Workshop: heat pumps in mills", "Hydrogen for tugs", "Carbon price of gravel"]
+    rows = [item(n, title=t, source_id="s1", summary_raw="" if n == 4 else f"Emission story {n * 7919}.") for n, t in enumerate(titles)]
+    point = lambda section, pos, *ids, geo="EU": (section, pos, f"{section} {pos}", geo, False, list(ids))
+    drafted = [point("key_findings", 0, "i004"), point("key_findings", 1, " i003 "), point("key_findings", 2, "ghost"), point("key_findings", 3, "i002"),
+               point("cz_items", 0, "i000", "i001"), point("cz_items", 1, "i000"), point("cz_items", 2, "i002"),
+               point("world_items", 0, "i003"), point("world_items", 1, "i000"), point("world_items", 2, "i001"),
+               point("surveys", 0, "i003", "i004"), point("surveys", 1, "i001", "ghost"), point("strengths", 0, "i003", geo="US"), point("strengths", 1, "i003", geo="CZ"),
+               point("watchlist", 5, "i001")]
+    table = lambda points: spark.createDataFrame(points, "section string, pos int, text string, geo string, dated boolean, evidence_ids array<string>")
+
+    def shown(sections):
+        found = {}
+        for r in sections.orderBy("section", "pos").collect():
+            found.setdefault(r.section, []).append((r.text, r.evidence_ids))
+        return found
+
+    out = weekly.run_week(spark, str(tmp_path / "d"), items(spark, rows), src, "2026-W39", dt.datetime(2026, 9, 28, 6), dry_run=True, sections=table(drafted))
+    assert out["fallback"].count() == 5
+    assert shown(out["sections"]) == {
+        # the finding without a summary and the event go; news with a summary fill up
+        "key_findings": [("key_findings 1", ["i003"]), ("cz_items 0", ["i000"]), ("world_items 2", ["i001"])],
+        "cz_items": [("cz_items 0", ["i000"])], "world_items": [("world_items 0", ["i003"]), ("world_items 2", ["i001"])],
+        "surveys": [("surveys 0", ["i004"])], "strengths": [("strengths 1", ["i003"]), ("strengths 0", ["i003"])],
+        "watchlist": [("watchlist 5", ["i001"]), (titles[2], ["i002"])]}
+    # too little news, no finding, nothing at all: rejected week by week
+    drafts = {"2026-W39": drafted, "2026-W40": [p for p in drafted if p[0] != "world_items"], "2026-W41": [p for p in drafted if p[0] != "key_findings"], "2026-W42": []}
+    weeks = spark.createDataFrame([(w,) for w in drafts], "week string")
+    several = table([p for ps in drafts.values() for p in ps]).limit(0).withColumn("week", F.lit(""))
+    for w, points in drafts.items():
+        several = several.unionByName(table(points).withColumn("week", F.lit(w)))
+    chosen = out["selected"].drop("week").crossJoin(weeks)
+    checked, rejected = report.checked_report(several, chosen, weeks)
+    assert {r.week for r in rejected.collect()} == {"2026-W40", "2026-W41", "2026-W42"} and {r.week for r in checked.collect()} == {"2026-W39"}
+    assert shown(checked) == shown(out["sections"])
+
+
 def test_repeated_batch_counts_once(spark, tmp_path):
     now, rows = dt.datetime(2026, 9, 24, 12), [item(1), item(2)]
     for _ in range(2):
@@ -160,7 +199,7 @@ def _plain(v):
 
 
 @pytest.mark.parametrize("name", ["item_rows", "week_window", "final_score", "sentiment_levels", "sentiment_extremes", "media_collection", "media_context", "weak_sources",
-                                  "coder_agreement", "collected_health", "events_to_watchlist", "usage_totals", "calls_across_runs", "batch_budget_cut", "budget_fit", "funding_job", "date_spellings"])
+                                  "coder_agreement", "collected_health", "events_to_watchlist", "checked_report", "usage_totals", "calls_across_runs", "batch_budget_cut", "budget_fit", "funding_job", "date_spellings"])
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
     for t in queries.TABLES:
