@@ -18,7 +18,6 @@ TEMPERATURE = 0.7
 #: share of all tokens that is wanted
 BUDGET = 0.6
 ROUNDS = 8
-TOPICS = 8
 NONE = "(none)"
 #: texts that hold no keyword
 OTHER = "other"
@@ -57,12 +56,6 @@ def topic_of(text: Column) -> Column:
     return F.greatest(none, *hits)["t"]
 
 
-def first_word_class(text: Column) -> Column:
-    """The class that the SQL of op4 takes for a topic: a hash of the first word, which says nothing about the subject."""
-    first = F.lower(F.regexp_extract(F.coalesce(text, F.lit("")), r"([^\x20\x09-\x0D]+)", 1))
-    return F.concat(F.lit("t"), (F.conv(F.substring(F.md5(first), 1, 6), 16, 10).cast("int") % TOPICS).cast("string"))
-
-
 def tokens_of(text: Column) -> Column:
     """White-space separated words, at least one, so that an empty text has a weight."""
     return F.greatest(F.lit(1), F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"))).cast("long")
@@ -74,15 +67,15 @@ def chance_of(id_col: Column, seed: int) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("double") / 4294967296.0
 
 
-def topic_in(docs: DataFrame, text_col: str = "text", derive=topic_of) -> Column:
-    """The topic of a row: the table's own column, or what ``derive`` makes of the text where there is none."""
-    return F.coalesce(docs["topic"].cast("string"), F.lit(NONE)) if "topic" in docs.columns else derive(docs[text_col])
+def topic_in(docs: DataFrame, text_col: str = "text") -> Column:
+    """The topic of a row: the table's own column, or that of all words of the text where there is none."""
+    return F.coalesce(docs["topic"].cast("string"), F.lit(NONE)) if "topic" in docs.columns else topic_of(docs[text_col])
 
 
-def keyed(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", derive=topic_of) -> DataFrame:
+def keyed(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """(id, source, lang, topic, n_tokens): what mixing looks at; null sources, languages and topics are a group of their own."""
     return docs.select(F.col(id_col).alias("id"), F.coalesce(F.col("source"), F.lit(NONE)).alias("source"),
-                       F.coalesce(F.col("lang"), F.lit(NONE)).alias("lang"), topic_in(docs, text_col, derive).alias("topic"),
+                       F.coalesce(F.col("lang"), F.lit(NONE)).alias("lang"), topic_in(docs, text_col).alias("topic"),
                        tokens_of(F.col(text_col)).alias("n_tokens"))
 
 
@@ -110,14 +103,14 @@ def rake(cells: DataFrame, budget: float = BUDGET, temperature: float = TEMPERAT
 
 
 def mix(docs: DataFrame, budget: float = BUDGET, temperature: float = TEMPERATURE, rounds: int = ROUNDS, seed: int = 7,
-        text_col: str = "text", id_col: str = "doc_id", derive=topic_of) -> DataFrame:
+        text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """(id, source, lang, topic, n_tokens, probability, weight, sampled) of every row.
 
     ``probability`` is the cell's ratio, at most 1; ``weight`` is the tokens the document is expected to give; a document
     is sampled if its own number in [0, 1) is below the probability, so equal ids share their fate. Null texts have one
     token, null ids the number of the word null. An empty table gives no rows.
     """
-    slim = written(keyed(docs, text_col, id_col, derive))
+    slim = written(keyed(docs, text_col, id_col))
     cells = written(slim.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")))
     ratios = rake(cells, budget, temperature, rounds).select(*MARGINS, F.least(F.lit(1.0), F.col("ratio")).alias("probability"))
     return slim.join(ratios, list(MARGINS)).select(
@@ -140,11 +133,14 @@ def sample(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", **se
 def oracle(budget: float = BUDGET, temperature: float = TEMPERATURE, rounds: int = ROUNDS, seed: int = 7) -> str:
     """The same in SQL, one table per raking step."""
     word = r"[^\x20\x09-\x0D]+"
-    topic = (f"'t' || CAST(CAST('0x' || substr(md5(lower(regexp_extract(coalesce(text, ''), '({word})', 1))), 1, 6) AS BIGINT)"
-             f" % {TOPICS} AS VARCHAR)")
+    lists = {t: "[" + ", ".join(f"'{w}'" for w in words.split()) + "]" for t, words in KEYWORDS.items()}
+    hits = ", ".join(f"len(list_intersect(words, {ws})) AS n_{t}" for t, ws in lists.items())
+    most = "greatest(" + ", ".join(f"n_{t}" for t in lists) + ")"
+    topic = f"CASE WHEN {most} = 0 THEN '{OTHER}' " + " ".join(f"WHEN n_{t} = {most} THEN '{t}'" for t in lists) + " END"
     parts = [
         f"d AS MATERIALIZED (SELECT doc_id, coalesce(source, '{NONE}') AS source, coalesce(lang, '{NONE}') AS lang, {topic} AS topic,"
-        f" greatest(1, len(regexp_extract_all(coalesce(text, ''), '{word}')))::BIGINT AS n_tokens FROM documents)",
+        f" n_tokens FROM (SELECT *, {hits} FROM (SELECT *, list_distinct(string_split_regex(lower(coalesce(text, '')), '[^\\p{{L}}]+')) AS words,"
+        f" greatest(1, len(regexp_extract_all(coalesce(text, ''), '{word}')))::BIGINT AS n_tokens FROM documents)))",
         "w0 AS MATERIALIZED (SELECT source, lang, topic, sum(n_tokens)::BIGINT AS tokens, 1.0::DOUBLE AS ratio FROM d GROUP BY ALL)"]
     for m in MARGINS:
         parts.append(f"t_{m} AS MATERIALIZED (SELECT {m}, r / sum(r) OVER () * (SELECT sum(tokens)::DOUBLE FROM w0) * {budget} AS target FROM"
