@@ -369,10 +369,8 @@ def date_spellings(d):
 def abstract_from_positions(d):
     """Texts turned into word -> positions maps, and back."""
     words = F.split(F.trim(F.regexp_replace("text", r"\s+", " ")), " ")
-    placed = d.table("documents").select("doc_id", F.posexplode(words).alias("p", "w"))
-    index = (placed.groupBy("doc_id", "w").agg(F.sort_array(F.collect_list("p")).alias("ps"))
-             .groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("w", "ps"))).alias("m")))
-    return index.select("doc_id", academic.reconstruct_abstract(F.col("m")).alias("abstract"))
+    index = d.table("documents").select("doc_id", academic.invert_abstract(words).alias("m"))
+    return index.select("doc_id", F.when(F.col("m").isNotNull(), academic.reconstruct_abstract(F.col("m"))).alias("abstract"))
 
 
 @query("""SELECT conv_id, turn, CAST(trunc(length(text) / 3.2::DOUBLE) AS INT) + 1 AS tokens FROM conversations""")
@@ -1513,9 +1511,7 @@ def openalex_job(d):
     """OpenAlex responses with the first line of each document as an inverted abstract."""
     k = F.col("n_chars") % 3
     words = F.split(F.trim(F.regexp_replace(F.split_part("text", F.lit("\n"), F.lit(1)), r"\s+", " ")), " ")
-    distinct = F.array_distinct(F.filter(words, lambda w: w != ""))
-    index = F.map_from_arrays(distinct, F.transform(distinct, lambda w: F.filter(
-        F.transform(words, lambda v, i: F.when(v == w, i)), lambda i: i.isNotNull())))
+    index = academic.invert_abstract(F.filter(words, lambda w: w != ""))
     doi = F.concat(F.lit("https://doi.org/10.8/"), F.col("doc_id").cast("string"))
     issn = F.when(k == 0, F.array(F.lit("0000-0000"), F.lit("2542-4351"))).when(k == 1, F.array(F.lit("0301-4215"))).otherwise(F.array(F.lit("1111-1111")))
     work = F.struct(doi.alias("doi"), F.lit("T").alias("title"), F.lit("2026-09-22").alias("publication_date"), index.alias("abstract_inverted_index"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pressmill import config
 from pressmill.functions.dates import parse_date
+from pressmill.functions.text import bind
 from pressmill.functions.urls import journal_slug
 
 _PARTS = "struct<`date-parts`:array<array<int>>>"
@@ -26,11 +27,35 @@ def journal_table(spark, journals=None) -> DataFrame:
     return spark.createDataFrame(rows, "name string, issn string, topic_filter boolean, position int")
 
 
+def invert_abstract(words: Column) -> Column:
+    """Running text, as an array of words, to a map word -> positions. Null words are left out.
+
+    The words are sorted once inside the row and cut into runs of equal ones, so the work grows with their number.
+    """
+    placed = F.filter(F.transform(words, lambda w, p: F.struct(w.alias("w"), p.alias("p"))), lambda x: x["w"].isNotNull())
+
+    def runs(row: Column) -> Column:
+        placed, starts = row["placed"], row["starts"]
+        ends = F.concat(F.slice(starts, 2, F.greatest(F.size(starts), F.lit(1))), F.array(F.size(placed)))
+        return F.transform(F.arrays_zip(starts.alias("at"), ends.alias("upto")), lambda r: F.struct(
+            F.get(placed, r["at"])["w"].alias("key"),
+            F.transform(F.slice(placed, r["at"] + 1, r["upto"] - r["at"]), lambda x: x["p"]).alias("value")))
+
+    def starts(placed: Column) -> Column:
+        first = F.filter(F.transform(placed, lambda x, i: F.when((i == 0) | (F.get(placed, i - 1)["w"] != x["w"]), i)),
+                         lambda i: i.isNotNull())
+        return F.struct(placed.alias("placed"), first.alias("starts"))
+
+    return bind(bind(F.sort_array(placed), starts), lambda row: F.when(
+        F.size(row["placed"]) > 0, F.map_from_entries(runs(row))).when(
+        row["placed"].isNotNull(), F.create_map().cast("map<string,array<int>>")))
+
+
 def reconstruct_abstract(inverted: Column) -> Column:
     """A map word -> positions back to running text."""
     placed = F.flatten(F.transform(F.map_entries(inverted), lambda e: F.transform(
         F.coalesce(e["value"], F.array().cast("array<int>")), lambda p: F.struct(p.alias("p"), e["key"].alias("w")))))
-    text = F.array_join(F.transform(F.array_sort(F.filter(placed, lambda x: x["p"].isNotNull())), lambda x: x["w"]), " ")
+    text = F.array_join(F.transform(F.sort_array(F.filter(placed, lambda x: x["p"].isNotNull())), lambda x: x["w"]), " ")
     return F.coalesce(text, F.lit(""))
 
 

@@ -1,9 +1,11 @@
 import datetime as dt
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from pressmill import queries as registered
 from pressmill.operators.items import build_items
 from pressmill.schemas import PAYLOAD
 from pressmill.sources import academic, feeds, funding, listing, registry, store
@@ -99,6 +101,28 @@ def test_academic(spark):
     assert (two.source_name, two.url, two.topic_filter) == ("River Letters", "https://venue.test/77", True) and two.summary_raw == ""
 
 
+def test_inverted_abstracts(spark):
+    words = [["b", "a", "b", None, "B", "a"], [], None, [""], ["é", "e", "é"]]
+    rows = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "i int, w array<string>")
+    got = {r.i: r.m for r in rows.select("i", academic.invert_abstract(F.col("w")).alias("m")).collect()}
+    assert got == {0: {"b": [0, 2], "a": [1, 5], "B": [4]}, 1: {}, 2: None, 3: {"": [0]}, 4: {"é": [0, 2], "e": [1]}}
+
+
+def test_abstract_queries_stay_in_the_row(spark, tmp_path):
+    """No shuffle of single words, and work in proportion to the words: the square of 60,000 different ones takes minutes."""
+    long = " ".join(f"w{i}" for i in range(60_000))
+    rows = [(1, long, "en", "src1", len(long)), (2, "a  b\ta\nc", "en", "src1", 8), (3, "", "en", "src1", 0), (4, None, "en", "src1", 0)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(
+        str(tmp_path / "documents.parquet"))
+    plain = registered.queries()["abstract_from_positions"](spark, str(tmp_path))
+    assert "Exchange" not in plain._jdf.queryExecution().executedPlan().toString()
+    assert {r.doc_id: r.abstract for r in plain.collect()} == {1: long, 2: "a b a c", 3: "", 4: None}
+    start = time.monotonic()
+    got = {r.url[-1]: r.abstract for r in registered.queries()["openalex_job"](spark, str(tmp_path)).collect()}
+    assert got["1"] == long and got["2"] == "a b a" and got["3"] == ""
+    assert time.monotonic() - start < 60
+
+
 def test_funding(spark):
     overview = {"budgetTopicActionMap": {"1": [{"action": "LIFE-1 - x", "expectedGrants": 2, "minContribution": 1000, "maxContribution": 5000,
                                                 "budgetYearMap": {"2027": "9000", "2028": "x"}}], "2": [{"action": "OTHER"}]}}
