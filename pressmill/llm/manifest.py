@@ -26,6 +26,8 @@ BITS = 4
 #: levels above the leaves of a block
 HEIGHT = 3
 DIGEST = 32
+#: what a proof is checked to
+CHECKED = ["proof_sha256", "folded"]
 
 
 # -- digests ---------------------------------------------------------------------------------------------------------
@@ -264,16 +266,30 @@ def build(docs: DataFrame, columns: list[str], source_col: str = "source", id_co
 
 # -- proofs ----------------------------------------------------------------------------------------------------------
 
+def _checks(paths: list[bytes], starts: list[bytes]) -> list[pa.Array]:
+    """For each path the digest of all its siblings and the root that follows from the digest it starts with, both hex."""
+    proof, folded = [], []
+    for path, start in zip(paths, starts, strict=True):
+        steps = unpacked(path)
+        proof.append(parent(b"".join(others for _, others in steps)).hex())
+        folded.append(fold(start, steps).hex())
+    return [pa.array(proof, pa.string()), pa.array(folded, pa.string())]
+
+
 def _served(wanted: DataFrame, blocks: DataFrame, height: int) -> DataFrame:
     """(grp, n, digest, row, path, subroot, root) of the wanted (grp, n, digest, row): siblings inside the block, then the block's path.
 
     Wanted nodes and their block (grp, block, height, leaves, nodes, path, subroot, root) are sorted together: the block comes
-    first and is held while its nodes pass.
+    first and is held while its nodes pass. If ``wanted`` has a column ``_checked``, paths are folded from it here and do not
+    leave the task: the result has proof_sha256 and folded (see ``verify``) in their place.
     """
     width = FAN_OUT ** height
-    nodes = wanted.select("grp", F.expr(f"n div {width}").alias("block"), "n", "digest", "row")
+    checked = "_checked" in wanted.columns
+    more = ["_checked"] if checked else []
+    nodes = wanted.select("grp", F.expr(f"n div {width}").alias("block"), "n", "digest", "row", *more)
     rows = (nodes.unionByName(blocks.withColumn("n", F.lit(-1).cast("long")), allowMissingColumns=True)
-            .select("grp", "block", "n", "digest", "row", "height", "leaves", "nodes", "path", "subroot", "root"))
+            .select("grp", "block", "n", "digest", "row", "height", "leaves", "nodes", "path", "subroot", "root", *more))
+    proofs = CHECKED if checked else ["path"]
 
     def run(batches):
         held = None
@@ -288,13 +304,17 @@ def _served(wanted: DataFrame, blocks: DataFrame, height: int) -> DataFrame:
                 levels, leaves, stored, path, subroot, root = held
                 n = part.column(2).to_numpy()
                 found = siblings(stored, levels, leaves, n - part.column(1)[0].as_py() * width)
+                paths = [packed(p) + path for p in found]
+                made = _checks(paths, part.column(11).to_pylist()) if checked else [pa.array(paths, pa.binary())]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(2), part.column(3), part.column(4), pa.array([packed(p) + path for p in found], pa.binary()),
+                    [part.column(0), part.column(2), part.column(3), part.column(4), *made,
                      pa.array([subroot] * len(n), pa.binary()), pa.array([root] * len(n), pa.binary())],
-                    ["grp", "n", "digest", "row", "path", "subroot", "root"])
+                    ["grp", "n", "digest", "row", *proofs, "subroot", "root"])
 
+    kind = T.StringType() if checked else T.BinaryType()
     schema = T.StructType([T.StructField("grp", T.StringType()), T.StructField("n", T.LongType()), T.StructField("digest", T.BinaryType()),
-                           wanted.schema["row"], *(T.StructField(c, T.BinaryType()) for c in ("path", "subroot", "root"))])
+                           wanted.schema["row"], *(T.StructField(c, kind) for c in proofs),
+                           *(T.StructField(c, T.BinaryType()) for c in ("subroot", "root"))])
     return rows.repartition("grp", "block").sortWithinPartitions("grp", "block", "n").mapInArrow(run, schema)
 
 
@@ -314,16 +334,23 @@ def _climb(wanted: DataFrame, tiers: list[DataFrame], ends: DataFrame, height: i
             inner = _as_nodes(tiers[k - 1]).where("size > 1").withColumn("row", F.lit(None).cast("string"))
             paths = cut_lineage(_served(inner, served, height))
     columns = ["grp", "n", "digest", "row", *more]
-    alone = wanted.where("size = 1").join(ends, _same("grp", "_g")).select(*columns)
+    alone = wanted.where("size = 1").join(ends, _same("grp", "_g"))
+    if "_checked" in wanted.columns:
+        alone = verify(alone.select(*columns, F.col("_checked").alias("_start")), F.col("_start"))
+        columns = [*columns[:4], *CHECKED, *more[1:]]
+    alone = alone.select(*columns)
     return _served(wanted.where("size > 1"), served, height).unionByName(alone) if tiers else alone
 
 
-def prove(manifest: Manifest, wanted: DataFrame | None = None, height: int = HEIGHT) -> DataFrame:
+def prove(manifest: Manifest, wanted: DataFrame | None = None, height: int = HEIGHT, digest: Column | None = None) -> DataFrame:
     """(grp, n, digest, row, path, subroot, root) of the wanted rows of ``manifest.leaves``, by default all.
 
-    ``path`` are the siblings of each level from the leaf to the root, as ``packed`` writes them.
+    ``path`` are the siblings of each level from the leaf to the root, as ``packed`` writes them. With a ``digest`` the proofs
+    are checked as ``verify`` does, in the task that makes them: proof_sha256 and folded stand in place of the path.
     """
     wanted = manifest.leaves if wanted is None else wanted
+    if digest is not None:
+        wanted = wanted.withColumn("_checked", digest)
     top = manifest.root_tiers[-1].where("above = 1").select("root") if manifest.root_tiers else manifest.subroots.select(
         F.col("digest").alias("root"))
     end = top.select(F.lit("").alias("grp"), F.lit(b"").alias("path"), F.lit(b"").alias("subroot"), "root")
@@ -339,13 +366,8 @@ def verify(proofs: DataFrame, digest: Column) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            proof, folded = [], []
-            for path, start in zip(batch.column("path").to_pylist(), batch.column("_checked").to_pylist(), strict=True):
-                steps = unpacked(path)
-                proof.append(parent(b"".join(others for _, others in steps)).hex())
-                folded.append(fold(start, steps).hex())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(proof, pa.string()), pa.array(folded, pa.string())],
-                                             [*batch.schema.names[:-1], "proof_sha256", "folded"])
-
-    text = [T.StructField(c, T.StringType()) for c in ("proof_sha256", "folded")]
+            checks = _checks(batch.column("path").to_pylist(), batch.column("_checked").to_pylist())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *checks], [*batch.schema.names[:-1], *CHECKED])
+
+    text = [T.StructField(c, T.StringType()) for c in CHECKED]
     return rows.mapInArrow(run, T.StructType([*proofs.schema.fields, *text]))

@@ -106,6 +106,17 @@ def test_manifest_against_a_plain_tree(spark, height):
     assert wrong != top[-1][0]
 
 
+def test_proofs_are_checked_where_they_are_made(spark):
+    rows = [(k, f"T{k}", "en", "hot") for k in range(300)] + [(9, "one", "en", "alone"), (None, None, None, None)]
+    built = manifest.build(table(spark, rows), ["doc_id", "source", "lang", "n_chars", "text"], keep={"doc_id": F.col("doc_id")}, height=2)
+    digest = F.when(F.col("n") % 3 == 0, F.unhex(F.sha2(F.lit("other"), 256))).otherwise(F.col("digest"))
+    got = manifest.prove(built, height=2, digest=digest)
+    # no path goes on to another Python worker: only single leaves' proofs are checked apart
+    assert got._jdf.queryExecution().optimizedPlan().toString().startswith("Union")
+    want = manifest.verify(manifest.prove(built, height=2), digest).select(*got.columns)
+    assert Counter(got.collect()) == Counter(want.collect()) and got.where("folded = lower(hex(root))").count() == 200
+
+
 def test_manifest_of_nothing_and_of_one_row(spark):
     columns = ["doc_id", "source", "lang", "n_chars", "text"]
     assert manifest.prove(manifest.build(table(spark, []), columns)).count() == 0
