@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from pressmill import config
 from pressmill.functions.dates import deadline_window, parse_deadline, stamp_literal
 from pressmill.functions.text import strip_accents
-from pressmill.operators.common import distinct_first, top_per_group
+from pressmill.operators.common import distinct_first, top_per_group, with_once
 from pressmill.operators.items import effective_date
+from pressmill.session import cut_lineage
 
 # fixed values: patterns on accent-free text
 CALL_TITLE = (r"(?iU)\b(vyzv|soutez|grant|dotac|call for (proposals|applications|projects)|funding (call|opportunit)|"
@@ -61,15 +62,15 @@ def call_pool(items: DataFrame, sources: DataFrame, shown: DataFrame, now: dt.da
         F.col("id").alias("source_id"), F.lit(True).alias("_funding"))
     shown_in = shown.groupBy(F.col("key").alias("id")).agg(F.min("week").alias("_shown"))
     rows = (items.join(funding, "source_id", "left")
+            .where((F.col("source_type") == "funding")
+                   | (effective_date() >= stamp_literal(now - dt.timedelta(days=calls.lookback_days))))
             .where(F.coalesce("_funding", F.lit(False)) | (F.col("source_type") == "funding")
-                   | announces_call(F.col("title")))
-            .withColumn("deadline", item_deadline(F.col("summary_raw")))
+                   | announces_call(F.col("title"))))
+    rows = (with_once(rows, "deadline", item_deadline(F.col("summary_raw")))
             .where(F.col("deadline").isNull() | F.col("deadline").between(low, high))
             .join(shown_in, "id", "left")
             .where(F.col("_shown").isNull() | (F.col("_shown") == week)
-                   | F.coalesce(F.col("deadline") <= F.date_add(low, calls.reminder_days), F.lit(False)))
-            .where((F.col("source_type") == "funding")
-                   | (effective_date() >= stamp_literal(now - dt.timedelta(days=calls.lookback_days)))))
+                   | F.coalesce(F.col("deadline") <= F.date_add(low, calls.reminder_days), F.lit(False))))
     rows = distinct_first(rows, "id", F.col("arrival") if "arrival" in items.columns else effective_date())
     if calls.pool_max is None:
         return rows.drop("_funding", "_shown")
@@ -110,12 +111,14 @@ def check_drafts(drafts: DataFrame, pool: DataFrame, lo: dt.date, hi: dt.date,
     ``drafts``: pos, item_id, funder, deadline (text). The cap per programme and the limit count in draft order.
     """
     by_id = pool.select(F.col("id").alias("item_id"), "title", "url", "source_name", "summary_raw")
-    rows = (drafts.withColumn("item_id", F.trim("item_id")).join(by_id, "item_id", "left")
-            .withColumn("deadline_date", F.coalesce(parse_deadline(F.col("deadline")), item_deadline(F.col("summary_raw"))))
+    rows = drafts.withColumn("item_id", F.trim("item_id")).join(by_id, "item_id", "left")
+    rows = (with_once(rows, "deadline_date", F.coalesce(parse_deadline(F.col("deadline")), item_deadline(F.col("summary_raw"))))
             .withColumn("programme", programme(F.col("title"), F.col("source_name"), F.col("funder"))))
     outside = ~F.coalesce(F.col("deadline_date").between(F.lit(lo.isoformat()).cast("date"),
                                                          F.lit(hi.isoformat()).cast("date")), F.lit(True))
-    rows = rows.withColumn("outcome", F.when(F.col("title").isNull(), "unknown id").when(outside, "outside window"))
+    # the pool and the drafts' texts are gone through once; what follows reads short rows several times
+    rows = cut_lineage(rows.withColumn("outcome", F.when(F.col("title").isNull(), "unknown id").when(outside, "outside window"))
+                       .drop("summary_raw"))
     from pyspark.sql.window import Window
 
     valid = rows.where("outcome is null")
@@ -132,7 +135,7 @@ def check_drafts(drafts: DataFrame, pool: DataFrame, lo: dt.date, hi: dt.date,
     kept = counted.where("pos <= _last").drop("_last").withColumn(
         "_n", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("pos")))
     kept = kept.withColumn("outcome", F.when(F.col("_n") <= calls.max_items, "shown").otherwise("over limit")).drop("_n")
-    return rows.where("outcome is not null").unionByName(repeated).unionByName(full).unionByName(kept).drop("summary_raw")
+    return rows.where("outcome is not null").unionByName(repeated).unionByName(full).unionByName(kept)
 
 
 def by_programme(calls: DataFrame) -> DataFrame:

@@ -32,6 +32,11 @@ def top_per_group(df: DataFrame, keys: Sequence[str | Column], order: Sequence[C
     return df if rank_name else df.drop(name)
 
 
+def with_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a column that is evaluated once a row: conditions on it don't go below it, each with a copy of its expression."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def running_sums(df: DataFrame, scope: str, order: Sequence[Column], sums: dict[str, Column]) -> DataFrame:
     """Adds, for each of ``sums``, its total over the rows of the scope up to this one; ``order`` is a total order.
 
