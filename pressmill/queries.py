@@ -1530,16 +1530,18 @@ def funding_job(d):
     """Portal results: orders as calls, their lines as actions of the nested budget document and as rounds."""
     k = F.col("l_orderkey").cast("string")
     identifier = F.concat(F.lit("HORIZON-"), k)
-    action = F.struct(F.concat(F.lit("HORIZON-"), k, F.lit(" - Actions")).alias("action"), F.lit(1).alias("expectedGrants"),
-                      (F.col("l_quantity") * 1000).alias("minContribution"), (F.col("l_quantity") * 1000).alias("maxContribution"),
-                      F.create_map(F.lit("2027"), F.col("l_quantity").cast("long").cast("string")).alias("budgetYearMap"))
+    # an order's lines are collected as numbers and spelled out afterwards
+    grouped = d.table("lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct("l_quantity", "l_shipdate")).alias("lines"))
+    actions = F.transform("lines", lambda x: F.struct(
+        F.concat(F.lit("HORIZON-"), k, F.lit(" - Actions")).alias("action"), F.lit(1).alias("expectedGrants"),
+        (x["l_quantity"] * 1000).alias("minContribution"), (x["l_quantity"] * 1000).alias("maxContribution"),
+        F.create_map(F.lit("2027"), x["l_quantity"].cast("long").cast("string")).alias("budgetYearMap")))
     other = F.struct(F.lit("OTHER - Actions").alias("action"), F.lit(9).alias("expectedGrants"), F.lit(1.0).alias("minContribution"),
                      F.lit(1e9).alias("maxContribution"), F.create_map(F.lit("2027"), F.lit("5")).alias("budgetYearMap"))
-    round_ = F.date_format((F.col("l_shipdate") + F.expr("INTERVAL 30 YEARS")).cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSS")
-    grouped = d.table("lineitem").groupBy("l_orderkey").agg(F.collect_list(action).alias("actions"),
-                                                            F.collect_list(F.concat(round_, F.lit("+0000"))).alias("rounds"))
-    overview = F.to_json(F.struct(F.create_map(F.lit("1"), F.col("actions"), F.lit("2"), F.array(other)).alias("budgetTopicActionMap")))
-    md = F.struct(F.array(identifier).alias("identifier"), F.array(F.lit("Energy transition")).alias("title"), F.col("rounds").alias("deadlineDate"),
+    rounds = F.transform("lines", lambda x: F.concat(F.date_format(
+        (x["l_shipdate"] + F.expr("INTERVAL 30 YEARS")).cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("+0000")))
+    overview = F.to_json(F.struct(F.create_map(F.lit("1"), actions, F.lit("2"), F.array(other)).alias("budgetTopicActionMap")))
+    md = F.struct(F.array(identifier).alias("identifier"), F.array(F.lit("Energy transition")).alias("title"), rounds.alias("deadlineDate"),
                   F.array(overview).alias("budgetOverview"), F.array(F.lit("SSH")).alias("crossCuttingPriorities"))
     body = F.to_json(F.struct(F.array(F.struct(F.concat(F.lit("https://x.org/"), k).alias("url"), md.alias("metadata"))).alias("results")))
     rows = _payload_frame(grouped.select(k.alias("payload_id"), F.lit("eu").alias("source_id"), F.lit("").alias("url"), body.alias("body"))).withColumn(

@@ -77,17 +77,20 @@ def _euro(value: Column) -> Column:
 def parse_calls(payloads: DataFrame, require_topic: bool = True) -> DataFrame:
     """Calls with typed facts and the facts as text. ``payloads`` also holds query_no and ssh_query."""
     md = F.col("r.metadata")
-    rows = (payloads.withColumn("results", F.from_json("body", RESULTS)["results"])
-            .select("payload_id", "source_id", "query_no", "ssh_query", F.col("fetched_at").alias("now"),
-                    F.posexplode("results").alias("feed_pos", "r"))
-            .select("payload_id", "source_id", "query_no", "ssh_query", "now", "feed_pos",
-                    first_of(md, "identifier").alias("identifier"),
-                    F.coalesce(F.nullif(first_of(md, "title"), F.lit("")), "r.title", F.lit("")).alias("name"),
-                    first_of(md, "callTitle").alias("call_title"), first_of(md, "programmePeriod").alias("period"),
-                    clean_text(first_of(md, "descriptionByte"), DESCRIPTION_LIMIT).alias("description"),
-                    first_of(md, "budgetOverview").alias("overview"),
-                    _stamps(values_of(md, "deadlineDate")).alias("deadlines"),
-                    F.array_contains(values_of(md, "crossCuttingPriorities"), "SSH").alias("labelled"),
+    results = (payloads.withColumn("results", F.from_json("body", RESULTS)["results"])
+               .select("payload_id", "source_id", "query_no", "ssh_query", F.col("fetched_at").alias("now"),
+                       F.posexplode("results").alias("feed_pos", "r")))
+    # what the conditions below ask for is read once a row, however often they name it
+    asked = F.struct(first_of(md, "identifier").alias("identifier"), first_of(md, "title").alias("own_title"),
+                     first_of(md, "callTitle").alias("call_title"), first_of(md, "descriptionByte").alias("markup"),
+                     _stamps(values_of(md, "deadlineDate")).alias("deadlines"),
+                     F.array_contains(values_of(md, "crossCuttingPriorities"), "SSH").alias("labelled"))
+    rows = (results.select("*", F.inline(F.array(asked)))
+            .select("payload_id", "source_id", "query_no", "ssh_query", "now", "feed_pos", "identifier",
+                    F.coalesce(F.nullif("own_title", F.lit("")), "r.title", F.lit("")).alias("name"),
+                    "call_title", first_of(md, "programmePeriod").alias("period"),
+                    clean_text(F.col("markup"), DESCRIPTION_LIMIT).alias("description"),
+                    first_of(md, "budgetOverview").alias("overview"), "deadlines", "labelled",
                     F.array_contains(values_of(md, "status"), STATUS_OPEN).alias("is_open"),
                     F.element_at(_stamps(F.array(first_of(md, "startDate"))), 1).alias("opens"),
                     values_of(md, "typesOfAction").alias("action_types"),

@@ -144,6 +144,13 @@ def test_funding(spark):
     assert "Uzávěrka: 1. 12. 2026" in r.summary_raw and "min. 1 000 EUR, max. 5 000 EUR" in r.summary_raw
 
 
+def test_portal_deadlines_are_read_once(spark):
+    rows = landed(spark, ("eu", "{}")).withColumn("query_no", F.lit(0)).withColumn("ssh_query", F.lit(False))
+    one = funding.values_of(F.lit(None).cast("map<string,string>"), "deadlineDate")._jc.toString().count("deadlineDate")
+    plan = funding.parse_calls(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("deadlineDate") == one
+
+
 def test_registry_and_stores(spark, tmp_path):
     with pytest.raises(ValueError):
         registry.source_table(spark, [{"id": "a"}, {"id": "a"}])
