@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressmill.llm.common import dealt, mixed, pieces, written
+from pressmill.llm.common import RELEASED, dealt, mixed, pieces, written
 
 DEPTH = 100
 #: period of the difference cover; the orbit of 1 under doubling is a perfect difference set for it
@@ -104,6 +104,12 @@ def _sample_entries(text: str, mine=None) -> tuple[np.ndarray, np.ndarray, np.nd
     return at, key, mixed(key + np.uint64(1))
 
 
+def _flagged(text: str, marks: bytes) -> np.ndarray:
+    """Positions of the samples of a text that are marked, one bit each."""
+    at = cover_positions(len(_bytes(text)))
+    return at[np.unpackbits(np.frombuffer(marks, np.uint8), count=len(at)).astype(bool)]
+
+
 def _suffix_entries(text: str, flagged: np.ndarray, mine=None) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
     """Start, name and deal of each suffix that can be equal to another.
 
@@ -257,27 +263,27 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         known = known.groupBy("id").agg(F.min("text").alias("text"))
     size = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_samples = pieces(size * len(COVER) / PERIOD, ENTRIES, 12)
-    flags = written(_by_document(_exchange(known, _sample_entries, n_samples, False)))
+    flags = written(_by_document(_exchange(known, _sample_entries, n_samples, False)), RELEASED)
 
     def prepare(batches):
-        """Texts with flagged samples, with the numbers of those samples and how many suffixes they leave."""
+        """Texts with flagged samples, with a bit for each sample and how many suffixes the flagged ones leave."""
         for batch in batches:
             ids, flagged, count = [], [], []
             for text, hits in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 at, _, deal = _sample_entries(text)
-                some = at[_hits(deal, n_samples, [(h["bucket"], h["bits"]) for h in hits])]
-                flagged.append(some.astype("<i8").tobytes())
-                count.append(len(zones(some, len(_bytes(text)))))
+                marks = _hits(deal, n_samples, [(h["bucket"], h["bits"]) for h in hits])
+                flagged.append(np.packbits(marks).tobytes())
+                count.append(len(zones(at[marks], len(_bytes(text)))))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(flagged, pa.binary()), pa.array(count, pa.int64())],
                                              ["id", "text", "flagged", "n"])
 
     work = written(known.join(flags, F.col("id") == F.col("_id")).select("id", "text", "hits").mapInArrow(
-        prepare, "id long, text string, flagged binary, n long").where("n > 0"))
+        prepare, "id long, text string, flagged binary, n long").where("n > 0"), RELEASED)
     n_suffixes = pieces(work.agg(F.sum("n")).first()[0] or 0, ENTRIES, 12 * TURNS)
-    suffixes = lambda text, flagged, mine=None: _suffix_entries(text, np.frombuffer(flagged, "<i8"), mine)
+    suffixes = lambda text, flagged, mine=None: _suffix_entries(text, _flagged(text, flagged), mine)
     later = None
     for turn in range(TURNS):
-        part = written(_exchange(work.select("id", "text", "flagged"), suffixes, n_suffixes, True, turn, TURNS))
+        part = written(_exchange(work.select("id", "text", "flagged"), suffixes, n_suffixes, True, turn, TURNS), RELEASED)
         later = part if later is None else later.union(part)
 
     def cut(batches):

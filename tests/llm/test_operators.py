@@ -250,6 +250,15 @@ def test_line_query_compares_short_lines(spark, tmp_path):
     assert [r.doc_id for r in corpus_pipeline.drop_repeated_lines(spark, table, str(tmp_path)).collect()] == [0]
 
 
+def test_flagged_samples_are_bits():
+    text = "é" * 5000
+    at = repeats.cover_positions(10000)
+    mask = np.arange(len(at)) % 7 == 3
+    marks = np.packbits(mask).tobytes()
+    assert repeats._flagged(text, marks).tolist() == at[mask].tolist() and len(marks) < 10000 / 60
+    assert repeats._flagged("", b"").tolist() == []
+
+
 def test_repeated_passages(spark):
     rng = random.Random(9)
     passages = [sentence(rng, rng.randint(15, 60)) for _ in range(8)] + ["ab" * 130, "é" * 77]
