@@ -10,8 +10,8 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import struct
 from collections.abc import Iterator
-from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -19,9 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: words kept by a worker; beyond it, the store starts afresh
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1_000_000
 #: bytes of text worked on at a time
 SLICE = 2 << 20
+#: tokens whose bytes are gathered at a time
+DECODED = 1 << 16
 
 # fixed values: the split pattern of the public byte-level vocabulary, for texts of the Latin ranges up to U+024F
 _LETTER = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
@@ -48,6 +50,10 @@ class TrieEncoder:
         self.bytes_of = {i: raw[t] for t, i in data["model"]["vocab"].items()}
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
         self.bytes_of |= {i: t.encode() for t, i in self.special.items()}
+        self.size = {i: len(b) for i, b in self.bytes_of.items()}
+        placed = [self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)]
+        self.letters, self.lengths = np.frombuffer(b"".join(placed), np.uint8), np.array([len(b) for b in placed])
+        self.starts = np.cumsum(self.lengths) - self.lengths
         self.special_split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         vocab = data["model"]["vocab"]
         pairs = [m.split(" ") if isinstance(m, str) else m for m in data["model"]["merges"]]
@@ -56,13 +62,10 @@ class TrieEncoder:
         for t, i in vocab.items():
             if len(raw[t]) == 1:
                 self.single[raw[t][0]] = i
-        # a token that its own bytes do not lead to never comes out of an encoding
-        self.token, self.parts = {}, {}
-        for b, i in ((raw[t], vocab[t]) for t in raw):
-            ids, joined = self.merge(b)
-            if ids == [i]:
-                self.token[b], self.parts[i] = i, joined
-        self.longest = max(map(len, self.token))
+        self.token = {raw[t]: i for t, i in vocab.items()}
+        self.parts: dict[int, tuple[int, int] | None] = {}
+        self.begins = {b[:n] for b in self.token for n in range(len(b) + 1)}
+        self.steps: dict[bytes, tuple[bytes, list[tuple[int, int]]]] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.edges: dict[tuple[int, int], list] = {}
         self.known: dict[str, bytes] = {}
@@ -119,27 +122,66 @@ class TrieEncoder:
             self.pairs[key] = got
         return got
 
+    def made(self, token: bytes) -> bool:
+        """Whether the bytes are a token that they lead to; any other token never comes out of an encoding."""
+        i = self.token.get(token)
+        if i is not None and i not in self.parts:
+            ids, joined = self.merge(token)
+            if ids != [i]:
+                del self.token[token]
+                return False
+            self.parts[i] = joined
+        return i is not None
+
+    def step(self, end: bytes) -> tuple[bytes, list[tuple[int, int]]]:
+        """The longest tail of ``end`` that some token begins with, and the tokens that are tails of it, longest first.
+
+        A tail of a prefix that no token begins with can't take part in a token that ends later, so the tail found for a
+        prefix and the next byte are all that the next step depends on.
+        """
+        if len(self.steps) > 500_000:
+            self.steps.clear()
+        tail = next(end[k:] for k in range(len(end) + 1) if end[k:] in self.begins)
+        ends = [(len(tail) - k, self.token[tail[k:]]) for k in range(len(tail)) if self.made(tail[k:])]
+        self.steps[end] = tail, ends
+        return tail, ends
+
     def learn(self, new: set[str]) -> None:
         """Encode new words by a depth-first walk of their trie.
 
-        Sorted order is the depth-first order; ``last[d]`` is the state of the node at depth d on the current path.
+        Sorted order, of code points as of their bytes, is the depth-first order; ``last[d]`` is the state of the node at depth d on the current path, and
+        ``tails[d]`` tells the tokens that can end there (see ``step``).
         """
-        token, fits, longest = self.token, self.fits, self.longest
-        last, before = [0], b""
-        for word, text in sorted((w.encode(), w) for w in new):
-            shared = len(commonprefix((before, word)))
-            del last[shared + 1:]
+        steps, pairs, known, size = self.steps, self.pairs, self.known, self.size
+        last, tails, before = [0], [b""], b""
+        for text in sorted(new):
+            word = text.encode()
+            n = min(len(before), len(word))
+            # the bits from the first that differs on
+            differ = (int.from_bytes(before[:n]) ^ int.from_bytes(word[:n])).bit_length()
+            shared = n - (differ + 7 >> 3)
+            del last[shared + 1:], tails[shared + 1:]
+            tail = tails[shared]
             for d in range(shared + 1, len(word) + 1):
-                for start in range(max(0, d - longest), d):
-                    t = token.get(word[start:d])
-                    if t is not None and (start == 0 or fits(last[start], t)):
+                end = tail + word[d - 1:d]
+                tail, ends = steps.get(end) or self.step(end)
+                tails.append(tail)
+                for n, t in ends:
+                    if n == d:
+                        last.append(t)
+                        break
+                    got = pairs.get((last[d - n], t))
+                    if got is None:
+                        got = self.fits(last[d - n], t)
+                    if got:
                         last.append(t)
                         break
             ids, d = [], len(word)
             while d:
-                ids.append(last[d])
-                d -= len(self.bytes_of[last[d]])
-            self.known[text] = np.array(ids[::-1], "<u4").tobytes()
+                t = last[d]
+                ids.append(t)
+                d -= size[t]
+            known[text] = struct.pack(f"<{len(ids)}I", *ids[::-1])
             before = word
 
     def split_words(self, text: str) -> list[str]:
@@ -167,9 +209,20 @@ class TrieEncoder:
         find = self.known.__getitem__
         return [b"".join(r if isinstance(r, bytes) else b"".join(map(find, r)) for r in runs) for runs in parts]
 
-    def decode(self, ids: bytes) -> str:
-        find = self.bytes_of.__getitem__
-        return b"".join(map(find, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+    def decode(self, ids: list[bytes]) -> list[str]:
+        """Texts of several ids: the bytes of many tokens are gathered at a time from all tokens' bytes, one after another."""
+        tokens, parts, ends = np.frombuffer(b"".join(ids), "<u4"), [], []
+        held = 0
+        for a in range(0, len(tokens), DECODED):
+            part = tokens[a:a + DECODED]
+            n = self.lengths[part]
+            to = np.cumsum(n)
+            parts.append(self.letters[np.arange(to[-1]) + np.repeat(self.starts[part] - (to - n), n)].tobytes())
+            ends.append(to + held)
+            held += int(to[-1])
+        data, at = b"".join(parts), np.concatenate([[0], *ends])
+        cuts = at[np.cumsum([0] + [len(x) // 4 for x in ids])].tolist()
+        return [data[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 _ENCODERS: dict[str, TrieEncoder] = {}
@@ -212,7 +265,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(a, b - a), pa.array(ids, pa.binary()),
                     pa.array([len(x) // 4 for x in ids], pa.int64()),
-                    pa.array([enc.decode(x) for x in ids], pa.string())], ["id", "ids", "n_tokens", "decoded"])
+                    pa.array(enc.decode(ids), pa.string())], ["id", "ids", "n_tokens", "decoded"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(

@@ -59,6 +59,20 @@ def test_trie_encoding_equals_the_library(spark):
     assert bpe.encode_documents(docs(spark, []), BYTES).count() == 0
 
 
+def test_trie_walk_looks_at_tokens_that_end_there(monkeypatch):
+    with open(BYTES, encoding="utf-8") as f:
+        enc = bpe.TrieEncoder(f.read())
+    monkeypatch.setattr(bpe, "DECODED", 7)
+    rng, tok = random.Random(4), Tokenizer.from_file(BYTES)
+    texts = [t or "" for t in ODD] + [sentence(rng, 60, "abcdeéß' 12.,") for _ in range(20)] + [" " * 300 + "." * 300 + "ab" * 300]
+    got = enc.encode(texts)
+    ids = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == ids
+    assert enc.decode(got) == [tok.decode(i, skip_special_tokens=False) for i in ids] == texts and enc.decode([]) == []
+    # a few texts ask for few tokens: neither are all put together beforehand nor do their prefixes all become steps
+    assert len(enc.parts) < len(enc.token) // 10 and len(enc.steps) < len(enc.begins) // 10
+
+
 def test_token_files(spark, tmp_path, monkeypatch):
     rng = random.Random(3)
     texts = ODD + [sentence(rng, 200, "abcdeé' 12.,") for _ in range(200)]
