@@ -14,6 +14,8 @@ The arrays are the offset index: a document is read by its block's header and it
 from __future__ import annotations
 
 import hashlib
+import json
+import re
 import struct
 from collections.abc import Iterator
 
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pressmill.llm.bpe import text_slices
+from pressmill.llm.bpe import byte_letters, text_slices
 from pressmill.llm.common import pieces
 
 MAGIC = b"TOKZ0001"
@@ -33,53 +35,95 @@ BLOCK_BYTES = 4 << 20
 #: rows of a shard, about
 SHARD_ROWS = 20_000
 LEVEL = 3
-CACHED_CHUNKS = 500_000
-
-_TOKENIZERS: dict[str, tuple] = {}
+#: chunks and pieces of text kept by a worker; beyond it, the store starts afresh
+CACHED_CHUNKS = 300_000
+#: characters, and rows, worked on at a time
+SLICE, SLICE_ROWS = 1 << 20, 1000
+
+# the rules of the public vocabulary, and what they come to in texts of the Latin ranges up to U+017F
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PUBLIC_RULES = (
+    {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": _SPLIT}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]})
+_LETTER, _NUMBER = "A-Za-zªµºÀ-ÖØ-öø-ſ", "0-9²³¹¼-¾"
+LATIN_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^\s{_LETTER}{_NUMBER}]+")
+# the lower case of U+0130 has a mark that is no letter
+BEYOND_LATIN = re.compile("[^\t\n\r\x20-\x7e\xa1-\u012f\u0131-\u017f]")
+_BYTES = {b: c for c, b in byte_letters().items()}
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+class Encoder:
+    """The library's tokenizer of one vocabulary file, as text, with what it has encoded.
 
+    The vocabulary drops white space and none of its rules reaches across it, so a text is encoded by its chunks between
+    ASCII white space, each distinct chunk once. Latin texts under the public rules are cut into the pieces that the rules
+    lead to, and the library's model alone merges each distinct piece.
+    """
 
-def _tokenizer(spec: str):
-    """The library's tokenizer and the chunks it has encoded, kept by a worker between tasks."""
-    key = hashlib.sha256(spec.encode()).hexdigest()
-    if key not in _TOKENIZERS:
+    def __init__(self, spec: str):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(spec)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
-        _TOKENIZERS[key] = tokenizer, {}
-    return _TOKENIZERS[key]
-
-
-def encode_texts(texts: list[str], spec: str, end_id: int) -> list[bytes]:
-    """Ids of whole texts with ``end_id`` after each, as little-endian unsigned 32-bit integers.
-
-    The vocabulary drops white space and none of its rules reaches across it, so a text is encoded by its chunks between
-    ASCII white space, each distinct chunk once.
-    """
-    tokenizer, known = _tokenizer(spec)
-    if len(known) > CACHED_CHUNKS:
-        known.clear()
-    split = [t.encode().split() for t in texts]
-    new = list(set().union(*split) - known.keys()) if split else []
-    for a in range(0, len(new), 5000):
-        part = new[a:a + 5000]
-        for chunk, got in zip(part, tokenizer.encode_batch_fast([c.decode() for c in part], add_special_tokens=False),
-                              strict=True):
-            known[chunk] = np.array(got.ids, "<u4").tobytes()
-    end = struct.pack("<I", end_id)
-    return [b"".join(map(known.__getitem__, chunks)) + end for chunks in split]
+        data = json.loads(spec)
+        self.public = (data["normalizer"], data["pre_tokenizer"]) == PUBLIC_RULES
+        self.added = [t["content"] for t in data["added_tokens"]]
+        self.tokenizer = Tokenizer.from_str(spec)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
+        #: ids of pieces (text) and of chunks (bytes)
+        self.known: dict[str | bytes, bytes] = {}
+
+    def parts(self, text: str) -> list[str] | list[bytes]:
+        """The pieces of a Latin text, else the chunks."""
+        if self.public and not BEYOND_LATIN.search(text) and not any(t in text for t in self.added):
+            return LATIN_PIECES.findall(text.lower())
+        return text.encode().split()
+
+    def encode(self, texts: list[str], end_id: int) -> list[bytes]:
+        """Ids of whole texts with ``end_id`` after each, as little-endian unsigned 32-bit integers."""
+        if len(self.known) > CACHED_CHUNKS:
+            self.known.clear()
+        split = [self.parts(t) for t in texts]
+        new = set().union(*split) - self.known.keys()
+        chunks = [c for c in new if isinstance(c, bytes)]
+        for a in range(0, len(chunks), 1000):
+            part = chunks[a:a + 1000]
+            for chunk, got in zip(part, self.tokenizer.encode_batch_fast([c.decode() for c in part], add_special_tokens=False),
+                                  strict=True):
+                self.known[chunk] = np.array(got.ids, "<u4").tobytes()
+        for piece in new:
+            if isinstance(piece, str):
+                ids = [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(_BYTES))]
+                self.known[piece] = struct.pack(f"<{len(ids)}I", *ids)
+        end = struct.pack("<I", end_id)
+        return [b"".join(map(self.known.__getitem__, parts)) + end for parts in split]
+
+
+def encoder(spec: str) -> Encoder:
+    """One encoder for a worker process and vocabulary, kept between tasks."""
+    key = hashlib.sha256(spec.encode()).hexdigest()
+    if key not in _ENCODERS:
+        _ENCODERS[key] = Encoder(spec)
+    return _ENCODERS[key]
 
 
 def _encoded_slices(batches, spec, end_id: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of batches whose second column is the text, with the ids of their texts."""
+    enc = encoder(spec.value)
     for batch in batches:
-        texts = [t or "" for t in batch.column(1).to_pylist()]
-        for a, b in text_slices(texts):
-            yield batch.slice(a, b - a), encode_texts(texts[a:b], spec.value, end_id)
+        for start in range(0, batch.num_rows, SLICE_ROWS):
+            rows = batch.slice(start, SLICE_ROWS)
+            texts = [t or "" for t in rows.column(1).to_pylist()]
+            for a, b in text_slices(texts, SLICE):
+                yield rows.slice(a, b - a), enc.encode(texts[a:b], end_id)
 
 
 def _encoded(docs: DataFrame, spec, end_id: int, id_col: str, text_col: str) -> DataFrame:

@@ -93,6 +93,21 @@ def test_token_files(spark, tmp_path, monkeypatch):
     assert token_files.read_tokens(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_token_pieces_equal_the_library():
+    rng, tok = random.Random(5), Tokenizer.from_file(WORDS)
+    with open(WORDS, encoding="utf-8") as f:
+        enc = token_files.Encoder(f.read())
+    every = "".join(map(chr, [9, 10, 13, *range(32, 127), *range(0xa1, 0x180)]))
+    texts = [t or "" for t in ODD] + [sentence(rng, 40, every) for _ in range(40)] + [f"a{c}b {c}{c}'{c} {c}S" for c in every]
+    texts += ["Don'T WE'LL I'M 12½ x²", "a<|startoftext|>b", "ǅ Ⱥ \u0130I ŉ", "e\u0301", "\u212b\xa0b\x85c\x1cd\x0be"]
+    want = [np.array(tok.encode(t, add_special_tokens=False).ids + [1], "<u4").tobytes() for t in texts]
+    assert enc.encode(texts, 1) == want
+    # of a Latin text the pieces are kept, once for both cases and whatever sign follows
+    enc.known.clear()
+    enc.encode(["Stone stone stone. STONE, (stone)"], 1)
+    assert set(enc.known) == {"stone", ".", ",", "(", ")"}
+
+
 # -- vectors ------------------------------------------------------------------------------------------------------
 
 def vectors(spark, rows):
