@@ -250,6 +250,26 @@ def test_lines(spark):
     assert lines.dedup_lines(docs(spark, [])).count() == 0
 
 
+def test_line_pairs_are_verified_in_turns(spark, monkeypatch):
+    rng = random.Random(12)
+    base = [sentence(rng, 12) for _ in range(30)]
+    texts = base + [b + " more" for b in base] + [sentence(rng, 12) for _ in range(5)]
+    split = lines.split_lines(docs(spark, texts))
+    pairs = spark.createDataFrame([(30 + k, 0, k, 0) for k in range(30)] + [(60 + k, 0, k, 0) for k in range(5)],
+                                  "id long, pos int, o_id long, o_pos int")
+    steps, write = [], lines.written
+
+    def recorded(df, wait=0):
+        steps.append(write(df))
+        return steps[-1]
+
+    monkeypatch.setattr(lines, "written", recorded)
+    monkeypatch.setattr(lines, "TURNS", 3)
+    assert sorted(r.id for r in lines._similar(pairs, split).collect()) == list(range(30, 60))
+    found = [s.count() for s in steps if s.columns == ["id", "pos"]]
+    assert len(found) == 3 and sum(found) == 30 and max(found) < 30
+
+
 def test_lines_of_every_length(spark):
     rng = random.Random(13)
     words = sentence(rng, 9).split()
