@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pressmill.llm.common import RELEASED, written
+from pressmill.llm.common import written
 
 #: lines are similar if PERCENT * union <= 100 * intersection of their distinct words
 PERCENT = 80
@@ -52,7 +52,7 @@ def _words(text: Column, spaces: str = LINE_SPACE) -> Column:
 def word_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """How often words of each bucket occur in all texts (COUNT_BUCKETS numbers, a bounded result)."""
     words = docs.select(F.explode(_words(F.col(text_col), TEXT_SPACE)).alias("w"))
-    rows = words.select(_bucket(F.xxhash64("w")).alias("b")).groupBy("b").count().toArrow()
+    rows = written(words.select(_bucket(F.xxhash64("w")).alias("b")).groupBy("b").count()).toArrow()
     counts = np.zeros(COUNT_BUCKETS, np.int64)
     counts[rows["b"].to_numpy()] = rows["count"].to_numpy()
     return counts
@@ -117,15 +117,14 @@ def _similar(pairs: DataFrame, split: DataFrame) -> DataFrame:
     lines each; the shuffle files of a turn are gone before the next.
     """
     named = pairs.select("id", "pos").union(pairs.select("o_id", "o_pos")).distinct()
-    lines = written(split.join(named, ["id", "pos"]).select("id", "pos", F.array_distinct(_words(F.col("line"))).alias("a")), RELEASED)
+    lines = written(split.join(named, ["id", "pos"]).select("id", "pos", F.array_distinct(_words(F.col("line"))).alias("a")))
     early = lines.select(F.col("id").alias("o_id"), F.col("pos").alias("o_pos"), F.col("a").alias("b"))
     shared = F.size(F.array_intersect("a", "b"))
     found = None
     for turn in range(TURNS):
         mine = F.pmod(F.xxhash64("id", "pos"), F.lit(TURNS)) == turn
         both = pairs.where(mine).join(lines.where(mine), ["id", "pos"]).join(early, ["o_id", "o_pos"])
-        part = written(both.where(100 * shared >= PERCENT * (F.size("a") + F.size("b") - shared)).select("id", "pos").distinct(), RELEASED)
-        del both
+        part = written(both.where(100 * shared >= PERCENT * (F.size("a") + F.size("b") - shared)).select("id", "pos").distinct())
         found = part if found is None else found.union(part)
     return found
 
@@ -142,7 +141,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     compared = split.where(F.col("line").rlike(LONG_ENOUGH % (least_words - 1)))
     classes = compared.select("id", "pos", F.xxhash64("line").alias("h"), F.crc32("line").alias("c"))
     lead = classes.groupBy("h", "c").agg(F.min(F.struct("id", "pos")).alias("f"))
-    copies = written(classes.join(lead, ["h", "c"]).where((F.col("id") != F.col("f.id")) | (F.col("pos") != F.col("f.pos"))).select("id", "pos"), RELEASED)
+    copies = written(classes.join(lead, ["h", "c"]).where((F.col("id") != F.col("f.id")) | (F.col("pos") != F.col("f.pos"))).select("id", "pos"))
     firsts = (compared.withColumn("words", F.array_distinct(_words(F.col("line"))))
               .select("id", "pos", F.size("words").alias("n"), _keys(F.col("words"), counts).alias("keys"))
               .join(copies, ["id", "pos"], "left_anti"))
@@ -158,15 +157,15 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     later = (F.col("id") != F.col("o.id")) | (F.col("pos") != F.col("o.pos"))
     leader = F.when(later & _possible("n", "i", "o.n", "o.i"), F.struct("o.id", "o.pos"))
     met = written(entries.withColumn("o", first).withColumn("more", follows).where(F.when(F.col("key") < 0, leader.isNotNull()).otherwise(F.col("more") | later))
-                  .select("key", "id", "pos", "n", leader.alias("leader")), RELEASED)
-    star = written(met.where("leader is not null").select("id", "pos", F.col("leader.id").alias("o_id"), F.col("leader.pos").alias("o_pos")).distinct(), RELEASED)
+                  .select("key", "id", "pos", "n", leader.alias("leader")))
+    star = written(met.where("leader is not null").select("id", "pos", F.col("leader.id").alias("o_id"), F.col("leader.pos").alias("o_pos")).distinct())
     gone = _similar(star, split)
     # lines that stay so far meet all earlier lines of their keys but the leader; lines that went may be the earlier ones
     left = met.where("key >= 0").join(gone, ["id", "pos"], "left_anti").select("key", "id", "pos", "n")
     early = met.where("key >= 0").select("key", F.col("id").alias("o_id"), F.col("pos").alias("o_pos"), F.col("n").alias("o_n"))
     rest = written(left.join(early, "key").where(_before("o_id", "o_pos", "id", "pos") & _near_length("n", "o_n"))
                    .groupBy("id", "pos", "n", "o_id", "o_pos", "o_n").count().where(_enough("count", "n", "o_n"))
-                   .select("id", "pos", "o_id", "o_pos"), RELEASED)
+                   .select("id", "pos", "o_id", "o_pos"))
     return written(copies.union(gone).union(_similar(rest, split)))
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from pressmill import session
 from pressmill.llm import bpe, embeddings, language, lines, mixing, near_documents, quality, queries, repeats, token_files, topk
 from pressmill.llm.common import components, forest
 
@@ -47,6 +48,18 @@ def test_components(spark):
 
 # -- tokens -------------------------------------------------------------------------------------------------------
 
+def test_written_tables_leave_no_shuffle_files(spark):
+    files = lambda: {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(
+        spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_")}
+    before, setting = files(), spark.conf.get(session.DROP_SHUFFLES, None)
+    kept = spark.range(1000).repartition(4, "id").groupBy((F.col("id") % 7).alias("k")).count()
+    table = session.cut_lineage(kept)
+    assert not files() - before
+    assert spark.conf.get(session.DROP_SHUFFLES, None) == setting
+    # what was written can be used again, as can the table
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, table.collect())) == [(k, len(range(k, 1000, 7))) for k in range(7)]
+
+
 def test_trie_encoding_equals_the_library(spark):
     rng = random.Random(2)
     texts = ODD + [sentence(rng, 40, "abcdeéß' 12.,") for _ in range(40)] * 2
