@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pressmill.llm.common import written
+from pressmill.session import remove_table
 
 #: lines are similar if PERCENT * union <= 100 * intersection of their distinct words
 PERCENT = 80
@@ -97,6 +98,12 @@ def _possible(n_a: str, i_a: str, n_b: str, i_b: str) -> Column:
     return _near_length(n_a, n_b) & (rest * (100 + PERCENT) >= PERCENT * (F.col(n_a) + F.col(n_b)))
 
 
+def _never_beyond(n_a: str, i_a: str, n_b: str, i_b: str) -> Column:
+    """The bounds for two lines that share the words at places i_a and i_b and, before them, as many as there can be."""
+    most = 1 + F.least(i_a, i_b) + F.least(F.col(n_a) - 1 - F.col(i_a), F.col(n_b) - 1 - F.col(i_b))
+    return _near_length(n_a, n_b) & (most * (100 + PERCENT) >= PERCENT * (F.col(n_a) + F.col(n_b)))
+
+
 def _near_length(n_a: str, n_b: str) -> Column:
     return 100 * F.least(n_a, n_b) >= PERCENT * F.greatest(n_a, n_b)
 
@@ -114,18 +121,29 @@ def _similar(pairs: DataFrame, split: DataFrame) -> DataFrame:
     """(id, pos) of the later lines of ``pairs`` (id, pos, o_id, o_pos) that are similar to the earlier ones.
 
     A line's words go with each of its pairs, so the pairs are held against each other in turns, a share of the later
-    lines each; the shuffle files of a turn are gone before the next.
+    lines each, with the earlier lines that they name.
     """
-    named = pairs.select("id", "pos").union(pairs.select("o_id", "o_pos")).distinct()
-    lines = written(split.join(named, ["id", "pos"]).select("id", "pos", F.array_distinct(_words(F.col("line"))).alias("a")))
-    early = lines.select(F.col("id").alias("o_id"), F.col("pos").alias("o_pos"), F.col("a").alias("b"))
+    def turn_of(*line):
+        return F.pmod(F.xxhash64(*line), F.lit(TURNS)).cast("int")
+
+    def has(bit):
+        return F.col("turns").bitwiseAND(F.lit(1 << bit)) != 0
+
+    # a bit for each turn in which a line is an earlier one, and one if it is a later one
+    named = (pairs.select("id", "pos", F.lit(1 << TURNS).alias("turns"))
+             .union(pairs.select("o_id", "o_pos", F.call_function("shiftleft", F.lit(1), turn_of("id", "pos"))))
+             .groupBy("id", "pos").agg(F.bit_or("turns").alias("turns")))
+    lines = written(split.join(named, ["id", "pos"]).select("id", "pos", "turns", F.array_distinct(_words(F.col("line"))).alias("a")))
     shared = F.size(F.array_intersect("a", "b"))
     found = None
     for turn in range(TURNS):
-        mine = F.pmod(F.xxhash64("id", "pos"), F.lit(TURNS)) == turn
-        both = pairs.where(mine).join(lines.where(mine), ["id", "pos"]).join(early, ["o_id", "o_pos"])
+        mine = turn_of("id", "pos") == turn
+        late = lines.where(mine & has(TURNS)).select("id", "pos", "a")
+        early = lines.where(has(turn)).select(F.col("id").alias("o_id"), F.col("pos").alias("o_pos"), F.col("a").alias("b"))
+        both = pairs.where(mine).join(late, ["id", "pos"]).join(early, ["o_id", "o_pos"])
         part = written(both.where(100 * shared >= PERCENT * (F.size("a") + F.size("b") - shared)).select("id", "pos").distinct())
         found = part if found is None else found.union(part)
+    remove_table(lines)
     return found
 
 
@@ -157,15 +175,16 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     later = (F.col("id") != F.col("o.id")) | (F.col("pos") != F.col("o.pos"))
     leader = F.when(later & _possible("n", "i", "o.n", "o.i"), F.struct("o.id", "o.pos"))
     met = written(entries.withColumn("o", first).withColumn("more", follows).where(F.when(F.col("key") < 0, leader.isNotNull()).otherwise(F.col("more") | later))
-                  .select("key", "id", "pos", "n", leader.alias("leader")))
+                  .select("key", "id", "pos", "n", "i", leader.alias("leader")))
     star = written(met.where("leader is not null").select("id", "pos", F.col("leader.id").alias("o_id"), F.col("leader.pos").alias("o_pos")).distinct())
     gone = _similar(star, split)
     # lines that stay so far meet all earlier lines of their keys but the leader; lines that went may be the earlier ones
-    left = met.where("key >= 0").join(gone, ["id", "pos"], "left_anti").select("key", "id", "pos", "n")
-    early = met.where("key >= 0").select("key", F.col("id").alias("o_id"), F.col("pos").alias("o_pos"), F.col("n").alias("o_n"))
-    rest = written(left.join(early, "key").where(_before("o_id", "o_pos", "id", "pos") & _near_length("n", "o_n"))
+    left = met.where("key >= 0").join(gone, ["id", "pos"], "left_anti").select("key", "id", "pos", "n", "i")
+    early = met.where("key >= 0").select("key", F.col("id").alias("o_id"), F.col("pos").alias("o_pos"), F.col("n").alias("o_n"), F.col("i").alias("o_i"))
+    rest = written(left.join(early, "key").where(_before("o_id", "o_pos", "id", "pos") & _never_beyond("n", "i", "o_n", "o_i"))
                    .groupBy("id", "pos", "n", "o_id", "o_pos", "o_n").count().where(_enough("count", "n", "o_n"))
                    .select("id", "pos", "o_id", "o_pos"))
+    remove_table(met)
     return written(copies.union(gone).union(_similar(rest, split)))
 
 

@@ -1,5 +1,6 @@
 """Every operator against a plain version, on rows with nulls, empty texts, ties, copies and foreign columns."""
 
+import glob
 import hashlib
 import random
 import re
@@ -283,6 +284,23 @@ def test_line_pairs_are_verified_in_turns(spark, monkeypatch):
     assert len(found) == 3 and sum(found) == 30 and max(found) < 30
 
 
+def test_line_pairs_beyond_the_bound_of_places_are_not_verified(spark, monkeypatch):
+    # 20 words each; the rare words that two lines share stand at the start of one prefix and at the end of the other
+    common = [f"w{k}" for k in range(16)]
+    texts = [" ".join([f"a{k}" for k in range(4)] + common), " ".join([f"b{k}" for k in range(4)] + common),
+             " ".join(["a3"] + [f"c{k}" for k in range(19)]), " ".join(["a0"] + [f"d{k}" for k in range(19)])]
+    n, places = 20, [(0, 0), (0, 2), (0, 3), (4, 1), (2, 4)]
+    rows = spark.createDataFrame([(n, i, n, j) for i, j in places], "n int, i int, o_n int, o_i int")
+    kept = [(r.i, r.o_i) for r in rows.where(lines._never_beyond("n", "i", "o_n", "o_i")).collect()]
+    # 18 of 20 words must be shared: from places i and j on, 1 + min(i, j) + 19 - max(i, j) can be
+    assert kept == [(0, 0), (0, 2), (2, 4)]
+    tables, write = [], lines.written
+    monkeypatch.setattr(lines, "written", lambda df: tables.append(write(df)) or tables[-1])
+    assert lines.repeated_lines(docs(spark, texts)).count() == 0
+    # words of lines, and what met, are gone when nothing reads them any more; earlier lines come in the turns that name them
+    assert not any(glob.glob(f.removeprefix("file:")) for t in tables if {"a", "leader"} & set(t.columns) for f in t.inputFiles())
+
+
 def test_lines_of_every_length(spark):
     rng = random.Random(13)
     words = sentence(rng, 9).split()
