@@ -108,13 +108,28 @@ def _near_length(n_a: str, n_b: str) -> Column:
     return 100 * F.least(n_a, n_b) >= PERCENT * F.greatest(n_a, n_b)
 
 
-def _enough(shared: str, n_a: str, n_b: str) -> Column:
+def _marks(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``marks``: a bit of 64 for each of its ``keys``, and ``lost``: how many keys have found theirs taken."""
+    def bit(key):
+        return F.call_function("shiftleft", F.lit(1).cast("long"), key.bitwiseAND(F.lit(63)).cast("int"))
+
+    marks = F.aggregate("keys", F.lit(0).cast("long"), lambda all_, k: all_.bitwiseOR(bit(k["key"])))
+    # a one-row explode keeps an expression from being copied to each place that names it
+    return rows.select("*", F.explode(F.array(marks)).alias("marks")).withColumn("lost", F.size("keys") - F.bit_count("marks"))
+
+
+def _most_shared(marks_a: str, lost_a: str, marks_b: str, lost_b: str) -> Column:
+    """How many keys two lines share at most: of shared keys, no more are without a bit of their own than either line has lost."""
+    return F.bit_count(F.col(marks_a).bitwiseAND(F.col(marks_b))) + F.least(lost_a, lost_b)
+
+
+def _enough(shared: Column, n_a: str, n_b: str) -> Column:
     """Whether lines that share so many indexed words can be similar.
 
     The prefix of one of them lies wholly within what both index, so beyond those words they share the rest of it at most.
     """
     beyond = F.greatest(*(F.ceil(F.col(n) * (PERCENT / 100) - 1e-9) - 1 for n in (n_a, n_b)))
-    return (F.col(shared) + beyond) * (100 + PERCENT) >= PERCENT * (F.col(n_a) + F.col(n_b))
+    return (shared + beyond) * (100 + PERCENT) >= PERCENT * (F.col(n_a) + F.col(n_b))
 
 
 def _similar(pairs: DataFrame, split: DataFrame) -> DataFrame:
@@ -161,9 +176,10 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     lead = classes.groupBy("h", "c").agg(F.min(F.struct("id", "pos")).alias("f"))
     copies = written(classes.join(lead, ["h", "c"]).where((F.col("id") != F.col("f.id")) | (F.col("pos") != F.col("f.pos"))).select("id", "pos"))
     firsts = (compared.withColumn("words", F.array_distinct(_words(F.col("line"))))
-              .select("id", "pos", F.size("words").alias("n"), _keys(F.col("words"), counts).alias("keys"))
+              .select("id", "pos", F.size("words").alias("n"), F.explode(F.array(_keys(F.col("words"), counts))).alias("keys"))
               .join(copies, ["id", "pos"], "left_anti"))
-    entries = firsts.select("id", "pos", "n", F.inline("keys"))
+    firsts = _marks(firsts)
+    entries = firsts.select("id", "pos", "n", "marks", "lost", F.inline("keys"))
     # words of one line only are most of the entries; one exchange and sort finds both them and the first line of the others
     by_key = Window.partitionBy("key").orderBy("id", "pos")
     so_far = by_key.rowsBetween(Window.unboundedPreceding, 0)
@@ -175,14 +191,15 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     later = (F.col("id") != F.col("o.id")) | (F.col("pos") != F.col("o.pos"))
     leader = F.when(later & _possible("n", "i", "o.n", "o.i"), F.struct("o.id", "o.pos"))
     met = written(entries.withColumn("o", first).withColumn("more", follows).where(F.when(F.col("key") < 0, leader.isNotNull()).otherwise(F.col("more") | later))
-                  .select("key", "id", "pos", "n", "i", leader.alias("leader")))
+                  .select("key", "id", "pos", "n", "i", "marks", "lost", leader.alias("leader")))
     star = written(met.where("leader is not null").select("id", "pos", F.col("leader.id").alias("o_id"), F.col("leader.pos").alias("o_pos")).distinct())
     gone = _similar(star, split)
     # lines that stay so far meet all earlier lines of their keys but the leader; lines that went may be the earlier ones
-    left = met.where("key >= 0").join(gone, ["id", "pos"], "left_anti").select("key", "id", "pos", "n", "i")
-    early = met.where("key >= 0").select("key", F.col("id").alias("o_id"), F.col("pos").alias("o_pos"), F.col("n").alias("o_n"), F.col("i").alias("o_i"))
-    rest = written(left.join(early, "key").where(_before("o_id", "o_pos", "id", "pos") & _never_beyond("n", "i", "o_n", "o_i"))
-                   .groupBy("id", "pos", "n", "o_id", "o_pos", "o_n").count().where(_enough("count", "n", "o_n"))
+    left = met.where("key >= 0").join(gone, ["id", "pos"], "left_anti").drop("leader")
+    early = met.where("key >= 0").select("key", *(F.col(c).alias(f"o_{c}") for c in ("id", "pos", "n", "i", "marks", "lost")))
+    can_be = _never_beyond("n", "i", "o_n", "o_i") & _enough(_most_shared("marks", "lost", "o_marks", "o_lost"), "n", "o_n")
+    rest = written(left.join(early, "key").where(_before("o_id", "o_pos", "id", "pos") & can_be)
+                   .groupBy("id", "pos", "n", "o_id", "o_pos", "o_n").count().where(_enough(F.col("count"), "n", "o_n"))
                    .select("id", "pos", "o_id", "o_pos"))
     remove_table(met)
     return written(copies.union(gone).union(_similar(rest, split)))

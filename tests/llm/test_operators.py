@@ -301,6 +301,18 @@ def test_line_pairs_beyond_the_bound_of_places_are_not_verified(spark, monkeypat
     assert not any(glob.glob(f.removeprefix("file:")) for t in tables if {"a", "leader"} & set(t.columns) for f in t.inputFiles())
 
 
+def test_marks_bound_the_shared_keys(spark):
+    rng = random.Random(7)
+    sets = [[rng.sample(range(400), rng.randint(1, 60)) for _ in range(2)] for _ in range(300)]
+    marked = lambda side: lines._marks(spark.createDataFrame(
+        [(k, list(enumerate(pair[side]))) for k, pair in enumerate(sets)], "k int, keys array<struct<i:int,key:long>>")).drop("keys")
+    both = marked(0).join(marked(1).withColumnsRenamed({"marks": "o_marks", "lost": "o_lost"}), "k")
+    most = {r.k: r.most for r in both.select("k", lines._most_shared("marks", "lost", "o_marks", "o_lost").alias("most")).collect()}
+    shared = [len(set(a) & set(b)) for a, b in sets]
+    assert all(most[k] >= n for k, n in enumerate(shared))
+    assert any(most[k] < min(len(a), len(b)) for k, (a, b) in enumerate(sets))
+
+
 def test_lines_of_every_length(spark):
     rng = random.Random(13)
     words = sentence(rng, 9).split()
