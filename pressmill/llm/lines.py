@@ -7,6 +7,8 @@ sets are similar, and of four words also those with one more: such lines meet by
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,10 +25,18 @@ LEAST_WORDS = 1
 SET_WORDS = 5
 #: the bit that tells the key of a whole set from that of a word
 SET_KEY = -1 << 63
-#: buckets of the word counts that order words by rarity; fixed, whatever the corpus
-COUNT_BUCKETS = 1 << 19
-#: turns in which pairs of lines are verified
+#: buckets of the word counts that order words by rarity; fixed, whatever the corpus, as each plan with them spells them out
+COUNT_BUCKETS = 1 << 18
+#: turns in which lines meet, and in which pairs of lines are verified
 TURNS = 4
+#: bits of a word's hash in its number, below the step of rarity
+HASH_BITS = 57
+#: of so many of its rarest words a line is first held against the earliest line
+STAR_KEYS = 6
+#: half the width of a band of word counts, as a logarithm: a little more than similar lines differ at most
+BAND = math.log(1.01 * 100 / PERCENT)
+#: words from which on lines are told apart by 128 bits
+LONG = 32
 #: white space that separates words of a line, and of a text, beside the blank
 LINE_SPACE, TEXT_SPACE = "\t\x0b\f\r", "\t\n\x0b\f\r"
 #: a line of so many words and one more; only its first words are looked at
@@ -43,11 +53,15 @@ def split_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.col(id_col).alias("id"), F.posexplode(F.split(text_col, "\n", -1)).alias("pos", "line"))
 
 
-def _words(text: Column, spaces: str = LINE_SPACE) -> Column:
+def _one_space(text: Column, spaces: str) -> Column:
     # a split at one plain character needs no regular expression
     for c in spaces:
         text = F.replace(text, F.lit(c), F.lit(" "))
-    return F.array_remove(F.split(text, " "), "")
+    return text
+
+
+def _words(text: Column, spaces: str = LINE_SPACE) -> Column:
+    return F.array_remove(F.split(_one_space(text, spaces), " "), "")
 
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
@@ -59,33 +73,60 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     return counts
 
 
-def _prefix(words: Column, counts: np.ndarray) -> Column:
-    """The words that are indexed, rarest first, as numbers: a step of rarity in the high bits, the word's hash below."""
-    # one printable byte per bucket: a binary constant is read at a place without being copied
-    steps = F.lit(bytearray((33 + np.minimum(93, 4 * np.log2(counts + 1))).astype(np.uint8).tobytes()))
+def _steps(counts: np.ndarray) -> Column:
+    """The step of rarity of each bucket, 0 to 63, as a printable byte: a binary constant is read at a place without being copied."""
+    return F.lit(bytearray((33 + np.minimum(63, np.round(1.5 * np.log2(counts + 1)))).astype(np.uint8).tobytes()))
+
+
+def _numbers(line: Column, steps: Column) -> Column:
+    """The distinct words of a line, rarest first, as numbers: a step of rarity in the high bits, the word's hash below."""
+    hashes = F.array_distinct(F.transform(F.split(_one_space(line, LINE_SPACE), " "), lambda w: F.xxhash64(w)))
+    words = F.array_remove(hashes, F.xxhash64(F.lit("")))
+    step = lambda h: F.ascii(F.substring(steps, _bucket(h) + 1, F.lit(1)).cast("string")) - 33
+    return F.sort_array(F.transform(words, lambda h: F.shiftleft(step(h).cast("long"), HASH_BITS).bitwiseOR(
+        h.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))))
+
+
+def _prefix() -> Column:
+    """Of the words ``numbers`` those that are indexed."""
+    n = F.size("numbers")
+    return F.when(n < SET_WORDS, F.array().cast("array<long>")).otherwise(
+        F.slice("numbers", 1, (n - F.ceil(n * (PERCENT / 100) - 1e-9) + 1).cast("int")))
 
-    def number(w):
-        h = F.xxhash64(w)
-        step = F.ascii(F.substring(steps, _bucket(h) + 1, F.lit(1)).cast("string"))
-        return F.shiftleft(step.cast("long"), 43).bitwiseOR(h.bitwiseAND(F.lit((1 << 43) - 1)))
 
-    n = F.size(words)
-    return F.slice(F.sort_array(F.transform(words, number)), 1, (n - F.ceil(n * (PERCENT / 100) - 1e-9) + 1).cast("int"))
+def _sets() -> Column:
+    """The keys of the whole set of few words; of SET_WORDS words those of the sets without one, as a line of these is similar."""
+    def whole(words):
+        return F.xxhash64(words).bitwiseOR(F.lit(SET_KEY))
 
+    n, words = F.size("numbers"), F.col("numbers")
+    return (F.when(n < SET_WORDS, F.array(whole(words)))
+            .when(n == SET_WORDS, F.transform(words, lambda w: whole(F.filter(words, lambda o: o != w))))
+            .otherwise(F.array().cast("array<long>")))
 
-def _keys(words: Column, counts: np.ndarray) -> Column:
-    """(i, key) of what a line is indexed by: its prefix, or, of few words, their whole set.
 
-    A line of SET_WORDS words is also indexed by its sets without one of them, as a line of these words alone is similar.
-    Sets have the place -1.
+def _parities() -> list[Column]:
+    """``parity``: a bit of 64 for each word, flipped by each word that has it; ``part``: the same of about half of the words.
+
+    Each word that one of two lines has and the other lacks flips one bit, so parities differ in as many bits at most. Of long
+    lines ``part`` and the rest of ``parity`` are told apart, as 128 bits.
     """
-    def whole(w):
-        return F.struct(F.lit(-1).alias("i"), F.xxhash64(F.sort_array(w)).bitwiseOR(F.lit(SET_KEY)).alias("key"))
+    def flipped(words):
+        return F.aggregate(words, F.lit(0).cast("long"), lambda all_, h: all_.bitwiseXOR(
+            F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))))
+
+    half = F.filter("numbers", lambda h: h.bitwiseAND(F.lit(64)) == 0)
+    return [flipped("numbers").alias("parity"), F.when(F.size("numbers") >= LONG, flipped(half)).otherwise(F.lit(0).cast("long")).alias("part")]
+
 
-    prefix = F.transform(_prefix(words, counts), lambda k, i: F.struct(i.alias("i"), k.alias("key")))
-    fewer = F.transform(words, lambda w: whole(F.filter(words, lambda o: o != w)))
-    return (F.when(F.size(words) < SET_WORDS, F.array(whole(words)))
-            .when(F.size(words) == SET_WORDS, F.concat(prefix, fewer)).otherwise(prefix))
+def _near_parity(a: str, b: str) -> Column:
+    """Whether the words that one of the lines ``a`` and ``b`` (prefixes of column names) lacks of the other can be few enough."""
+    def col(name):
+        return F.col(a + name).bitwiseXOR(F.col(b + name))
+
+    both = F.bit_count(col("part")) + F.bit_count(col("parity").bitwiseXOR(col("part")))
+    edits = F.when(F.least(a + "n", b + "n") >= LONG, both).otherwise(F.bit_count(col("parity")))
+    return edits * (100 + PERCENT) <= (100 - PERCENT) * (F.col(a + "n") + F.col(b + "n"))
 
 
 def _before(a_id: str, a_pos: str, b_id: str, b_pos: str) -> Column:
@@ -123,15 +164,6 @@ def _most_shared(marks_a: str, lost_a: str, marks_b: str, lost_b: str) -> Column
     return F.bit_count(F.col(marks_a).bitwiseAND(F.col(marks_b))) + F.least(lost_a, lost_b)
 
 
-def _enough(shared: Column, n_a: str, n_b: str) -> Column:
-    """Whether lines that share so many indexed words can be similar.
-
-    The prefix of one of them lies wholly within what both index, so beyond those words they share the rest of it at most.
-    """
-    beyond = F.greatest(*(F.ceil(F.col(n) * (PERCENT / 100) - 1e-9) - 1 for n in (n_a, n_b)))
-    return (shared + beyond) * (100 + PERCENT) >= PERCENT * (F.col(n_a) + F.col(n_b))
-
-
 def _similar(pairs: DataFrame, split: DataFrame) -> DataFrame:
     """(id, pos) of the later lines of ``pairs`` (id, pos, o_id, o_pos) that are similar to the earlier ones.
 
@@ -162,46 +194,67 @@ def _similar(pairs: DataFrame, split: DataFrame) -> DataFrame:
     return found
 
 
+def _index(rows: DataFrame, keys: str | Column) -> DataFrame:
+    """A row per key: id, pos, n, parity, part, i, key."""
+    return rows.select("id", "pos", "n", "parity", "part", F.posexplode(keys).alias("i", "key"))
+
+
+def _star(firsts: DataFrame) -> DataFrame:
+    """(id, pos, o_id, o_pos): lines with the earliest line under their rarest words, and under their sets."""
+    entries = _index(firsts, F.concat(F.slice("keys", 1, STAR_KEYS), "sets")).withColumn("i", F.when(F.col("key") < 0, -1).otherwise(F.col("i")))
+    so_far = Window.partitionBy("key").orderBy("id", "pos").rowsBetween(Window.unboundedPreceding, 0)
+    entry = F.struct("id", "pos", "n", "i", "parity", "part")
+    # two lines of SET_WORDS words that share all but one are not similar
+    first = F.when((F.col("key") < 0) & (F.col("n") == SET_WORDS), F.first(F.when(F.col("n") < SET_WORDS, entry), ignorenulls=True).over(so_far)
+                   ).otherwise(F.first(entry).over(so_far))
+    met = entries.withColumn("o", first).where((F.col("id") != F.col("o.id")) | (F.col("pos") != F.col("o.pos")))
+    met = met.select(*entries.columns, *(F.col(f"o.{c}").alias(f"o_{c}") for c in ("id", "pos", "n", "i", "parity", "part")))
+    return written(met.where(_possible("n", "i", "o_n", "o_i") & _near_parity("", "o_")).select("id", "pos", "o_id", "o_pos").distinct())
+
+
+def _met(left: DataFrame, firsts: DataFrame) -> DataFrame:
+    """(id, pos, o_id, o_pos): lines of ``left`` with all earlier ones that can be similar, by the rarest word they share.
+
+    Words are taken in turns, a share of them each. Only lines of like length meet: those of one band of word counts and of
+    the neighbouring band that is nearer, which reaches as far as similar lines can differ.
+    """
+    place = F.log(F.col("n").cast("double")) / (2 * BAND)
+    band = F.floor(place).cast("int")
+    bands = F.array(band, F.when(place - band < 0.5, band - 1).otherwise(band + 1))
+    found = None
+    for turn in range(TURNS):
+        mine = F.pmod("key", F.lit(TURNS)) == turn
+        late = _index(left, "keys").where(mine).select("*", F.explode(bands).alias("band"))
+        early = _index(firsts, "keys").where(mine).select("key", band.alias("band"), *(
+            F.col(c).alias(f"o_{c}") for c in ("id", "pos", "n", "i", "parity", "part")))
+        part = written(late.join(early, ["key", "band"]).where(
+            _before("o_id", "o_pos", "id", "pos") & _possible("n", "i", "o_n", "o_i") & _near_parity("", "o_"))
+            .select("id", "pos", "o_id", "o_pos").distinct())
+        found = part if found is None else found.union(part)
+    return found.distinct()
+
+
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
     """(id, pos) of every line that is similar to an earlier one, of the same or a smaller id.
 
-    Equal lines are one for the join, so a very common line costs one row per map task. The lines that meet under a word
-    are first held against the earliest of them; only lines that this leaves are held against all earlier ones. Lines that
-    meet by a whole set need that first step only: the earliest line that can be similar to them is.
+    Equal lines are one for the join, so a very common line costs one row per map task. Lines are first held against the
+    earliest ones that share one of their rarest words; only lines that this leaves are held against all earlier ones. Lines
+    that meet by a whole set need that first step only: the earliest line that can be similar to them is.
     """
     split = split_lines(docs, id_col, text_col)
-    counts = word_counts(docs.where(F.col(text_col).isNotNull()), text_col)
+    steps = _steps(word_counts(docs.where(F.col(text_col).isNotNull()), text_col))
     compared = split.where(F.col("line").rlike(LONG_ENOUGH % (least_words - 1)))
     classes = compared.select("id", "pos", F.xxhash64("line").alias("h"), F.crc32("line").alias("c"))
     lead = classes.groupBy("h", "c").agg(F.min(F.struct("id", "pos")).alias("f"))
     copies = written(classes.join(lead, ["h", "c"]).where((F.col("id") != F.col("f.id")) | (F.col("pos") != F.col("f.pos"))).select("id", "pos"))
-    firsts = (compared.withColumn("words", F.array_distinct(_words(F.col("line"))))
-              .select("id", "pos", F.size("words").alias("n"), F.explode(F.array(_keys(F.col("words"), counts))).alias("keys"))
-              .join(copies, ["id", "pos"], "left_anti"))
-    firsts = _marks(firsts)
-    entries = firsts.select("id", "pos", "n", "marks", "lost", F.inline("keys"))
-    # words of one line only are most of the entries; one exchange and sort finds both them and the first line of the others
-    by_key = Window.partitionBy("key").orderBy("id", "pos")
-    so_far = by_key.rowsBetween(Window.unboundedPreceding, 0)
-    entry = F.struct("id", "pos", "n", "i")
-    # two lines of SET_WORDS words that share all but one are not similar
-    first = F.when((F.col("key") < 0) & (F.col("n") == SET_WORDS), F.first(F.when(F.col("n") < SET_WORDS, entry), ignorenulls=True).over(so_far)
-                   ).otherwise(F.first(entry).over(so_far))
-    follows = F.lead("id").over(by_key).isNotNull()
-    later = (F.col("id") != F.col("o.id")) | (F.col("pos") != F.col("o.pos"))
-    leader = F.when(later & _possible("n", "i", "o.n", "o.i"), F.struct("o.id", "o.pos"))
-    met = written(entries.withColumn("o", first).withColumn("more", follows).where(F.when(F.col("key") < 0, leader.isNotNull()).otherwise(F.col("more") | later))
-                  .select("key", "id", "pos", "n", "i", "marks", "lost", leader.alias("leader")))
-    star = written(met.where("leader is not null").select("id", "pos", F.col("leader.id").alias("o_id"), F.col("leader.pos").alias("o_pos")).distinct())
-    gone = _similar(star, split)
-    # lines that stay so far meet all earlier lines of their keys but the leader; lines that went may be the earlier ones
-    left = met.where("key >= 0").join(gone, ["id", "pos"], "left_anti").drop("leader")
-    early = met.where("key >= 0").select("key", *(F.col(c).alias(f"o_{c}") for c in ("id", "pos", "n", "i", "marks", "lost")))
-    can_be = _never_beyond("n", "i", "o_n", "o_i") & _enough(_most_shared("marks", "lost", "o_marks", "o_lost"), "n", "o_n")
-    rest = written(left.join(early, "key").where(_before("o_id", "o_pos", "id", "pos") & can_be)
-                   .groupBy("id", "pos", "n", "o_id", "o_pos", "o_n").count().where(_enough(F.col("count"), "n", "o_n"))
-                   .select("id", "pos", "o_id", "o_pos"))
-    remove_table(met)
+    # a one-row explode keeps an expression from being copied to each place that names it
+    numbered = compared.select("id", "pos", F.explode(F.array(_numbers(F.col("line"), steps))).alias("numbers"))
+    firsts = written(numbered.select("id", "pos", F.size("numbers").alias("n"), *_parities(), _prefix().alias("keys"), _sets().alias("sets"))
+                     .join(copies, ["id", "pos"], "left_anti"))
+    gone = _similar(_star(firsts), split)
+    left = firsts.join(gone, ["id", "pos"], "left_anti")
+    rest = written(_met(left, firsts))
+    remove_table(firsts)
     return written(copies.union(gone).union(_similar(rest, split)))
 
 

@@ -313,6 +313,41 @@ def test_marks_bound_the_shared_keys(spark):
     assert any(most[k] < min(len(a), len(b)) for k, (a, b) in enumerate(sets))
 
 
+def test_lines_of_the_same_words_are_ruled_out_before_their_words_are_compared(spark, monkeypatch):
+    """Lines of a small vocabulary meet under many words; nearly no pair of unlike ones is left to verify, no index row is written."""
+    rng = random.Random(17)
+    words = [f"word{k}" for k in range(60)]
+    texts = ["\n".join(" ".join(rng.sample(words, rng.choice([24, 40]))) for _ in range(20)) for _ in range(15)]
+    texts.append(" ".join(texts[3].split("\n")[5].split()[:-1] + ["other"]))
+    tables, write = [], lines.written
+    monkeypatch.setattr(lines, "written", lambda df: tables.append((df.columns, write(df), df.count())) or tables[-1][1])
+    assert [tuple(r) for r in lines.repeated_lines(docs(spark, texts)).collect()] == [(15, 0)]
+    assert not any("key" in columns for columns, *_ in tables)
+    pairs = [n for columns, _, n in tables if columns == ["id", "pos", "o_id", "o_pos"]]
+    assert 1 <= sum(pairs) < 40
+    assert not any(glob.glob(f.removeprefix("file:")) for columns, t, _ in tables if "keys" in columns for f in t.inputFiles())
+
+
+def test_parities_rule_out_no_similar_line(spark):
+    rng = random.Random(19)
+    pairs = []
+    for _ in range(400):
+        a = [rng.getrandbits(60) for _ in range(rng.choice([1, 4, 5, 9, 30, 32, 35, 60, 200]))]
+        b = [rng.getrandbits(60) for _ in range(rng.randint(0, len(a) // 4))] + a[rng.randint(0, len(a) // 4):]
+        pairs.append((a, b or a, [rng.getrandbits(60) for _ in a]))
+
+    def side(k, prefix):
+        rows = spark.createDataFrame([(i, p[k]) for i, p in enumerate(pairs)], "k int, numbers array<long>")
+        return rows.select("k", F.size("numbers").alias(f"{prefix}n"), *(c.alias(prefix + n) for c, n in zip(lines._parities(), ("parity", "part"))))
+
+    def near(k):
+        return {r.k for r in side(0, "").join(side(k, "o_"), "k").where(lines._near_parity("", "o_")).collect()}
+
+    similar_ones = {i for i, (a, b, _) in enumerate(pairs) if 100 * len({*a} & {*b}) >= lines.PERCENT * len({*a} | {*b})}
+    assert similar_ones <= near(1) and len(similar_ones) > 100
+    assert len({i for i in near(2) if 9 <= len(pairs[i][0]) <= 60}) <= 2
+
+
 def test_lines_of_every_length(spark):
     rng = random.Random(13)
     words = sentence(rng, 9).split()
