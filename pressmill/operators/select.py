@@ -3,8 +3,9 @@
 The rule walks the ranked pool several times. Most weeks are settled by the best ``block`` rows: clusters and picks
 depend only on better-ranked rows. A week that these do not settle, say one with a quota that it cannot meet, is walked
 block by block: Spark leaves out the rows that the picks so far rule out, and a task gets the best ``block`` of the others
-with the counters of the blocks before. The first row of a block is always picked, so there are no more blocks than
-picks and steps, whatever the size of the week.
+with the counters of the blocks before. Clusters are looked for as rows come to a block, so not for rows that a quota does
+not ask for or that their address, source or kind rules out. The first row of a block whose clusters were all known is
+picked, so there are no more blocks than picks, steps and blocks of rows whose clusters were new.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from pressmill import config
 from pressmill.functions import urls
-from pressmill.operators.cluster import topic_clusters
+from pressmill.operators.cluster import clusters_of, keyed, topic_clusters
 from pressmill.operators.common import region_rank, top_per_group
 from pressmill.operators.score import is_domestic, rank_columns, rank_key
 from pressmill.session import cut_lineage
@@ -51,12 +52,12 @@ def default_quotas(sel: config.Selection) -> list[Quota]:
 def _group_columns(sel: config.Selection) -> dict[str, Column]:
     """The groups of a row and how many rows each takes: firm ones hold in every step, soft ones in strict steps.
 
-    A copy is nothing special: its address or DOI is a group that is full.
+    A copy is nothing special: its address or DOI is a group that is full. The cluster is one more firm group (``_with_cluster``).
     """
     def group(kind: str, value: Column, cap: int) -> Column:
         return F.struct(F.concat(F.lit(f"{kind} "), F.coalesce(value, F.lit(""))).alias("key"), F.lit(cap).alias("cap"))
 
-    firm = [group("url", F.col("url_key"), 1), group("cluster", F.col("cluster"), sel.max_per_cluster),
+    firm = [group("url", F.col("url_key"), 1),
             F.when(F.col("doi_key") != "", group("doi", F.col("doi_key"), 1))]
     soft = [group("org", F.col("org"), sel.max_per_org),
             *(F.when(F.col("source_type") == kind, group("type", F.lit(kind), cap)) for kind, cap in sel.type_caps().items())]
@@ -64,6 +65,14 @@ def _group_columns(sel: config.Selection) -> dict[str, Column]:
     return {f"{name}_{part}": groups[part] for name, groups in both.items() for part in ("key", "cap")}  # a field of each struct
 
 
+def _cluster_key() -> Column:
+    return F.concat(F.lit("cluster "), F.col("cluster"))
+
+
+def _with_cluster(rows: DataFrame, sel: config.Selection) -> DataFrame:
+    return rows.withColumns({"firm_key": F.array_append("firm_key", _cluster_key()), "firm_cap": F.array_append("firm_cap", F.lit(sel.max_per_cluster))})
+
+
 class _Picks:
     """The rows picked so far, as counters of their groups; ``load`` may come from earlier blocks."""
 
@@ -131,8 +140,11 @@ def _later_block(goals: list[int], block: int):
     return run
 
 
-def _walk(rows: DataFrame, goals: list[int], block: int) -> DataFrame:
-    """scope and id of the picked rows, block by block. ``rows``: scope, id, rank, flags and the columns of groups."""
+def _walk(rows: DataFrame, items: DataFrame, known: DataFrame, sel: config.Selection, goals: list[int], block: int) -> DataFrame:
+    """scope and id of the picked rows, block by block. ``rows``: scope, id, rank, flags and the columns of groups.
+
+    ``items``: the rows as clusters compare them (``cluster.keyed``); ``known``: scope, id, rank and cluster of some.
+    """
     last = 2 * len(goals)
     state = cut_lineage(rows.select("scope").distinct().selectExpr(
         "scope", "0 AS step", "map_from_arrays(array(), array()) AS load", f"array_repeat(0, {len(goals)}) AS have", "array() AS ids"
@@ -149,8 +161,15 @@ def _walk(rows: DataFrame, goals: list[int], block: int) -> DataFrame:
         if going.isEmpty():
             return state.select("scope", F.explode("ids").alias("id"))
         left = (rows.join(going, "scope").where((F.get("have", goal_no) < F.get(wanted, goal_no)) & F.get("flags", goal_no))
-                .where(free("firm") & ((F.col("step") % 2 == 1) | free("soft"))))
-        best = top_per_group(left, ["scope"], [F.col("rank")], block + 1, salt_by="id")
+                .where(free("firm") & ((F.col("step") % 2 == 1) | free("soft")))
+                .join(known.select("scope", "id", "cluster"), ["scope", "id"], "left")
+                .where(F.coalesce(F.try_element_at("load", _cluster_key()), F.lit(0)) < sel.max_per_cluster))
+        best = cut_lineage(top_per_group(left, ["scope"], [F.col("rank")], block + 1, salt_by="id"))
+        asked = best.where("cluster is null").select("scope", "id")
+        if not asked.isEmpty():
+            known = cut_lineage(known.unionByName(clusters_of(asked, items, known, sel.cluster_threshold)))
+            best = best.drop("cluster").join(known.select("scope", "id", "cluster"), ["scope", "id"])
+        best = _with_cluster(best, sel)
         moved = best.groupBy("scope").applyInPandas(_later_block(goals, block), _STATE).withColumn("_moved", F.lit(True))
         after = going.join(moved.select("scope", F.struct("step", "load", "have", "ids").alias("_to")), "scope", "left")
         # a step without any row left is over, also one whose goal is met
@@ -175,19 +194,20 @@ def select_balanced(scored: DataFrame, sel: config.Selection = config.Selection(
         rank_key().alias("rank"), "title", "title_cs", "url", "doi", "final_score", "cz_impact", "published_at",
         "first_seen"))
 
-    def grouped(part: DataFrame) -> DataFrame:
-        clusters = topic_clusters(part, sel.cluster_threshold, scope="scope")
-        return part.join(clusters, ["scope", "id"]).select("scope", "id", "rank", "flags", *(
-            c.alias(n) for n, c in _group_columns(sel).items()))
-
+    rows = pool.select("scope", "id", "rank", "flags", *(c.alias(n) for n, c in _group_columns(sel).items()))
     sizes = pool.groupBy("scope").agg((F.count("*") <= block).alias("whole"))
     best = cut_lineage(top_per_group(pool, ["scope"], [F.col("rank")], block, salt_by="id"))
-    first = cut_lineage(grouped(best).join(sizes, "scope").groupBy("scope").applyInPandas(
+    known = cut_lineage(topic_clusters(best, sel.cluster_threshold, scope="scope").join(best.select("scope", "id", "rank"), ["scope", "id"])
+                        .select("scope", "id", "rank", "cluster"))
+    clustered = _with_cluster(rows.join(known.select("scope", "id", "cluster"), ["scope", "id"]), sel)
+    first = cut_lineage(clustered.join(sizes, "scope").groupBy("scope").applyInPandas(
         _first_block(goals), "scope string, id string, done boolean"))
     picked = first.where("done and id is not null").select("scope", "id")
     waiting = first.where("not done").select("scope").distinct()
     if not waiting.isEmpty():
-        picked = picked.unionByName(_walk(cut_lineage(grouped(cut_lineage(pool.join(waiting, "scope", "left_semi")))), goals, block))
+        open_pool = cut_lineage(pool.join(waiting, "scope", "left_semi"))
+        picked = picked.unionByName(_walk(cut_lineage(rows.join(waiting, "scope", "left_semi")), keyed(open_pool, "scope"),
+                                          known.join(waiting, "scope", "left_semi"), sel, goals, block))
     on = ((F.col(scope).cast("string") == F.col("_scope")) & (F.col("id").cast("string") == F.col("_id")))
     keys = picked.select(F.col("scope").alias("_scope"), F.col("id").alias("_id"))
     return scored.join(keys, on, "left_semi")

@@ -223,6 +223,19 @@ def test_unreachable_quota_is_walked_in_blocks(spark, monkeypatch):
     assert 0 < sizes.value <= sel.max_items + sel.min_domestic + sel.min_attitudes + 6
 
 
+def test_clusters_are_looked_for_as_rows_come_to_a_block(spark, monkeypatch):
+    rows = random_pool(random.Random(11), 150)
+    for k, r in enumerate(rows):
+        r["is_public_attitudes_or_communication"] = k in (3, 148)
+    sel = config.Selection(max_items=12, min_domestic=3, min_attitudes=9, max_per_org=2, max_per_cluster=2)
+    looked, whole, some = [], select.topic_clusters, select.clusters_of
+    monkeypatch.setattr(select, "topic_clusters", lambda part, *a, **b: looked.append(part.count()) or whole(part, *a, **b))
+    monkeypatch.setattr(select, "clusters_of", lambda only, *a, **b: looked.append(only.count()) or some(only, *a, **b))
+    assert ids(select.select_balanced(scored(spark, rows), sel, block=10)) == naive_selection(rows, sel)
+    # the best block, then a block at a time: not the whole week
+    assert looked[0] == 10 and max(looked) <= 11 and sum(looked) < 75
+
+
 def test_copies_do_not_use_up_a_cluster(spark):
     rows = [{"title": "pumps replace boilers in towns", "doi": doi, "final_score": 9.0 - k, "org": "o"} for k, doi in enumerate(["10.7/a", "10.7/a", "10.7/b"])]
     got = ids(select.select_balanced(scored(spark, rows), config.Selection(max_per_cluster=2)))
